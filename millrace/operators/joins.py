@@ -26,17 +26,22 @@ class Size:
     bytes: int
 
 
+def row_bytes(df: DataFrame) -> tuple[int, Column]:
+    """Bytes of a row in memory: a fixed part and an expression for its texts and nested values."""
+    lengths = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            lengths.append(F.octet_length(F.col(f.name)))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            lengths.append(F.octet_length(F.to_json(F.struct(f.name))))
+    variable = reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0)) for x in lengths], F.lit(0))
+    return 8 * (len(df.columns) + 1), variable.cast("bigint")
+
+
 def measure(df: DataFrame) -> Size:
     """Rows and bytes in memory of a frame, by one aggregate over it."""
-    fixed = 8 * (len(df.columns) + 1)
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    nested = [
-        f.name for f in df.schema.fields if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
-    ]
-    lengths = [F.octet_length(F.col(c)) for c in texts]
-    lengths += [F.octet_length(F.to_json(F.col(c))) for c in nested]
-    variable = reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0)) for x in lengths], F.lit(0))
-    row = df.agg(F.count("*").alias("n"), F.sum(variable.cast("bigint")).alias("v")).first()
+    fixed, variable = row_bytes(df)
+    row = df.agg(F.count("*").alias("n"), F.sum(variable).alias("v")).first()
     return Size(row["n"], row["n"] * fixed + (row["v"] or 0))
 
 

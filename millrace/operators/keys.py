@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import Size, row_bytes
 from millrace.session import materialize
 
 _ROW_BITS = 33
@@ -20,20 +21,21 @@ def with_source_order(df: DataFrame, name: str = "src_seq") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def first_rows(df: DataFrame, n: int, order_by: str = "src_seq") -> DataFrame:
+def first_rows(df: DataFrame, n: int, order_by: str | Sequence[str] = "src_seq") -> DataFrame:
     """The first ``n`` rows in source order; 0 keeps all."""
-    return df.orderBy(order_by).limit(n) if n > 0 else df
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    return df.orderBy(*order).limit(n) if n > 0 else df
 
 
 def dense_ids(
     keys: DataFrame, order_by: Sequence[str | Column], id_name: str, start: int = 0
-) -> tuple[DataFrame, int]:
+) -> tuple[DataFrame, Size]:
     """Number distinct ``keys`` ``start + 1, start + 2, ...`` in sorted order.
 
     The keys are range-partitioned and sorted, and each row keeps its position within its
     partition.  Writing them once freezes that layout; the driver then sees only one count
     per partition, and the id is the running count before the partition plus the position.
-    Returns the numbered frame and the number of keys.
+    Returns the numbered frame and its measured size.
     """
     order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
     placed = (
@@ -43,23 +45,29 @@ def dense_ids(
     )
     stored = materialize(placed, "keys")
     part = F.shiftright(F.col("_pos"), _ROW_BITS)
-    counts = {
-        r["p"]: r["n"]
-        for r in stored.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()
-    }
-    offsets, total = [], 0
+    fixed, variable = row_bytes(stored)
+    per_part = stored.groupBy(part.alias("p")).agg(
+        F.count("*").alias("n"), F.sum(variable).alias("v")
+    )
+    counts = {r["p"]: r for r in per_part.collect()}
+    offsets, total, size = [], 0, 0
     for p in range(max(counts, default=-1) + 1):
         offsets.append(start + total)
-        total += counts.get(p, 0)
+        if p in counts:
+            total += counts[p]["n"]
+            size += counts[p]["n"] * fixed + counts[p]["v"]
     within = F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    before = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets or [start]]), part.cast("int") + 1)
+    before = F.element_at(
+        F.array(*[F.lit(o).cast("bigint") for o in offsets or [start]]), part.cast("int") + 1
+    )
     numbered = stored.withColumn(id_name, (before + within + 1).cast("bigint")).drop("_pos")
-    return numbered.select(id_name, *[c for c in numbered.columns if c != id_name]), total
+    ordered = numbered.select(id_name, *[c for c in numbered.columns if c != id_name])
+    return ordered, Size(total, size)
 
 
 def continue_ids(
     new_keys: DataFrame, existing: DataFrame, order_by: Sequence[str | Column], id_name: str
-) -> tuple[DataFrame, int]:
+) -> tuple[DataFrame, Size]:
     """Number new members after the highest id in use."""
     top = existing.agg(F.max(id_name)).first()[0] or 0
     return dense_ids(new_keys, order_by, id_name, start=int(top))

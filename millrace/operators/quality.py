@@ -12,7 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.functions.text import concat_blank
 from millrace.operators.joins import Size, keyed_join, orphans
@@ -83,9 +82,12 @@ def with_membership(
     flag: str = "_known",
     parent_size: Size | None = None,
 ) -> DataFrame:
-    """Mark the rows whose key exists in ``parent`` (true, else NULL); no row is lost or doubled."""
-    known = parent.select(*keys).distinct().withColumn(flag, F.lit(True))
-    return keyed_join(df, known, keys, "left", parent_size)
+    """Mark the rows whose key exists in ``parent`` (true, else NULL).
+
+    ``parent`` holds each key once, so no row is lost or doubled.
+    """
+    known = parent.select(*keys).withColumn(flag, F.lit(True))
+    return keyed_join(df, known, keys, "left", parent_size, balance=False)
 
 
 def reject_log(df: DataFrame, rules: Sequence[Rule], id_column: str, process: str) -> DataFrame:
@@ -211,7 +213,3 @@ def reconcile(counts: Mapping[str, DataFrame]) -> DataFrame:
     spark = next(iter(counts.values())).sparkSession
     parts = ", ".join(f"(SELECT count(*) FROM {{{name}}}) AS {name}" for name in counts)
     return spark.sql(f"SELECT {parts}", **counts)
-
-
-def nullable_int(c: Column) -> Column:
-    return c.isNull() | c.try_cast(T.IntegerType()).isNotNull()

@@ -8,17 +8,22 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+INT, LONG, TEXT = T.IntegerType(), T.LongType(), T.StringType()
+DAY, MOMENT, MONEY = T.DateType(), T.TimestampType(), T.DecimalType(12, 2)
+FLAG = T.BooleanType()
+
+
+def record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
 # Flat attentions record, in file order.  Grain: day x facility x service x sex x age x
 # ethnicity x insurance.
-ATTENTIONS = struct(
-    "ANIO INT, MES INT, DIA INT, CATEGORIA STRING, RED STRING, MICRORED STRING, "
-    "CODIGO_UNICO INT, NOMBRE_ESTACLECIMIENTO STRING, PROVINCIA STRING, DISTRITO STRING, "
-    "EDAD_REG INT, TIPO_EDAD STRING, SEXO STRING, ETNIA STRING, TIPO_SEGURO STRING, UPS STRING, "
-    "ATENDIDOS INT, ATENCIONES INT, FECHA_CORTE STRING"
+ATTENTIONS = record(
+    ANIO=INT, MES=INT, DIA=INT, CATEGORIA=TEXT, RED=TEXT, MICRORED=TEXT, CODIGO_UNICO=INT,
+    NOMBRE_ESTACLECIMIENTO=TEXT, PROVINCIA=TEXT, DISTRITO=TEXT, EDAD_REG=INT, TIPO_EDAD=TEXT,
+    SEXO=TEXT, ETNIA=TEXT, TIPO_SEGURO=TEXT, UPS=TEXT, ATENDIDOS=INT, ATENCIONES=INT,
+    FECHA_CORTE=TEXT,
 )
 
 # The same record with its coercible numbers left as text, for jobs that repair bad values.
@@ -32,49 +37,56 @@ ATTENTIONS_TEXT = T.StructType(
 )
 
 # Flat reimbursements record: all text until load.
-REIMBURSEMENTS = struct(
-    "Periodo STRING, Region STRING, Sede STRING, TipoDeAtencion STRING, MedioDeSolicitud STRING, "
-    "Solicitante STRING, CondicionDelAsegurado STRING, Parentesco STRING, Situacion STRING, "
-    "NumeroDeAsegurados STRING, SolicitudesDeReembolso STRING, MontoPagado STRING"
+REIMBURSEMENTS = record(
+    Periodo=TEXT, Region=TEXT, Sede=TEXT, TipoDeAtencion=TEXT, MedioDeSolicitud=TEXT,
+    Solicitante=TEXT, CondicionDelAsegurado=TEXT, Parentesco=TEXT, Situacion=TEXT,
+    NumeroDeAsegurados=TEXT, SolicitudesDeReembolso=TEXT, MontoPagado=TEXT,
 )
 
-ATTENTION_FACT = struct(
-    "AtencionId BIGINT, Fecha DATE, CodigoUnico INT, UpsId INT, EtniaId INT, TipoSeguroId INT, "
-    "Sexo STRING, EdadReg INT, TipoEdad STRING, Atendidos INT, Atenciones INT, FechaCorte DATE, "
-    "Anio INT, Mes INT"
+ATTENTION_FACT = record(
+    AtencionId=LONG, Fecha=DAY, CodigoUnico=INT, UpsId=INT, EtniaId=INT, TipoSeguroId=INT,
+    Sexo=TEXT, EdadReg=INT, TipoEdad=TEXT, Atendidos=INT, Atenciones=INT, FechaCorte=DAY,
+    Anio=INT, Mes=INT,
 )
 
-REIMBURSEMENT_FACT = struct(
-    "ReembolsoId BIGINT, Periodo DATE, SedeId INT, TipoAtencionId INT, MedioSolicitudId INT, "
-    "TipoSolicitanteId INT, CondicionAseguradoId INT, ParentescoId INT, SituacionAseguradoId INT, "
-    "NumeroAsegurados INT, SolicitudesReembolso INT, MontoPagado DECIMAL(12,2)"
+REIMBURSEMENT_FACT = record(
+    ReembolsoId=LONG, Periodo=DAY, SedeId=INT, TipoAtencionId=INT, MedioSolicitudId=INT,
+    TipoSolicitanteId=INT, CondicionAseguradoId=INT, ParentescoId=INT, SituacionAseguradoId=INT,
+    NumeroAsegurados=INT, SolicitudesReembolso=INT, MontoPagado=MONEY,
 )
 
-FACILITY = struct(
-    "CodigoUnico INT, Nombre STRING, CategoriaId INT, MicroredId INT, DistritoId INT"
+FACILITY = record(
+    CodigoUnico=INT, Nombre=TEXT, CategoriaId=INT, MicroredId=INT, DistritoId=INT,
 )
 
-RUN_LOG = struct(
-    "Proceso STRING, FechaInicio TIMESTAMP, FechaFin TIMESTAMP, FilasLeidas BIGINT, "
-    "FilasInsertadas BIGINT, FilasRechazadas BIGINT, Estado STRING, MensajeError STRING, "
-    "UsuarioEjecucion STRING"
+RUN_LOG = record(
+    Proceso=TEXT, FechaInicio=MOMENT, FechaFin=MOMENT, FilasLeidas=LONG, FilasInsertadas=LONG,
+    FilasRechazadas=LONG, Estado=TEXT, MensajeError=TEXT, UsuarioEjecucion=TEXT,
 )
 
-REJECT_LOG = struct(
-    "Proceso STRING, StgId BIGINT, Campo STRING, ValorOriginal STRING, Motivo STRING, "
-    "FechaRegistro TIMESTAMP"
+REJECT_LOG = record(
+    Proceso=TEXT, StgId=LONG, Campo=TEXT, ValorOriginal=TEXT, Motivo=TEXT, FechaRegistro=MOMENT,
 )
 
-STEP_LOG = struct("Etapa STRING, FilasEntrada BIGINT, FilasSalida BIGINT, Detalle STRING")
+STEP_LOG = record(
+    Etapa=TEXT, FilasEntrada=LONG, FilasSalida=LONG, Detalle=TEXT,
+)
 
-CLOSED_PERIODS = struct("Anio INT, Mes INT, FechaCierre DATE")
+CLOSED_PERIODS = record(
+    Anio=INT, Mes=INT, FechaCierre=DAY,
+)
 
-DOCUMENT = struct(
-    "fecha DATE, "
-    "establecimiento STRUCT<codigo: BIGINT, nombre: STRING, categoria: STRING, red: STRING, "
-    "microred: STRING, provincia: STRING, distrito: STRING>, "
-    "paciente STRUCT<edad: INT, tipoEdad: STRING, sexo: STRING, etnia: STRING, seguro: STRING>, "
-    "ups STRING, atendidos BIGINT, atenciones BIGINT, fechaCorte STRING"
+DOCUMENT = record(
+    fecha=DAY,
+    establecimiento=record(
+        codigo=LONG, nombre=TEXT, categoria=TEXT, red=TEXT, microred=TEXT, provincia=TEXT,
+        distrito=TEXT,
+    ),
+    paciente=record(edad=INT, tipoEdad=TEXT, sexo=TEXT, etnia=TEXT, seguro=TEXT),
+    ups=TEXT,
+    atendidos=LONG,
+    atenciones=LONG,
+    fechaCorte=TEXT,
 )
 
 # Text widths of the flat attentions staging table.

@@ -8,8 +8,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+Result = TypeVar("Result")
 
 _LOCAL_SCRATCH: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -58,3 +65,18 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def in_parallel(jobs: Sequence[Callable[[], Result]]) -> list[Result]:
+    """Submit independent Spark jobs together, so that small ones share the cluster."""
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(min(len(jobs), 8)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, as a relation the optimizer knows to be empty."""
+    return spark.range(1).filter(F.lit(False)).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )

@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_PUBLISHED = T.StructType.fromDDL("version BIGINT, tabla STRING, batch STRING, replaces BOOLEAN")
+from millrace.schemas import FLAG, LONG, TEXT, record
+from millrace.session import empty_frame, in_parallel
+
+_PUBLISHED = record(version=LONG, tabla=TEXT, batch=TEXT, replaces=FLAG, top=LONG)
 
 
 class Warehouse:
@@ -27,7 +30,7 @@ class Warehouse:
     def _published(self) -> list:
         try:
             frame = self.spark.read.schema(_PUBLISHED).parquet(f"{self.root}/published")
-            return frame.orderBy("version").collect()
+            return sorted(frame.collect(), key=lambda r: r["version"])
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
                 return []
@@ -47,7 +50,7 @@ class Warehouse:
         """The visible rows of a table; empty when nothing was published."""
         batches = self._batches(name)
         if not batches:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         return (
             self.spark.read.schema(schema)
             .option("basePath", f"{self.root}/{name}")
@@ -55,11 +58,16 @@ class Warehouse:
             .select(*schema.names)
         )
 
+    def highest_id(self, name: str) -> int:
+        """The highest row id ever given out in a table, known without reading the table."""
+        return max((r["top"] or 0 for r in self._published() if r["tabla"] == name), default=0)
+
     def publish(
         self,
         append: Mapping[str, DataFrame] | None = None,
         replace: Mapping[str, DataFrame] | None = None,
         partition_by: Mapping[str, Sequence[str]] | None = None,
+        ids: Mapping[str, str] | None = None,
     ) -> dict[str, int]:
         """Write every frame, then make all of them visible at once.
 
@@ -68,31 +76,39 @@ class Warehouse:
         work = [(n, d, False) for n, d in (append or {}).items()]
         work += [(n, d, True) for n, d in (replace or {}).items()]
         version = max((r["version"] for r in self._published()), default=0) + 1
-        rows, counts = [], {}
-        for name, df, replaces in work:
+
+        def write(name: str, df: DataFrame, replaces: bool) -> tuple:
             batch = f"{version:08d}-{uuid.uuid4().hex[:8]}"
             path = f"{self.root}/{name}/batch={batch}"
-            writer = df.write
             keys = (partition_by or {}).get(name)
-            (writer.partitionBy(*keys) if keys else writer).parquet(path)
-            counts[name] = self.spark.read.schema(df.schema).parquet(path).count()
-            rows.append((version, name, batch, replaces))
+            (df.write.partitionBy(*keys) if keys else df.write).parquet(path)
+            written = self.spark.read.schema(df.schema).parquet(path)
+            top = F.max(ids[name]) if ids and name in ids else F.lit(None)
+            count, highest = written.agg(F.count("*"), top.cast("bigint")).first()
+            return count, (version, name, batch, replaces, highest)
+
+        done = in_parallel([lambda w=w: write(*w) for w in work])
+        rows = [row for _, row in done]
+        counts = {row[1]: count for count, row in done}
         note = self.spark.createDataFrame(rows, _PUBLISHED).coalesce(1)
         note.write.mode("append").parquet(f"{self.root}/published")
         return counts
 
     def drop(self, name: str, schema: T.StructType) -> None:
         """Make a table empty again (drop and recreate)."""
-        self.publish(replace={name: self.spark.createDataFrame([], schema)})
+        self.publish(replace={name: empty_frame(self.spark, schema)})
 
     def register_view(self, name: str, df: DataFrame) -> None:
         df.createOrReplaceTempView(name)
 
 
 def identities(df: DataFrame, name: str, after: int = 0) -> DataFrame:
-    """Row ids for a batch being written: unique, rising within a task, with gaps."""
-    return df.select((F.lit(after) + 1 + F.monotonically_increasing_id()).alias(name), *df.columns)
-
-
-def highest(df: DataFrame, name: str) -> int:
-    return int(df.agg(F.max(name)).first()[0] or 0)
+    """Row ids for a batch being written: unique and rising within a task, with gaps.
+
+    The position within the task is the high part and the task the low part, so one batch
+    uses up little of the range.
+    """
+    serial = F.monotonically_increasing_id()
+    task = F.shiftright(serial, 33)
+    position = serial.bitwiseAND(F.lit((1 << 33) - 1))
+    return df.select((F.lit(after) + 1 + F.shiftleft(position, 20) + task).alias(name), *df.columns)
