@@ -146,6 +146,14 @@ def orphans(
     return not_yet_in(rows, parent, keys, parent_size, balance)
 
 
-def top_per_outer_row(outer: DataFrame, inner: DataFrame, on: Column, order_by: Sequence[Column], n: int = 1) -> DataFrame:
-    """Apply a per-row lookup (best ``n`` inner rows for each outer row) as a lateral join."""
-    return outer.lateralJoin(inner.where(on).orderBy(*order_by).limit(n))
+def top_per_outer_row(
+    outer: DataFrame,
+    inner: DataFrame,
+    outer_key: str,
+    inner_key: str,
+    order_by: Sequence[Column],
+    n: int = 1,
+) -> DataFrame:
+    """Apply a per-row lookup: the best ``n`` inner rows for each outer row, as a lateral join."""
+    matching = inner.where(F.col(inner_key) == F.col(outer_key).outer())
+    return outer.lateralJoin(matching.orderBy(*order_by).limit(n))

@@ -79,17 +79,19 @@ def first_per_key(
     """The ``values`` of the first row of each key in the given order.
 
     Equal variants are folded first (a hash aggregate that combines within each task), then
-    the earliest variant of each key is kept.  No group is ever gathered in one task, and
-    the ordering columns of the winner stay in the result.
+    the earliest variant of each key is kept; among variants that start at the same position
+    the smallest one.  No group is ever gathered in one task.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     variants = df.groupBy(*keys, *values).agg(F.min(rank).alias("_first"))
-    best = variants.groupBy(*keys).agg(
-        F.min_by(F.struct(*values), "_first").alias("_v"), F.min("_first").alias("_first")
+    best = variants.groupBy(*keys).agg(F.min(F.struct("_first", *values)).alias("_v"))
+    first = ["_v._first"] if len(order) == 1 else [f"_v._first.{c}" for c in order]
+    return best.select(
+        *keys,
+        *[F.col(f"_v.{v}").alias(v) for v in values],
+        *[F.col(path).alias(c) for path, c in zip(first, order, strict=True)],
     )
-    tail = [F.col("_first").alias(order[0])] if len(order) == 1 else [F.col(f"_first.{c}") for c in order]
-    return best.select(*keys, *[F.col(f"_v.{v}") for v in values], *tail)
 
 
 def first_appearance(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
