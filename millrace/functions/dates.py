@@ -30,12 +30,12 @@ def date_from_parts(year: Column | str, month: Column | str, day: Column | str,
     'fail' raises on an impossible date; 'null' (and 'drop', whose caller filters) gives
     NULL, also when a part is missing.
     """
-    y, m, d = column(year), column(month), column(day)
+    y, m, d = (column(c).cast("int") for c in (year, month, day))
     if on_bad_date == "fail":
         return F.make_date(y, m, d)
-    text = F.format_string("%04d-%02d-%02d", y.cast("int"), m.cast("int"), d.cast("int"))
-    whole = y.isNotNull() & m.isNotNull() & d.isNotNull()
-    return F.when(whole, F.try_to_date(text, "yyyy-MM-dd"))
+    in_range = y.between(1, 9999) & m.between(1, 12) & d.between(1, 31)
+    candidate = F.date_add(F.make_date(y, m, F.lit(1)), d - 1)
+    return F.when(in_range & (F.month(candidate) == m), candidate)
 
 
 def date_from_padded(year: Column | str, month: Column | str, day: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,16 +46,31 @@ def missing_words(c: Column | str, words: Sequence[str]) -> Column:
 
 
 def strip_all(df: DataFrame, na_values: Sequence[str] = (), drop_quotes: bool = False) -> DataFrame:
-    """Apply ``strip`` to every text column of ``df`` in one projection."""
-
-    def clean(field: T.StructField) -> Column:
-        if not isinstance(field.dataType, T.StringType):
-            return F.col(field.name)
-        c = missing_words(F.col(field.name), na_values)
-        c = strip(c)
-        return (strip(unquote(c)) if drop_quotes else c).alias(field.name)
-
-    return df.select(*[clean(f) for f in df.schema.fields])
+    """``strip`` for every text column of ``df``.
+
+    One test per row tells whether it holds anything but printable ASCII.  Only such rows are
+    searched for every kind of white space; in the others a blank trim is enough.  This also
+    keeps the code generated for a wide table small enough to be compiled.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not texts:
+        return df
+
+    def each(frame: DataFrame, clean: Callable[[Column], Column]) -> DataFrame:
+        return frame.select(
+            *[clean(F.col(c)).alias(c) if c in texts else F.col(c) for c in df.columns]
+        )
+
+    if na_values:
+        df = each(df, lambda c: missing_words(c, na_values))
+    flagged = df.withColumn("_odd", F.concat_ws("", *texts).rlike("[^ -~]"))
+
+    def clean(c: Column) -> Column:
+        whole = F.when(F.col("_odd"), F.btrim(c, F.lit(WHITESPACE))).otherwise(F.trim(c))
+        return F.coalesce(whole, F.lit(""))
+
+    out = each(flagged, clean)
+    return each(out, lambda c: strip(unquote(c))) if drop_quotes else out
 
 
 def concat_blank(*parts: Column | str) -> Column:

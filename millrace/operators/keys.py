@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import Size, row_bytes
+from millrace.operators.joins import Size, measure
 from millrace.session import materialize
 
+ONE_TASK_ROWS = 200_000
 _ROW_BITS = 33
 
 
@@ -32,12 +33,22 @@ def dense_ids(
 ) -> tuple[DataFrame, Size]:
     """Number distinct ``keys`` ``start + 1, start + 2, ...`` in sorted order.
 
-    The keys are range-partitioned and sorted, and each row keeps its position within its
-    partition.  Writing them once freezes that layout; the driver then sees only one count
-    per partition, and the id is the running count before the partition plus the position.
-    Returns the numbered frame and its measured size.
+    The keys are written once and measured.  A small set (at most ``ONE_TASK_ROWS``) is
+    numbered by a window in one task.  A larger one is range-partitioned and sorted, each row
+    keeping its position within its partition, and written so; the driver then sees only one
+    count per partition, and the id is the running count before the partition plus the
+    position.  Returns the numbered frame and its measured size.
     """
     order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
+    stored = materialize(keys, "keys")
+    size = measure(stored)
+    if size.rows <= ONE_TASK_ROWS:
+        position = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+        return stored.select((position + start).alias(id_name), *stored.columns), size
+    return _range_numbered(stored, order, id_name, start), size
+
+
+def _range_numbered(keys: DataFrame, order: Sequence[Column], id_name: str, start: int) -> DataFrame:
     placed = (
         keys.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -45,24 +56,16 @@ def dense_ids(
     )
     stored = materialize(placed, "keys")
     part = F.shiftright(F.col("_pos"), _ROW_BITS)
-    fixed, variable = row_bytes(stored)
-    per_part = stored.groupBy(part.alias("p")).agg(
-        F.count("*").alias("n"), F.sum(variable).alias("v")
-    )
-    counts = {r["p"]: r for r in per_part.collect()}
-    offsets, total, size = [], 0, 0
+    counts = dict(stored.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
+    offsets, total = [], start
     for p in range(max(counts, default=-1) + 1):
-        offsets.append(start + total)
-        if p in counts:
-            total += counts[p]["n"]
-            size += counts[p]["n"] * fixed + counts[p]["v"]
+        offsets.append(total)
+        total += counts.get(p, 0)
     within = F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     before = F.element_at(
         F.array(*[F.lit(o).cast("bigint") for o in offsets or [start]]), part.cast("int") + 1
     )
-    numbered = stored.withColumn(id_name, (before + within + 1).cast("bigint")).drop("_pos")
-    ordered = numbered.select(id_name, *[c for c in numbered.columns if c != id_name])
-    return ordered, Size(total, size)
+    return stored.select((before + within + 1).cast("bigint").alias(id_name), *keys.columns)
 
 
 def continue_ids(
