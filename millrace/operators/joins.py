@@ -92,14 +92,12 @@ def keyed_join(
         if hot:
             is_hot = _hash(keys).isin(hot)
             whole_row = F.xxhash64(*[F.col(c) for c in left.columns])
-            left_in = left.withColumn(
-                "_salt", F.when(is_hot, F.pmod(whole_row, F.lit(HOT_SPREAD))).otherwise(F.lit(0))
-            )
+            spread = F.pmod(whole_row, F.lit(HOT_SPREAD)).cast("int")
+            left_in = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
             copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_SPREAD - 1))).otherwise(
                 F.array(F.lit(0))
             )
-            right_in = right.withColumn("_salt", F.explode(copies).cast("bigint"))
-            left_in = left_in.withColumn("_salt", F.col("_salt").cast("bigint"))
+            right_in = right.withColumn("_salt", F.explode(copies))
             on = on + ["_salt"]
     if null_safe:
         renamed = right_in
