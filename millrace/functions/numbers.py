@@ -20,9 +20,10 @@ def parse_number(c: Column | str) -> Column:
 
 def clamp_count(c: Column | str) -> Column:
     """Count repair: unreadable or missing is 0, negative is 0, fractions are cut."""
+    c = column(c)
     value = parse_number(c)
-    finite = F.when(~F.isnan(value), value)
-    return F.greatest(F.coalesce(finite.try_cast("bigint"), F.lit(0)), F.lit(0)).cast("bigint")
+    cut = F.when(~F.isnan(value), value).try_cast("bigint")
+    return F.greatest(F.coalesce(c.try_cast("bigint"), cut, F.lit(0)), F.lit(0)).cast("bigint")
 
 
 def drop_negative(c: Column | str) -> Column:

@@ -216,10 +216,14 @@ def new_attentions(batch: DataFrame, existing: DataFrame, dedupe_batch: bool = F
     """Rows whose grain is not in the fact yet.
 
     Only the fact is consulted, so equal grains within one batch all load, as in the
-    original; ``dedupe_batch`` keeps one of them.
+    original; ``dedupe_batch`` keeps the one with the smallest values.
     """
     fresh = not_yet_in(batch, same_periods(existing, batch), GRAIN)
-    return fresh.dropDuplicates(GRAIN) if dedupe_batch else fresh
+    if not dedupe_batch:
+        return fresh
+    rest = [c for c in fresh.columns if c not in GRAIN]
+    one = fresh.groupBy(*GRAIN).agg(F.min(F.struct(*rest)).alias("_v"))
+    return one.select(*[F.col(c) if c in GRAIN else F.col(f"_v.{c}") for c in fresh.columns])
 
 
 def load_attentions(
@@ -243,7 +247,10 @@ def load_attentions(
         require(batch, FACT_TABLE, not_null([*GRAIN, "Atendidos", "Atenciones", "FechaCorte"]))
         existing = warehouse.table(FACT_TABLE, schemas.ATTENTION_FACT)
         fresh = new_attentions(batch, existing, dedupe_batch)
-        numbered = identities(fresh, "AtencionId", warehouse.highest_id(FACT_TABLE))
+        # Rows of a month meet in tasks of even size, a large month in several; ids are given
+        # after that shuffle, in the tasks that write, so that a retried task repeats none.
+        even = fresh.hint("rebalance", "Anio", "Mes")
+        numbered = identities(even, "AtencionId", warehouse.highest_id(FACT_TABLE))
         counts = warehouse.publish(
             append={FACT_TABLE: numbered.select(*schemas.ATTENTION_FACT.names)},
             partition_by={FACT_TABLE: ["Anio", "Mes"]},
@@ -286,7 +293,7 @@ def account_for(staged: DataFrame, facilities: DataFrame, lookups: dict[str, Dat
         .agg(F.count("*").alias("violations"))
         .agg(F.count("*").alias("rejected_rows"), F.coalesce(F.sum("violations"), F.lit(0)).alias("violations"))
     )
-    batch = resolve_attentions(staged, facilities, lookups)
+    batch = materialize(resolve_attentions(staged, facilities, lookups), "batch")
     fresh = not_yet_in(batch, existing, GRAIN)
     counts = (
         staged.agg(F.count("*").alias("staged"))

@@ -266,6 +266,7 @@ def silent_drop(spark: SparkSession, sf: str) -> DataFrame:
     """Where every staged row goes."""
     rows, known, lookups = staged(spark, sf), facilities(spark, sf), _known_lookups(spark, sf)
     loaded = att.resolve_attentions(rows, known, lookups).filter("Fecha < DATE'1998-01-01'")
+    loaded = materialize(loaded, "loaded")
     return att.account_for(rows, known, lookups, loaded)
 
 
