@@ -130,7 +130,7 @@ def load_dimensions(
                 lambda: materialize(staged.select(*[k.source for k in SERVICES]).distinct(), "services"),
             ]
         )
-        current = {k.table: warehouse.table(k.table, k.schema) for k in PLACES + SERVICES}
+        current = warehouse.tables({k.table: k.schema for k in PLACES + SERVICES})
         (fresh, whole), (more, _) = in_parallel(
             [
                 lambda: load_lookups(places, PLACES, current),
@@ -241,7 +241,7 @@ def load_attentions(
         )
         run.rejected = warehouse.publish(append={REJECT_TABLE: rejects})[REJECT_TABLE]
 
-        lookups = {k.table: warehouse.table(k.table, k.schema) for k in SERVICES}
+        lookups = warehouse.tables({k.table: k.schema for k in SERVICES})
         batch = materialize(resolve_attentions(staged, facilities, lookups), "batch")
         require_open_periods(batch, warehouse.table(CLOSED_TABLE, schemas.CLOSED_PERIODS), "Fecha")
         require(batch, FACT_TABLE, not_null([*GRAIN, "Atendidos", "Atenciones", "FechaCorte"]))

@@ -19,7 +19,7 @@ _LOOKUPS = [*attentions.PLACES, *attentions.SERVICES, *reimbursements.CATALOGUES
 
 def datasets(warehouse: Warehouse, audience: str) -> dict[str, DataFrame]:
     """Frames for 'analyst' or 'auditor' by view name."""
-    frames = {k.table: warehouse.table(k.table, k.schema) for k in _LOOKUPS}
+    frames = warehouse.tables({k.table: k.schema for k in _LOOKUPS})
     frames["Establecimiento"] = warehouse.table("Establecimiento", schemas.FACILITY)
     frames["Atencion"] = warehouse.table("Atencion", schemas.ATTENTION_FACT)
     frames["vw_ReembolsosAgregado"] = reimbursements.warehouse_view(warehouse)

@@ -86,11 +86,11 @@ def load_reimbursements(warehouse: Warehouse, staged: DataFrame, on_bad_value: s
         ).first()["n"]
         rows = trim_names(rows)
         names = materialize(rows.select(*NAMES).distinct(), "names")
-        current = {k.table: warehouse.table(k.table, k.schema) for k in CATALOGUES}
+        current = warehouse.tables({k.table: k.schema for k in CATALOGUES})
         fresh, _ = load_lookups(names, CATALOGUES, current)
         warehouse.publish(append=fresh)
 
-        catalogues = {k.table: warehouse.table(k.table, k.schema) for k in CATALOGUES}
+        catalogues = warehouse.tables({k.table: k.schema for k in CATALOGUES})
         batch = materialize(resolve_reimbursements(rows, catalogues, on_bad_value), "batch")
         if on_bad_value == "null":
             batch = batch.filter(F.col("MontoPagado").isNotNull())

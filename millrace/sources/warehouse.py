@@ -36,19 +36,23 @@ class Warehouse:
                 return []
             raise
 
-    def _batches(self, name: str) -> list[str]:
-        live: list[str] = []
-        for r in self._published():
-            if r["tabla"] == name:
-                live = [r["batch"]] if r["replaces"] else [*live, r["batch"]]
-        return live
-
     def exists(self, name: str) -> bool:
-        return bool(self._batches(name))
+        return any(r["tabla"] == name for r in self._published())
 
     def table(self, name: str, schema: T.StructType) -> DataFrame:
         """The visible rows of a table; empty when nothing was published."""
-        batches = self._batches(name)
+        return self.tables({name: schema})[name]
+
+    def tables(self, schemas: Mapping[str, T.StructType]) -> dict[str, DataFrame]:
+        """Several tables as of one moment."""
+        live: dict[str, list[str]] = {name: [] for name in schemas}
+        for r in self._published():
+            if r["tabla"] in live:
+                before = [] if r["replaces"] else live[r["tabla"]]
+                live[r["tabla"]] = [*before, r["batch"]]
+        return {name: self._read(name, schema, live[name]) for name, schema in schemas.items()}
+
+    def _read(self, name: str, schema: T.StructType, batches: list[str]) -> DataFrame:
         if not batches:
             return empty_frame(self.spark, schema)
         return (
@@ -98,9 +102,6 @@ class Warehouse:
         """Make a table empty again (drop and recreate)."""
         self.publish(replace={name: empty_frame(self.spark, schema)})
 
-    def register_view(self, name: str, df: DataFrame) -> None:
-        df.createOrReplaceTempView(name)
-
 
 def identities(df: DataFrame, name: str, after: int = 0) -> DataFrame:
     """Row ids for a batch being written: unique and rising within a task, with gaps.
