@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,12 +17,17 @@ from millrace.operators.quality import (
     SEXES,
     QualityError,
     attention_rules,
+    castable,
+    foreign_key_check,
+    max_width,
     not_null,
     reconcile,
     reject_log,
     require,
     require_open_periods,
     require_unique,
+    row_checks,
+    unique_check,
     valid_age,
     valid_counts,
     with_membership,
@@ -28,6 +35,7 @@ from millrace.operators.quality import (
 from millrace.plans.lookups import Lookup, load_lookups, resolve
 from millrace.plans.run_log import PARTIAL, LoadResult, Run, log_run, logged_run
 from millrace.session import in_parallel, materialize
+from millrace.sources.readers import literal_rows
 from millrace.sources.warehouse import Warehouse, identities
 from millrace.sources.writers import with_backfilled_column
 
@@ -53,7 +61,7 @@ FACILITY_SOURCE = [
     "DISTRITO",
 ]
 FACILITY_TABLE, FACT_TABLE, REJECT_TABLE = "Establecimiento", "Atencion", "LogErroresValidacion"
-CLOSED_TABLE, STAGING_TABLE = "PeriodoCerrado", "stg_Atenciones"
+CLOSED_TABLE, STAGING_TABLE, AGE_UNIT_TABLE = "PeriodoCerrado", "stg_Atenciones", "TipoEdad"
 
 # Process names in the run and reject logs.
 LOAD_LOOKUPS, LOAD_FACT = "sp_CargarDimensiones", "sp_CargarAtenciones"
@@ -270,6 +278,52 @@ def audit_attentions(old: DataFrame, new: DataFrame, user: Column | None = None,
     )
 
 
+def seed_age_units(warehouse: Warehouse) -> None:
+    """Publish the fixed catalogue of age units, once."""
+    if not warehouse.exists(AGE_UNIT_TABLE):
+        units = literal_rows(warehouse.spark, schemas.AGE_UNITS, schemas.AGE_UNIT)
+        warehouse.publish(append={AGE_UNIT_TABLE: units})
+
+
+def staging_report(staged: DataFrame) -> DataFrame:
+    """Staged values that are too wide, or outside the small integer types of the model."""
+    small = {c: "smallint" for c in ("ANIO", "EDAD_REG", "ATENDIDOS", "ATENCIONES")}
+    return row_checks(staged, STAGING_TABLE, {**max_width(schemas.ATTENTION_WIDTHS), **castable(small)})
+
+
+def model_report(warehouse: Warehouse) -> DataFrame:
+    """Violations of every constraint of the fact: checks, NOT NULL, primary and foreign keys.
+
+    One scan for all row checks; each foreign key reads its own column, reduced to one row
+    per key before it meets the parent.
+    """
+    parents = {k.table: k for k in SERVICES}
+    tables = warehouse.tables(
+        {
+            FACT_TABLE: schemas.ATTENTION_FACT,
+            FACILITY_TABLE: schemas.FACILITY,
+            AGE_UNIT_TABLE: schemas.AGE_UNIT,
+            **{name: k.schema for name, k in parents.items()},
+        }
+    )
+    fact = tables[FACT_TABLE]
+    checks = {
+        "CHECK Sexo": F.col("Sexo").isin(*SEXES),
+        "CHECK EdadReg": F.col("EdadReg") >= -1,
+        "CHECK Atendidos": F.col("Atendidos") >= 0,
+        "CHECK Atenciones": F.col("Atenciones") >= 0,
+        **not_null(fact.columns),
+    }
+    parts = [
+        row_checks(fact, FACT_TABLE, checks),
+        unique_check(fact, FACT_TABLE, ["AtencionId"]),
+        foreign_key_check(fact, FACT_TABLE, ["CodigoUnico"], tables[FACILITY_TABLE]),
+        foreign_key_check(fact, FACT_TABLE, ["TipoEdad"], tables[AGE_UNIT_TABLE]),
+        *[foreign_key_check(fact, FACT_TABLE, [k.id], tables[n]) for n, k in parents.items()],
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def statistics_check(warehouse: Warehouse) -> DataFrame:
     """Rows in staging, in the fact, and facilities, side by side."""
     return reconcile(

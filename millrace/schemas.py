@@ -105,5 +105,7 @@ ATTENTION_WIDTHS = {
     "FECHA_CORTE": 8,
 }
 
+AGE_UNIT = record(TipoEdad=TEXT, Descripcion=TEXT)
+
 # Fixed catalogue of age units.
 AGE_UNITS = [("A", "Años"), ("M", "Meses"), ("D", "Días")]

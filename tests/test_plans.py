@@ -135,6 +135,13 @@ def test_loads_are_idempotent_and_logged(spark, wh):
         "staged": 6, "rejected_rows": 2, "violations": 2, "silently_dropped": 1,
         "already_present": 0, "inserted": 3,
     }
+    attentions.seed_age_units(wh)
+    attentions.seed_age_units(wh)
+    report = {r["regla"]: r["violaciones"] for r in attentions.model_report(wh).collect()}
+    assert len(report) == 24 and set(report.values()) == {0}
+    wide = rows.withColumn("TIPO_SEGURO", F.repeat(F.lit("x"), F.lit(21)))
+    bad = {r["regla"]: r["violaciones"] for r in attentions.staging_report(wide).collect()}
+    assert bad.pop("WIDTH TIPO_SEGURO <= 20") == 6 and set(bad.values()) == {0}
     # New rows continue ids and a single new member is added.
     more = staged(wh, flat(spark, {"DIA": 9, "UPS": "U2"})).filter("DIA = 9")
     attentions.load_dimensions(wh, more)
