@@ -8,6 +8,7 @@ from millrace.llm.base import QUERIES, SQL, query, table
 from millrace.llm.mixing import mix_sources
 from millrace.llm.token_counts import count_tokens
 from millrace.llm.url_rules import judge_urls
+from millrace.llm.wavelet import token_digest
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -63,3 +64,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query("op6_wavelet_tokens")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
