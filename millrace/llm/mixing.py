@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.base import WORD
+from millrace.operators.joins import keyed_join, measure
 from millrace.operators.keys import dense_ids
 from millrace.session import materialize
 
@@ -113,9 +114,9 @@ def mix_sources(
     keyed = sized.withColumn("bucket", bucket)
 
     def on_source(left: DataFrame, right: DataFrame) -> DataFrame:
-        return left.join(
-            right.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))
-        ).drop("_source")
+        """Join one row per source; it is broadcast if measured small, else hot sources are spread."""
+        stored = materialize(right, "mix-sources")
+        return keyed_join(left, stored, ["source"], right_size=measure(stored), null_safe=True)
 
     ranges = on_source(
         keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words")), plan.select("source", "budget")
@@ -155,16 +156,17 @@ def mix_sources(
     )
     gap = F.col("budget") - F.col("so_far")
     miss = F.abs(gap - F.col("size"))
-    filler = (
+    filler = materialize(
         on_source(drawn.filter(~F.col("drawn") & (F.col("size") > 0)), so_far)
         .filter(miss < gap)
         .groupBy("source")
         .agg(F.min(F.struct(miss.alias("miss"), "key", "row")).alias("f"))
-        .select(F.col("f.row").alias("row"), F.lit(True).alias("fills"))
+        .select(F.col("f.row").alias("row"), F.lit(True).alias("fills")),
+        "mix-fill",
     )
     copies = F.when(F.col("size") > 0, F.col("epochs") + (F.col("drawn") | F.coalesce("fills", F.lit(False))).cast("int"))
     return (
-        drawn.join(filler, "row", "left")
+        keyed_join(drawn, filler, ["row"], "left", measure(filler), balance=False)
         .withColumn("copies", F.coalesce(copies, F.lit(0)).cast("bigint"))
         .select(
             F.col("id").alias(id_col), "size", "source_size", "target",
