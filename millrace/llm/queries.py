@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.base import QUERIES, SQL, query, table
+from millrace.llm.decontam import find_items
 from millrace.llm.mixing import mix_sources
 from millrace.llm.token_counts import count_tokens
 from millrace.llm.url_rules import judge_urls
@@ -69,3 +70,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_wavelet_tokens")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query("op7_decontaminate")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
