@@ -9,6 +9,7 @@ from millrace.llm.decontam import find_items
 from millrace.llm.mixing import mix_sources
 from millrace.llm.token_counts import count_tokens
 from millrace.llm.url_rules import judge_urls
+from millrace.llm.warc_zip import archive_pages
 from millrace.llm.wavelet import token_digest
 
 __all__ = ["QUERIES", "SQL"]
@@ -75,3 +76,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_decontaminate")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN first < d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < d.page_id THEN first END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
+
+@query("op5_warc_zip", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"))
