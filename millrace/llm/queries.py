@@ -10,6 +10,7 @@ from millrace.llm.mixing import mix_sources
 from millrace.llm.token_counts import count_tokens
 from millrace.llm.url_rules import judge_urls
 from millrace.llm.warc_zip import archive_pages
+from millrace.llm.zstd_language import identify_languages
 from millrace.llm.wavelet import token_digest
 
 __all__ = ["QUERIES", "SQL"]
@@ -92,3 +93,8 @@ FROM d LEFT JOIN f USING (payload_digest)
 @query("op5_warc_zip", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op4_zstd_language")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
