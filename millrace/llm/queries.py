@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.base import QUERIES, SQL, query, table
 from millrace.llm.decontam import find_items
+from millrace.llm.hmm_lm import score_documents
 from millrace.llm.mixing import mix_sources
 from millrace.llm.token_counts import count_tokens
 from millrace.llm.url_rules import judge_urls
@@ -98,3 +99,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_zstd_language")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op2_hmm_lm")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
