@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.base import QUERIES, SQL, query, table
 from millrace.llm.decontam import find_items
 from millrace.llm.hmm_lm import score_documents
+from millrace.llm.minmax_dedup import near_duplicates
 from millrace.llm.mixing import mix_sources
 from millrace.llm.token_counts import count_tokens
+from millrace.llm.top_k import top_k
 from millrace.llm.url_rules import judge_urls
 from millrace.llm.warc_zip import archive_pages
 from millrace.llm.zstd_language import identify_languages
@@ -104,3 +106,24 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_hmm_lm")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+             vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op1_exact_top_k", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_minmax_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
