@@ -14,6 +14,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ MAGIC = b"WVMX1\0"
 BLOCK_BYTES = 1 << 16
 SHARD_TOKENS = 4 << 20
 ENCODE_BYTES = 4 << 20
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 900_000
 READ_TASKS = 20_000
 
 
@@ -229,40 +230,50 @@ class WordIds:
         self.model = Tokenizer.from_file(path)
         self.model.no_padding()
         self.model.no_truncation()
+        self.lowers = "Lowercase" in str(self.model.normalizer)
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.count = 0
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
 
-    def learn(self, new: list[bytes]) -> None:
+    def learn(self, words: set[bytes]) -> None:
+        # ASCII capitals do not matter to a tokenizer that lower-cases, so one form is encoded
+        form = {w: w.lower() if self.lowers and w.isascii() else w for w in words}
+        new = list(set(form.values()).difference(self.known))
         for a, b in slices(map(len, new), ENCODE_BYTES):
             found = self.model.encode_batch_fast([w.decode() for w in new[a:b]], add_special_tokens=False)
-            ids = [x.ids for x in found]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-            n, end = len(self.known), self.used + len(flat)
-            if end > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(end, np.uint32)])
-            if n + len(ids) > len(self.starts):
-                more = n + len(ids)
-                self.starts = np.concatenate([self.starts, np.zeros(more, np.int64)])
-                self.sizes = np.concatenate([self.sizes, np.zeros(more, np.int32)])
-            self.flat[self.used : end] = flat
-            self.sizes[n : n + len(ids)] = sizes
-            self.starts[n : n + len(ids)] = self.used + np.cumsum(sizes) - sizes
-            self.used = end
-            self.known.update(zip(new[a:b], range(n, n + len(ids)), strict=True))
+            self.remember(new[a:b], [x.ids for x in found])
+        self.known.update((w, self.known[f]) for w, f in form.items() if w != f)
+
+    def remember(self, new: list[bytes], ids: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        n, end = self.count, self.used + len(flat)
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(end, np.uint32)])
+        if n + len(ids) > len(self.starts):
+            more = n + len(ids)
+            self.starts = np.concatenate([self.starts, np.zeros(more, np.int64)])
+            self.sizes = np.concatenate([self.sizes, np.zeros(more, np.int32)])
+        self.flat[self.used : end] = flat
+        self.sizes[n : n + len(ids)] = sizes
+        self.starts[n : n + len(ids)] = self.used + np.cumsum(sizes) - sizes
+        self.used, self.count = end, n + len(ids)
+        self.known.update(zip(new, range(n, n + len(ids)), strict=True))
 
     def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with ``end`` after each text, and the count of each text."""
         if len(self.known) > KNOWN_WORDS:
             self.forget()
         split = [t.split() if t else [] for t in texts]
-        every = [w for words in split for w in words]
-        self.learn(list(set(every).difference(self.known)))
-        at = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
+        every = list(chain.from_iterable(split))
+        at = np.fromiter(map(self.known.get, every, repeat(-1)), np.int64, len(every))
+        new = np.flatnonzero(at < 0).tolist()
+        self.learn({every[i] for i in new})
+        at[new] = [self.known[every[i]] for i in new]
         sizes = self.sizes[at].astype(np.int64)
         through = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.flat[np.repeat(self.starts[at] - through[:-1], sizes) + np.arange(through[-1])]
