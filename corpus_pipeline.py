@@ -1,16 +1,83 @@
-"""A corpus from raw documents to token files, stage by stage."""
+"""A corpus from raw documents to token files, stage by stage.
+
+Every stage takes what its predecessor kept, whole, and its decisions take effect on rows: all
+columns of the documents go on as they are.  Rows that share an id are one document to a stage
+that joins its decisions back.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm.base import table
+from millrace.llm.base import table, tokenizer_file, unused
+from millrace.llm.decontam import find_items
+from millrace.llm.minmax_dedup import near_duplicates
+from millrace.llm.mixing import mix_sources
+from millrace.llm.wavelet import token_digest
+from millrace.llm.zstd_language import keep_identified
 from millrace.session import materialize
 
-STAGES: list = []
+#: The language models and the id rule have no form in SQL.
 ORACLE_SQL = None
 
 
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told clearly."""
+    return keep_identified(docs)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id.
+
+    Rows that repeat an id with the same text are reduced to one.  Rows without an id stay.
+    """
+    name = unused(docs.columns, "dropped_id")
+    found = materialize(near_duplicates(docs), "near")
+    by_id = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max("kept").alias("kept"), F.count("*").alias("n")
+    )
+    by_id = materialize(by_id, "near-ids")
+    dropped = by_id.filter(~F.col("kept")).select(F.col("doc_id").alias(name))
+    left = docs.join(dropped, F.col("doc_id") == F.col(name), "left_anti")
+    if by_id.filter(F.col("n") > 1).isEmpty():
+        return left
+    again = by_id.filter(F.col("n") > 1).select(F.col("doc_id").alias(name))
+    once = left.join(again, F.col("doc_id") == F.col(name), "left_anti")
+    several = left.join(again, F.col("doc_id") == F.col(name), "left_semi")
+    return once.unionByName(several.dropDuplicates(["doc_id", "text"]))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    name = unused(docs.columns, "hit_id")
+    found = materialize(find_items(docs, table(spark, sf_dir, "benchmark")), "hits")
+    hit = found.filter("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: whole epochs, and once more if drawn."""
+    name, times = unused(docs.columns, "mix_id"), unused(docs.columns, "mix_copies")
+    copies = mix_sources(docs).groupBy(F.col("doc_id").alias(name)).agg(F.max("copies").cast("int").alias(times))
+    taken = docs.join(copies.filter(F.col(times) > 0), F.col("doc_id").eqNullSafe(F.col(name)))
+    return taken.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+
+
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token shards of the mix, and where in them each document lies."""
+    return token_digest(docs, tokenizer_file("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language", identified),
+    ("near_dedup", deduplicated),
+    ("decontamination", decontaminated),
+    ("mixing", mixed),
+    ("tokens", tokenized),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in turn over ``documents``; each one's rows are written and read again."""
     docs = table(spark, sf_dir, "documents")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm.base import QUERIES, SQL, query, table
+from millrace.llm.base import QUERIES, SQL, query, table, tokenizer_file
 from millrace.llm.decontam import find_items
 from millrace.llm.hmm_lm import score_documents
 from millrace.llm.minmax_dedup import near_duplicates
@@ -51,12 +51,6 @@ FROM judged
 """
 
 
-def tokenizer_file(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @query("op8_mix_sources")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
