@@ -18,8 +18,8 @@ from millrace.llm.base import held_out
 #: in all.  The rest covers every row and every text whole.
 SAMPLE_ROWS = 400
 SAMPLE_ROW_BYTES = 1000
-DICTIONARY_BYTES = 64 << 10
-LEVEL = 5
+DICTIONARY_BYTES = 96 << 10
+LEVEL = 9
 PIECE_BYTES = 2048
 LEAST_MARGIN = 0.004
 
@@ -52,15 +52,19 @@ def fit_dictionaries(
     """A raw-content dictionary for each language, from rows outside the held-out fold.
 
     The rows of a language with the smallest hashes of their ids are the sample (``rows`` of
-    them); choosing them reads ids and languages only and keeps at most ``rows`` a task and
-    language before the shuffle.  Rows without an id or a language are not learned from.
+    them).  Choosing them reads ids and languages only: languages are counted, then only hashes
+    under a bound that some four times ``rows`` of a language will meet are ranked.  Rows without
+    an id or a language are not learned from.
     """
-    keys = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("language")).filter(
-        F.col("id").isNotNull() & F.col("language").isNotNull() & ~held_out(F.col("id"), 4)
-    )
+    keys = docs.select(
+        F.col(id_col).alias("id"), F.col(lang_col).alias("language"), F.xxhash64(id_col).alias("h")
+    ).filter(F.col("id").isNotNull() & F.col("language").isNotNull() & ~held_out(F.col("id"), 4))
+    counts = keys.groupBy("language").agg(F.count("*").alias("n"))
+    bound = F.least(4.0 * rows / F.col("n"), F.lit(1.0)) * float(1 << 64) - float(1 << 63)
     order = Window.partitionBy("language").orderBy("h", "id")
     chosen = (
-        keys.withColumn("h", F.xxhash64("id"))
+        keys.join(F.broadcast(counts.select("language", bound.alias("bound"))), "language")  # a row per language
+        .filter(F.col("h").cast("double") <= F.col("bound"))
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= rows)
         .select("id", "h")
