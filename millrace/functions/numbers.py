@@ -13,16 +13,22 @@ def parse_int(c: Column | str) -> Column:
     return F.trim(column(c)).cast("int")
 
 
+# Fixed value: decimal text, with an exponent or not, blanks around it.
+DECIMAL_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def parse_number(c: Column | str) -> Column:
-    """Any numeric text ('3', '3.0', '1e3') as double; what is not a number is NULL."""
-    return column(c).try_cast("double")
+    """Decimal text ('3', '3.0', '1e3') as double; anything else is NULL, also what only the
+    engine's own cast would take ('3d', '0x1p3', 'NaN')."""
+    c = column(c)
+    return F.when(c.cast("string").rlike(DECIMAL_TEXT), c.try_cast("double"))
 
 
 def clamp_count(c: Column | str) -> Column:
     """Count repair: unreadable or missing is 0, negative is 0, fractions are cut."""
     c = column(c)
     value = parse_number(c)
-    cut = F.when(~F.isnan(value), value).try_cast("bigint")
+    cut = value.try_cast("bigint")
     return F.greatest(F.coalesce(c.try_cast("bigint"), cut, F.lit(0)), F.lit(0)).cast("bigint")
 
 

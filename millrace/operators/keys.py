@@ -81,14 +81,12 @@ def first_per_key(
 ) -> DataFrame:
     """The ``values`` of the first row of each key in the given order.
 
-    Equal variants are folded first (a hash aggregate that combines within each task), then
-    the earliest variant of each key is kept; among variants that start at the same position
-    the smallest one.  No group is ever gathered in one task.
+    One aggregate: each task keeps the earliest row of a key, and so does the final step; among
+    rows at the same position the smallest.  No group is ever gathered in one task.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    variants = df.groupBy(*keys, *values).agg(F.min(rank).alias("_first"))
-    best = variants.groupBy(*keys).agg(F.min(F.struct("_first", *values)).alias("_v"))
+    best = df.groupBy(*keys).agg(F.min(F.struct(rank.alias("_first"), *values)).alias("_v"))
     first = ["_v._first"] if len(order) == 1 else [f"_v._first.{c}" for c in order]
     return best.select(
         *keys,

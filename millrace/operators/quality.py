@@ -90,9 +90,9 @@ def with_membership(
     return keyed_join(df, known, keys, "left", parent_size, balance=False)
 
 
-def reject_log(df: DataFrame, rules: Sequence[Rule], id_column: str, process: str) -> DataFrame:
-    """One row per broken rule (not per record), in a single scan of ``df``."""
-    found = F.array_compact(
+def broken_rules(rules: Sequence[Rule]) -> Column:
+    """The rules that a row breaks, as an array of (Campo, ValorOriginal, Motivo)."""
+    return F.array_compact(
         F.array(
             *[
                 F.when(
@@ -107,6 +107,11 @@ def reject_log(df: DataFrame, rules: Sequence[Rule], id_column: str, process: st
             ]
         )
     )
+
+
+def reject_log(df: DataFrame, rules: Sequence[Rule], id_column: str, process: str) -> DataFrame:
+    """One row per broken rule (not per record), in a single scan of ``df``."""
+    found = broken_rules(rules)
     return df.select(F.col(id_column).cast("bigint").alias("StgId"), F.explode(found).alias("v")).select(
         F.lit(process).alias("Proceso"), "StgId", "v.Campo", "v.ValorOriginal", "v.Motivo"
     )

@@ -15,8 +15,8 @@ from millrace.operators.joins import not_yet_in
 from millrace.operators.keys import first_per_key
 from millrace.operators.quality import (
     SEXES,
-    QualityError,
     attention_rules,
+    broken_rules,
     castable,
     foreign_key_check,
     max_width,
@@ -61,6 +61,7 @@ FACILITY_SOURCE = [
     "DISTRITO",
 ]
 FACILITY_TABLE, FACT_TABLE, REJECT_TABLE = "Establecimiento", "Atencion", "LogErroresValidacion"
+AUDIT_TABLE = "LogAuditoriaAtencion"
 CLOSED_TABLE, STAGING_TABLE, AGE_UNIT_TABLE = "PeriodoCerrado", "stg_Atenciones", "TipoEdad"
 
 # Process names in the run and reject logs.
@@ -129,7 +130,8 @@ def load_dimensions(
 
     Staging is scanned twice, once per group of columns, and only distinct combinations go
     further.  Lookups and facilities become visible together.  A conflict among facilities
-    undoes that block alone and is logged as a partial error; any other error undoes all.
+    (any error there) undoes that block alone and is logged as a partial error; an error among
+    the lookups undoes all.
     """
     with logged_run(warehouse, LOAD_LOOKUPS) as run:
         places, services = in_parallel(
@@ -148,12 +150,11 @@ def load_dimensions(
         fresh |= more
         partial = None
         try:
-            facilities = new_facilities(
-                places, whole, warehouse.table(FACILITY_TABLE, schemas.FACILITY), on_conflict
-            )
+            known = warehouse.table(FACILITY_TABLE, schemas.FACILITY)
+            facilities = materialize(new_facilities(places, whole, known, on_conflict), "facilities")
             counts = warehouse.publish(append={**fresh, FACILITY_TABLE: facilities})
             run.inserted = counts[FACILITY_TABLE]
-        except QualityError as conflict:
+        except Exception as conflict:
             partial = str(conflict)
             warehouse.publish(append=fresh)
             block = Run(f"{LOAD_LOOKUPS}:{FACILITY_TABLE}", run.started)
@@ -169,10 +170,12 @@ def extend_with_region(provinces: DataFrame, regions: DataFrame, region: str) ->
     return extended
 
 
-def validate(staged: DataFrame, facilities: DataFrame) -> DataFrame:
-    """One reject row per broken rule."""
+def validate(staged: DataFrame, facilities: DataFrame, as_array: bool = False) -> DataFrame:
+    """One reject row per broken rule; or each row's broken rules as an array ``v``."""
     keys = facilities.select(F.col("CodigoUnico").alias("CODIGO_UNICO"))
     flagged = with_membership(staged, keys, ["CODIGO_UNICO"])
+    if as_array:
+        return flagged.select(broken_rules(attention_rules()).alias("v"))
     return reject_log(flagged, attention_rules(), "StgId", LOAD_FACT)
 
 
@@ -240,34 +243,59 @@ def load_attentions(
     """Validate, log the rejects, resolve, skip what is loaded, insert.
 
     Rejects are published first and stay when the load fails afterwards.  The fact batch,
-    partitioned by year and month, becomes visible whole or not at all.
+    partitioned by year and month, and its change log become visible whole or not at all.  Only
+    rows that would be inserted may not lie in a closed period: a batch that is loaded already
+    runs again without harm.
     """
     with logged_run(warehouse, LOAD_FACT) as run:
         facilities = warehouse.table(FACILITY_TABLE, schemas.FACILITY)
         rejects = validate(staged, facilities).withColumn(
             "FechaRegistro", F.date_trunc("second", F.current_timestamp())
         )
-        run.rejected = warehouse.publish(append={REJECT_TABLE: rejects})[REJECT_TABLE]
+        rejects = identities(rejects, "ErrorId", warehouse.highest_id(REJECT_TABLE))
+        run.rejected = warehouse.publish(append={REJECT_TABLE: rejects}, ids={REJECT_TABLE: "ErrorId"})[REJECT_TABLE]
 
         lookups = warehouse.tables({k.table: k.schema for k in SERVICES})
         batch = materialize(resolve_attentions(staged, facilities, lookups), "batch")
-        require_open_periods(batch, warehouse.table(CLOSED_TABLE, schemas.CLOSED_PERIODS), "Fecha")
         require(batch, FACT_TABLE, not_null([*GRAIN, "Atendidos", "Atenciones", "FechaCorte"]))
         existing = warehouse.table(FACT_TABLE, schemas.ATTENTION_FACT)
         fresh = new_attentions(batch, existing, dedupe_batch)
         # Rows of a month meet in tasks of even size, a large month in several; ids are given
         # after that shuffle, in the tasks that write, so that a retried task repeats none.
         even = fresh.hint("rebalance", "Anio", "Mes")
-        numbered = identities(even, "AtencionId", warehouse.highest_id(FACT_TABLE))
+        numbered = materialize(identities(even, "AtencionId", warehouse.highest_id(FACT_TABLE)), "numbered")
+        require_open_periods(numbered, warehouse.table(CLOSED_TABLE, schemas.CLOSED_PERIODS), "Fecha")
+        audit = inserted_log(warehouse, AUDIT_TABLE, schemas.ATTENTION_AUDIT, numbered, ["Atendidos", "Atenciones"])
         counts = warehouse.publish(
-            append={FACT_TABLE: numbered.select(*schemas.ATTENTION_FACT.names)},
+            append={FACT_TABLE: numbered.select(*schemas.ATTENTION_FACT.names), AUDIT_TABLE: audit},
             partition_by={FACT_TABLE: ["Anio", "Mes"]},
-            ids={FACT_TABLE: "AtencionId"},
+            ids={FACT_TABLE: "AtencionId", AUDIT_TABLE: "AuditId"},
         )
         run.inserted = counts[FACT_TABLE]
         return LoadResult(run.inserted, run.rejected)
 
 
+def inserted_log(
+    warehouse: Warehouse, table: str, schema: T.StructType, rows: DataFrame, values: list[str]
+) -> DataFrame:
+    """Change log rows of inserted ``rows``: nothing before, ``values`` after."""
+    named = {f"{v}_Nuevo": F.col(v) for v in values}
+    logged = rows.select(
+        *[
+            (
+                F.lit("I") if f.name == "Operacion"
+                else F.current_user() if f.name == "UsuarioBD"
+                else F.date_trunc("second", F.current_timestamp()) if f.name == "FechaHora"
+                else F.lit(None) if f.name.endswith("_Anterior")
+                else named.get(f.name, F.col(f.name))
+            ).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+            if f.name != "AuditId"
+        ]
+    )
+    return identities(logged, "AuditId", warehouse.highest_id(table))
+
+
 def audit_attentions(old: DataFrame, new: DataFrame, user: Column | None = None, at: Column | None = None) -> DataFrame:
     """Change log of the attentions fact: old and new counts per changed row.
 
@@ -341,14 +369,13 @@ def account_for(staged: DataFrame, facilities: DataFrame, lookups: dict[str, Dat
     Silently dropped are rows that break no rule but have an unknown rule value or an
     unknown lookup member.
     """
-    rejected = (
-        validate(staged, facilities)
-        .groupBy("StgId")
-        .agg(F.count("*").alias("violations"))
-        .agg(F.count("*").alias("rejected_rows"), F.coalesce(F.sum("violations"), F.lit(0)).alias("violations"))
+    broken = validate(staged, facilities, as_array=True)
+    rejected = broken.agg(
+        F.count_if(F.size("v") > 0).alias("rejected_rows"),
+        F.coalesce(F.sum(F.size("v")), F.lit(0)).alias("violations"),
     )
     batch = materialize(resolve_attentions(staged, facilities, lookups), "batch")
-    fresh = not_yet_in(batch, existing, GRAIN)
+    fresh = not_yet_in(batch, same_periods(existing, batch), GRAIN)
     counts = (
         staged.agg(F.count("*").alias("staged"))
         .crossJoin(rejected)

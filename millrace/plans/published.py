@@ -12,24 +12,32 @@ from millrace.plans import attentions, reimbursements
 from millrace.plans.run_log import RUN_TABLE
 from millrace.sources.warehouse import Warehouse
 
-# Analysts get validated facts, lookups and the suppressed view; never staging or logs.
-# Auditors also get the logs and the detailed reimbursements.
-_LOOKUPS = [*attentions.PLACES, *attentions.SERVICES, *reimbursements.CATALOGUES]
+# Analysts get the attentions fact with its lookups and the suppressed view; never staging,
+# logs or detailed reimbursements.  Auditors get the logs, the closed periods and both facts.
+_ANALYST = {
+    **{k.table: k.schema for k in (*attentions.PLACES, *attentions.SERVICES)},
+    attentions.AGE_UNIT_TABLE: schemas.AGE_UNIT,
+    attentions.FACILITY_TABLE: schemas.FACILITY,
+    attentions.FACT_TABLE: schemas.ATTENTION_FACT,
+}
+_AUDITOR = {
+    attentions.AUDIT_TABLE: schemas.ATTENTION_AUDIT,
+    RUN_TABLE: schemas.RUN_LOG,
+    attentions.REJECT_TABLE: schemas.REJECT_LOG,
+    attentions.CLOSED_TABLE: schemas.CLOSED_PERIODS,
+    attentions.FACT_TABLE: schemas.ATTENTION_FACT,
+    reimbursements.FACT_TABLE: schemas.REIMBURSEMENT_FACT,
+    reimbursements.AUDIT_TABLE: schemas.REIMBURSEMENT_AUDIT,
+}
 
 
 def datasets(warehouse: Warehouse, audience: str) -> dict[str, DataFrame]:
     """Frames for 'analyst' or 'auditor' by view name."""
-    frames = warehouse.tables({k.table: k.schema for k in _LOOKUPS})
-    frames["Establecimiento"] = warehouse.table("Establecimiento", schemas.FACILITY)
-    frames["Atencion"] = warehouse.table("Atencion", schemas.ATTENTION_FACT)
-    frames["vw_ReembolsosAgregado"] = reimbursements.warehouse_view(warehouse)
     if audience == "auditor":
-        frames["Reembolso"] = warehouse.table("Reembolso", schemas.REIMBURSEMENT_FACT)
-        frames[RUN_TABLE] = warehouse.table(RUN_TABLE, schemas.RUN_LOG)
-        frames[attentions.REJECT_TABLE] = warehouse.table(attentions.REJECT_TABLE, schemas.REJECT_LOG)
-    elif audience != "analyst":
+        return warehouse.tables(_AUDITOR)
+    if audience != "analyst":
         raise ValueError(f"unknown audience: {audience}")
-    return frames
+    return {**warehouse.tables(_ANALYST), "vw_ReembolsosAgregado": reimbursements.warehouse_view(warehouse)}
 
 
 def register(warehouse: Warehouse, audience: str) -> list[str]:

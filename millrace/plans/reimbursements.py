@@ -14,6 +14,7 @@ from millrace.operators.aggregates import suppress_small_cells
 from millrace.operators.audit import change_log
 from millrace.operators.joins import keyed_join, not_yet_in
 from millrace.operators.quality import not_null, reconcile, require
+from millrace.plans.attentions import REJECT_TABLE, inserted_log, same_periods
 from millrace.plans.lookups import Lookup, load_lookups, resolve
 from millrace.plans.run_log import LoadResult, logged_run
 from millrace.session import materialize
@@ -29,7 +30,7 @@ PARENTESCO = Lookup("Parentesco", "ParentescoId", "Parentesco")
 SITUACION = Lookup("SituacionAsegurado", "SituacionAseguradoId", "Situacion")
 
 CATALOGUES = [REGION, SEDE, TIPO_ATENCION, MEDIO, SOLICITANTE, CONDICION, PARENTESCO, SITUACION]
-FACT_TABLE, STAGING_TABLE = "Reembolso", "stg_Reembolsos"
+FACT_TABLE, STAGING_TABLE, AUDIT_TABLE = "Reembolso", "stg_Reembolsos", "LogAuditoriaReembolso"
 PROCESS = "reembolsos.sp_CargarReembolsos"  # fixed value: process name in the run log
 
 # Full grain of the fact.
@@ -64,26 +65,52 @@ def resolve_reimbursements(
     rows = staged
     for lookup in CATALOGUES:
         rows = resolve(rows, lookup, catalogues[lookup.table])
+    day = parse_day_first("Periodo")
+    money = parse_money("MontoPagado", "fail" if on_bad_value == "fail" else "null")
     return rows.select(
-        parse_day_first("Periodo").alias("Periodo"),
+        day.alias("Periodo"),
         *[k.id for k in CATALOGUES if k is not REGION],
         parse_int("NumeroDeAsegurados").alias("NumeroAsegurados"),
         parse_int("SolicitudesDeReembolso").alias("SolicitudesReembolso"),
-        parse_money("MontoPagado", on_bad_value).alias("MontoPagado"),
+        money.alias("MontoPagado"),
+        F.year(day).alias("Anio"),
+        F.month(day).alias("Mes"),
+        *[c for c in ("StgId",) if c in staged.columns],
+    )
+
+
+def money_rejects(rows: DataFrame) -> DataFrame:
+    """A reject row for each amount that is no amount."""
+    bad = F.col("MontoPagado").isNotNull() & parse_money("MontoPagado", "null").isNull()
+    return rows.filter(bad).select(
+        F.lit(PROCESS).alias("Proceso"),
+        (F.col("StgId") if "StgId" in rows.columns else F.lit(None)).cast("bigint").alias("StgId"),
+        F.lit("MontoPagado").alias("Campo"),
+        F.col("MontoPagado").alias("ValorOriginal"),
+        F.lit("Monto no valido").alias("Motivo"),
+        F.date_trunc("second", F.current_timestamp()).alias("FechaRegistro"),
     )
 
 
 def load_reimbursements(warehouse: Warehouse, staged: DataFrame, on_bad_value: str = "fail") -> LoadResult:
     """Drop blank rows, load catalogues, resolve and parse, skip what is loaded, insert.
 
-    Returns rows inserted and blank rows discarded.  Catalogues are published before the
-    fact and stay when the fact load fails.
+    Returns rows inserted and rows discarded or rejected.  Blank rows leave the staging table
+    first, so a second run counts none.  Catalogues are published before the fact and stay when
+    the fact load fails.  ``on_bad_value`` is 'fail' (an unreadable amount stops the load) or
+    'reject' (the row is left out, and logged and counted).  The fact, partitioned by year and
+    month of its period, and its change log become visible together.
     """
+    if on_bad_value not in ("fail", "reject"):
+        raise ValueError(f"unknown policy: {on_bad_value}")
     with logged_run(warehouse, PROCESS) as run:
-        rows = drop_blank(staged)
+        rows = materialize(drop_blank(staged), "staged")
         run.rejected = staged.agg(
             F.count_if(F.trim("Periodo") == "").alias("n")
         ).first()["n"]
+        if run.rejected and warehouse.exists(STAGING_TABLE):
+            held = drop_blank(warehouse.table(STAGING_TABLE, staging_schema()))
+            warehouse.publish(replace={STAGING_TABLE: materialize(held, "staging")}, ids={STAGING_TABLE: "StgId"})
         rows = trim_names(rows)
         names = materialize(rows.select(*NAMES).distinct(), "names")
         current = warehouse.tables({k.table: k.schema for k in CATALOGUES})
@@ -91,18 +118,22 @@ def load_reimbursements(warehouse: Warehouse, staged: DataFrame, on_bad_value: s
         warehouse.publish(append=fresh)
 
         catalogues = warehouse.tables({k.table: k.schema for k in CATALOGUES})
-        batch = materialize(resolve_reimbursements(rows, catalogues, on_bad_value), "batch")
-        if on_bad_value == "null":
-            batch = batch.filter(F.col("MontoPagado").isNotNull())
+        if on_bad_value == "reject":
+            rejects = identities(money_rejects(rows), "ErrorId", warehouse.highest_id(REJECT_TABLE))
+            run.rejected += warehouse.publish(append={REJECT_TABLE: rejects}, ids={REJECT_TABLE: "ErrorId"})[REJECT_TABLE]
+            rows = rows.filter(F.col("MontoPagado").isNull() | parse_money("MontoPagado", "null").isNotNull())
+        batch = materialize(resolve_reimbursements(rows, catalogues).drop("StgId"), "batch")
         required = [f for f in schemas.REIMBURSEMENT_FACT.names if f != "ReembolsoId"]
         measures = ("NumeroAsegurados", "SolicitudesReembolso", "MontoPagado")
         require(batch, FACT_TABLE, {**not_null(required), **{f"{m} >= 0": F.col(m) >= 0 for m in measures}})
         existing = warehouse.table(FACT_TABLE, schemas.REIMBURSEMENT_FACT)
-        fresh_rows = not_yet_in(batch, existing, GRAIN)
-        numbered = identities(fresh_rows, "ReembolsoId", warehouse.highest_id(FACT_TABLE))
+        fresh_rows = not_yet_in(batch, same_periods(existing, batch), GRAIN).hint("rebalance", "Anio", "Mes")
+        numbered = materialize(identities(fresh_rows, "ReembolsoId", warehouse.highest_id(FACT_TABLE)), "numbered")
+        audit = inserted_log(warehouse, AUDIT_TABLE, schemas.REIMBURSEMENT_AUDIT, numbered, ["MontoPagado"])
         counts = warehouse.publish(
-            append={FACT_TABLE: numbered.select(*schemas.REIMBURSEMENT_FACT.names)},
-            ids={FACT_TABLE: "ReembolsoId"},
+            append={FACT_TABLE: numbered.select(*schemas.REIMBURSEMENT_FACT.names), AUDIT_TABLE: audit},
+            partition_by={FACT_TABLE: ["Anio", "Mes"]},
+            ids={FACT_TABLE: "ReembolsoId", AUDIT_TABLE: "AuditId"},
         )
         run.inserted = counts[FACT_TABLE]
         return LoadResult(run.inserted, run.rejected)

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -40,6 +41,7 @@ def log_run(
     row = warehouse.spark.createDataFrame(
         [
             (
+                warehouse.highest_id(RUN_TABLE) + 1,
                 process or run.process,
                 run.started,
                 datetime.now(UTC).replace(microsecond=0),
@@ -53,7 +55,7 @@ def log_run(
         ],
         schemas.RUN_LOG,
     ).withColumn("UsuarioEjecucion", F.current_user())
-    warehouse.publish(append={RUN_TABLE: row})
+    warehouse.publish(append={RUN_TABLE: row}, ids={RUN_TABLE: "LogId"})
 
 
 @contextmanager
@@ -69,7 +71,7 @@ def logged_run(warehouse: Warehouse, process: str) -> Iterator[Run]:
     log_run(warehouse, run, OK)
 
 
-def latest(log, n: int = 10, process: str | None = None):
-    """The most recent runs, newest first."""
+def latest(log: DataFrame, n: int = 10, process: str | None = None, id_column: str = "LogId") -> DataFrame:
+    """The ``n`` log rows with the highest ids, newest first."""
     chosen = log if process is None else log.filter(F.col("Proceso") == process)
-    return chosen.orderBy(F.desc("FechaInicio"), F.desc("FechaFin")).limit(n)
+    return chosen.orderBy(F.desc(id_column)).limit(n)

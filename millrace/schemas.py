@@ -52,7 +52,7 @@ ATTENTION_FACT = record(
 REIMBURSEMENT_FACT = record(
     ReembolsoId=LONG, Periodo=DAY, SedeId=INT, TipoAtencionId=INT, MedioSolicitudId=INT,
     TipoSolicitanteId=INT, CondicionAseguradoId=INT, ParentescoId=INT, SituacionAseguradoId=INT,
-    NumeroAsegurados=INT, SolicitudesReembolso=INT, MontoPagado=MONEY,
+    NumeroAsegurados=INT, SolicitudesReembolso=INT, MontoPagado=MONEY, Anio=INT, Mes=INT,
 )
 
 FACILITY = record(
@@ -60,12 +60,22 @@ FACILITY = record(
 )
 
 RUN_LOG = record(
-    Proceso=TEXT, FechaInicio=MOMENT, FechaFin=MOMENT, FilasLeidas=LONG, FilasInsertadas=LONG,
+    LogId=LONG, Proceso=TEXT, FechaInicio=MOMENT, FechaFin=MOMENT, FilasLeidas=LONG, FilasInsertadas=LONG,
     FilasRechazadas=LONG, Estado=TEXT, MensajeError=TEXT, UsuarioEjecucion=TEXT,
 )
 
 REJECT_LOG = record(
-    Proceso=TEXT, StgId=LONG, Campo=TEXT, ValorOriginal=TEXT, Motivo=TEXT, FechaRegistro=MOMENT,
+    ErrorId=LONG, Proceso=TEXT, StgId=LONG, Campo=TEXT, ValorOriginal=TEXT, Motivo=TEXT, FechaRegistro=MOMENT,
+)
+
+ATTENTION_AUDIT = record(
+    AuditId=LONG, Operacion=TEXT, AtencionId=LONG, CodigoUnico=INT, Fecha=DAY, Atendidos_Anterior=INT,
+    Atendidos_Nuevo=INT, Atenciones_Anterior=INT, Atenciones_Nuevo=INT, UsuarioBD=TEXT, FechaHora=MOMENT,
+)
+
+REIMBURSEMENT_AUDIT = record(
+    AuditId=LONG, Operacion=TEXT, ReembolsoId=LONG, Periodo=DAY, MontoPagado_Anterior=MONEY,
+    MontoPagado_Nuevo=MONEY, UsuarioBD=TEXT, FechaHora=MOMENT,
 )
 
 STEP_LOG = record(

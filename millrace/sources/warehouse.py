@@ -12,13 +12,16 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.schemas import FLAG, LONG, TEXT, record
 from millrace.session import empty_frame, in_parallel
 
+#: Room for 16.7 million write tasks in one batch.
+TASK_BITS = 24
+
 _PUBLISHED = record(version=LONG, tabla=TEXT, batch=TEXT, replaces=FLAG, top=LONG)
 
 
@@ -109,7 +112,18 @@ def identities(df: DataFrame, name: str, after: int = 0) -> DataFrame:
     The position within the task is the high part and the task the low part, so one batch
     uses up little of the range.
     """
-    serial = F.monotonically_increasing_id()
+    return df.select(row_id(F.monotonically_increasing_id(), after).alias(name), *df.columns)
+
+
+def row_id(serial: Column, after: int) -> Column:
+    """The id of a row from its serial (task in the bits above 33, position below).
+
+    Tasks have ``TASK_BITS`` bits, positions the 33 that a serial gives them.  A task number
+    beyond its bits, or a sum beyond a long, stops the job.
+    """
     task = F.shiftright(serial, 33)
     position = serial.bitwiseAND(F.lit((1 << 33) - 1))
-    return df.select((F.lit(after) + 1 + F.shiftleft(position, 20) + task).alias(name), *df.columns)
+    beyond = F.raise_error(F.lit("more write tasks than row ids have room for")).cast("bigint")
+    checked = F.when(task < (1 << TASK_BITS), task).otherwise(beyond)
+    # a product, as a shift would lose silently what overflows
+    return F.lit(after).cast("bigint") + 1 + position * F.lit(1 << TASK_BITS) + checked

@@ -206,7 +206,11 @@ def test_reimbursements(spark, wh):
     analyst = published.datasets(wh, "analyst")
     assert "vw_ReembolsosAgregado" in analyst and "Reembolso" not in analyst and RUN_TABLE not in analyst
     assert {"Reembolso", RUN_TABLE} <= set(published.register(wh, "auditor"))
-    assert spark.table("vw_ReembolsosAgregado").count() == 1
+    audit = spark.table("LogAuditoriaReembolso")
+    assert sorted((r["Operacion"], r["MontoPagado_Nuevo"]) for r in audit.collect()) == [
+        ("I", Decimal("9.99")), ("I", Decimal("1225.50")),
+    ]
+    assert "vw_ReembolsosAgregado" not in published.datasets(wh, "auditor") and "TipoEdad" in analyst
 
 
 def test_missing_period_fails_but_catalogues_stay(spark, wh):
