@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ BAND_ROWS = 4
 #: Buckets of at most this many texts are compared whole at once; larger ones through a hub first.
 SMALL_BUCKET = 16
 BATCH_BYTES = 4 << 20
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
 STEP = 1024
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -130,13 +131,17 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(1).to_pylist()
-            sets = list(text_sets(utf8(batch.column(2)), size))
-            same = [i for i, items in enumerate(sets) if set_key(items) == keys[i]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(same, pa.int64())), pa.array([sets[i].tobytes() for i in same], pa.binary())],
-                ["cls", "items"],
-            )
+            lengths = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_pylist()
+            for a, b in slices(lengths, BATCH_BYTES):
+                part = batch.slice(a, b - a)
+                keys, same, sets = part.column(1).to_pylist(), [], []
+                for i, items in enumerate(text_sets(utf8(part.column(2)), size)):
+                    if set_key(items) == keys[i]:
+                        same.append(i)
+                        sets.append(items.tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(same, pa.int64())), pa.array(sets, pa.binary())], ["cls", "items"]
+                )
 
     stored = materialize(wanted, "wanted")
     side = F.broadcast(stored) if fits_broadcast(measure(stored)) else stored
@@ -150,8 +155,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in (2, 3))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * both >= percent * (len(x) + len(y) - both):
                     keep.append(i)
