@@ -253,22 +253,104 @@ def test_documents(spark, tmp_path):
     assert found.first().asDict(True) == {"establecimiento": {"nombre": "POSTA UNO"}, "atenciones": 8}
 
 
-def test_collection_edits(spark, tmp_path):
+def test_keyed_edits(spark):
     docs = documents.build_documents(flat(spark, {}, {"DIA": 2}))
-    coll = documents.Collection(spark, str(tmp_path / "c"), buckets=4)
-    coll.create(documents.with_document_id(docs, content_hash=True))
-    made = coll.insert_one(docs.limit(1).withColumn("origen", F.lit("prueba")))
+    coll = documents.with_document_id(docs, content_hash=True)
+    coll, made = documents.insert_one(coll, docs.limit(1).withColumn("origen", F.lit("prueba")))
     assert coll.count() == 3
     change = {"establecimiento.categoria": "I-1 ACTUALIZADA", "actualizadoPor": "equipo"}
-    assert coll.update_one(made, change) == 1
-    assert coll.update_one(made, change) == 0
-    doc = coll.find_one(made).first()
+    coll, changed = documents.update_one(coll, made, change)
+    assert changed == 1 and documents.update_one(coll, made, change)[1] == 0
+    doc = documents.find(coll, {"_id": made}).first()
     assert (doc["establecimiento"]["categoria"], doc["actualizadoPor"], doc["origen"]) == ("I-1 ACTUALIZADA", "equipo", "prueba")
-    assert coll.delete_one(made) == 1
-    assert coll.delete_one(made) == 0
+    coll, gone = documents.delete_one(coll, made)
+    assert gone == 1 and documents.delete_one(coll, made)[1] == 0
     assert coll.count() == 2
 
 
+def test_documents_are_checked_one_by_one(spark):
+    good = '{"fecha":{"$date":"2023-01-01T00:00:00.000Z"},"establecimiento":{"codigo":1,"nombre":"A"},"paciente":{},"ups":"u","atendidos":1,"atenciones":2,"mas":[1]}'
+    lines = [
+        good, good.replace('"paciente":{}', '"paciente":{"edad":null}'), good.replace('"codigo":1', '"codigo":"1"'),
+        good.replace('"ups":"u",', ""), good.replace('"ups":"u"', '"ups":null'), good.replace('"nombre":"A"', '"red":null'),
+        good.replace("2023-01-01T", "2023-13-01T"), good.replace('"paciente":{}', '"paciente":{"edad":3.5}'), "{",
+        good.replace('"establecimiento":{"codigo":1,"nombre":"A"},', ""),
+    ]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, value string")
+    got = {}
+    for r in documents.json_violations(df, id_column="i").collect():
+        got.setdefault(r["i"], set()).add((r["ruta"], r["regla"]))
+    assert got == {
+        2: {("establecimiento.codigo", "type")}, 3: {("ups", "required")}, 4: {("ups", "type")},
+        5: {("establecimiento.nombre", "required"), ("establecimiento.red", "type")}, 6: {("fecha", "type")},
+        7: {("paciente.edad", "type")}, 8: {("", "json")}, 9: {("establecimiento", "required")},
+    }
+
+
+def test_open_fields_and_fractions(spark, tmp_path):
+    path = tmp_path / "d.jsonl"
+    path.write_text(
+        '{"fecha":{"$date":"2023-01-02T00:00:00.000Z"},"ups":"u","origen":"x","n":3}\n'
+        '{"fecha":{"$date":"2023-99-02T00:00:00Z"},"ups":"v"}\n{"fecha":null}\n'
+    )
+    rows = readers.read_documents(spark, str(path), extras="extras").collect()
+    assert [(r["fecha"], r["ups"], r["extras"]) for r in rows] == [
+        (date(2023, 1, 2), "u", {"origen": "x", "n": "3"}), (None, "v", None), (None, None, None),
+    ]
+    assert readers.read_documents(spark, str(path)).first()["fecha"] == date(2023, 1, 2)
+
+
+def test_delimited_both_ways(spark, tmp_path):
+    import csv
+
+    values = [("  pad ", 1), ('say "hi"', 2), ('x "y" ; z', 3), ("back\\", 4), ("", 5), (None, 6), ("line\nbreak", 7), (";", 8)]
+    schema = schemas.record(a=schemas.TEXT, b=schemas.INT)
+    path = tmp_path / "in.csv"
+    with path.open("w", newline="") as out:
+        csv.writer(out, delimiter=";").writerows([("a", "b"), *values])
+    expected = [(v or None, n) for v, n in values]
+    df = readers.read_delimited(spark, str(path), schema, multi_line=True)
+    assert [tuple(r) for r in df.collect()] == expected
+    writers.write_delimited(df, str(tmp_path / "out"), sep=";")
+    back = readers.read_delimited(spark, str(tmp_path / "out"), schema, multi_line=True)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == expected
+
+
+def test_row_ids_of_many_tasks(spark):
+    from millrace.sources.warehouse import row_id
+
+    serials = [(t << 33) | p for t in (0, 1, 1 << 20, (1 << 20) + 1, (1 << 24) - 1) for p in (0, 1, 2, (1 << 33) - 1)]
+    df = spark.createDataFrame([(s,) for s in serials], "s bigint")
+    ids = [r[0] for r in df.select(row_id(F.col("s"), 100)).collect()]
+    assert len(set(ids)) == len(ids) and min(ids) > 100
+    with pytest.raises(Exception, match="more write tasks"):
+        spark.createDataFrame([((1 << 24) << 33,)], "s bigint").select(row_id(F.col("s"), 0)).collect()
+
+
+def test_closed_period_lets_a_loaded_batch_run_again(spark, wh):
+    rows = staged(wh, flat(spark, {}, {"DIA": 2}))
+    attentions.load_dimensions(wh, rows)
+    assert attentions.load_attentions(wh, rows).inserted == 2
+    closed = readers.literal_rows(spark, [(2023, 1, date(2023, 2, 1))], schemas.CLOSED_PERIODS)
+    wh.publish(append={attentions.CLOSED_TABLE: closed})
+    assert attentions.load_attentions(wh, rows).inserted == 0
+    audit = wh.table(attentions.AUDIT_TABLE, schemas.ATTENTION_AUDIT)
+    assert {(r["Operacion"], r["Atenciones_Anterior"]) for r in audit.collect()} == {("I", None)} and audit.count() == 2
+
+
+def test_blank_and_unreadable_reimbursements(spark, wh):
+    rows = [REIMB, ("   ", *[""] * 11), (*REIMB[:2], "SEDE B", *REIMB[3:11], "S/ uno")]
+    reimbursements.stage(wh, spark.createDataFrame(rows, schemas.REIMBURSEMENTS))
+    table = lambda: wh.table(reimbursements.STAGING_TABLE, reimbursements.staging_schema())
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        reimbursements.load_reimbursements(wh, table())
+    first = reimbursements.load_reimbursements(wh, table(), on_bad_value="reject")
+    assert (first.inserted, first.rejected) == (1, 1)  # the blank row left with the run before
+    assert table().count() == 2
+    log = wh.table(attentions.REJECT_TABLE, schemas.REJECT_LOG).first()
+    assert (log["Campo"], log["ValorOriginal"]) == ("MontoPagado", "S/ uno")
+
+
 def test_reader_options(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text("﻿a;b\n1;x\nzz;y\n3;w\n", encoding="utf-8")
