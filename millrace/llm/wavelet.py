@@ -30,7 +30,8 @@ MAGIC = b"WVMX1\0"
 BLOCK_BYTES = 1 << 16
 SHARD_TOKENS = 4 << 20
 ENCODE_BYTES = 4 << 20
-KNOWN_WORDS = 900_000
+KNOWN_WORDS = 1_300_000
+END_WORD = b""  # no word is empty
 READ_TASKS = 20_000
 
 
@@ -221,7 +222,7 @@ class WordIds:
     it is remembered.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, end: int) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -231,13 +232,15 @@ class WordIds:
         self.model.no_padding()
         self.model.no_truncation()
         self.lowers = "Lowercase" in str(self.model.normalizer)
+        self.end = end
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.count = 0
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
+        self.starts, self.sizes = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
+        self.remember([END_WORD], [[self.end]])
 
     def learn(self, words: set[bytes]) -> None:
         # ASCII capitals do not matter to a tokenizer that lower-cases, so one form is encoded
@@ -256,7 +259,7 @@ class WordIds:
             self.flat = np.concatenate([self.flat, np.zeros(end, np.uint32)])
         if n + len(ids) > len(self.starts):
             more = n + len(ids)
-            self.starts = np.concatenate([self.starts, np.zeros(more, np.int64)])
+            self.starts = np.concatenate([self.starts, np.zeros(more, np.int32)])
             self.sizes = np.concatenate([self.sizes, np.zeros(more, np.int32)])
         self.flat[self.used : end] = flat
         self.sizes[n : n + len(ids)] = sizes
@@ -264,27 +267,29 @@ class WordIds:
         self.used, self.count = end, n + len(ids)
         self.known.update(zip(new, range(n, n + len(ids)), strict=True))
 
-    def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids with ``end`` after each text, and the count of each text."""
+    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids with the end id after each text, and the count of each text."""
         if len(self.known) > KNOWN_WORDS:
             self.forget()
         split = [t.split() if t else [] for t in texts]
+        for words in split:
+            words.append(END_WORD)
         every = list(chain.from_iterable(split))
         at = np.fromiter(map(self.known.get, every, repeat(-1)), np.int64, len(every))
         new = np.flatnonzero(at < 0).tolist()
         self.learn({every[i] for i in new})
         at[new] = [self.known[every[i]] for i in new]
-        sizes = self.sizes[at].astype(np.int64)
-        through = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.flat[np.repeat(self.starts[at] - through[:-1], sizes) + np.arange(through[-1])]
-        words = np.cumsum([0, *map(len, split)])
-        lengths = np.diff(through[words])
-        return np.insert(ids, np.cumsum(lengths), end), lengths + 1
+        sizes = self.sizes[at]
+        through = np.cumsum(sizes, dtype=np.int32)
+        total = int(through[-1]) if len(through) else 0
+        ids = self.flat[np.repeat(self.starts[at] - through + sizes, sizes) + np.arange(total, dtype=np.int32)]
+        ends = through[np.cumsum([len(words) for words in split], dtype=np.int64) - 1] if split else through
+        return ids, np.diff(ends, prepend=0).astype(np.int64)
 
 
 @lru_cache(maxsize=1)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, end: int) -> WordIds:
+    return WordIds(path, end)
 
 
 # jobs
@@ -311,7 +316,7 @@ def write_shards(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = word_ids(tokenizer), TaskContext.get().partitionId()
+        encoder, part = word_ids(tokenizer, end_id), TaskContext.get().partitionId()
         held, names, counts, size, seq = [], [], [], 0, 0
 
         def close() -> pa.RecordBatch:
@@ -326,7 +331,7 @@ def write_shards(
         for batch in batches:
             texts = utf8(batch.column(1))
             for a, b in slices((len(t or b"") + 1 for t in texts), min(ENCODE_BYTES, 2 * shard_tokens)):
-                ids, lengths = encoder.encode(texts[a:b], end_id)
+                ids, lengths = encoder.encode(texts[a:b])
                 held.append(ids)
                 names.append(batch.column(0).slice(a, b - a))
                 counts.append(lengths)

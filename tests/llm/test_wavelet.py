@@ -27,7 +27,7 @@ def plain():
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(PARTS)).map("".join))
 def test_words_encode_as_the_whole_text(plain, text):
-    ids, sizes = wavelet.word_ids(WORDS).encode([text.encode(), None], 1)
+    ids, sizes = wavelet.word_ids(WORDS, 1).encode([text.encode(), None])
     assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 1, 1]
     assert sizes.tolist() == [len(ids) - 1, 1]
 
