@@ -51,15 +51,17 @@ def clean_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_MESSY = """case c_mktsegment when 'BUILDING' then 'abc' when 'MACHINERY' then null
-  else cast(cast(c_acctbal as decimal(12,2)) as varchar(20)) end"""
+_MESSY = """case when c_custkey % 11 = 0 then '3d' when c_custkey % 11 = 1 then '0x1p3' when c_custkey % 11 = 2 then '1e3'
+  when c_custkey % 11 = 3 then ' 7 ' when c_custkey % 11 = 4 then 'NaN' when c_mktsegment = 'BUILDING' then 'abc'
+  when c_mktsegment = 'MACHINERY' then null else cast(cast(c_acctbal as decimal(12,2)) as varchar(20)) end"""
 
 
 @query(
     "coerce_numbers",
     f"""
 SELECT c_custkey,
-       greatest(coalesce(CAST(trunc(TRY_CAST({_MESSY} AS DOUBLE)) AS BIGINT), 0), 0) AS count_value,
+       CASE WHEN c_custkey % 11 IN (0, 1, 4) THEN 0
+            ELSE greatest(coalesce(CAST(trunc(TRY_CAST({_MESSY} AS DOUBLE)) AS BIGINT), 0), 0) END AS count_value,
        CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS known_value
 FROM customer
 """,

@@ -11,6 +11,7 @@ from millrace.operators.audit import change_log, replay
 from millrace.operators.joins import orphans
 from millrace.operators.keys import dense_ids
 from millrace.operators.quality import (
+    QualityError,
     castable,
     foreign_key_check,
     max_width,
@@ -23,6 +24,7 @@ from millrace.operators.quality import (
 from millrace.plans import attentions as att
 from millrace.plans import reimbursements as reimb
 from millrace.plans.lookups import Lookup, load_lookups, new_members
+from millrace.plans.run_log import RUN_TABLE, latest
 from millrace.queries.base import query, table
 from millrace.queries.frames import (
     FACILITIES_SQL,
@@ -32,8 +34,9 @@ from millrace.queries.frames import (
     facilities,
     staged,
 )
-from millrace.session import empty_frame, materialize
+from millrace.session import empty_frame, materialize, scratch_path
 from millrace.sources.readers import literal_rows
+from millrace.sources.warehouse import Warehouse
 from millrace.sources.writers import with_backfilled_column
 
 _CLIENT = Lookup("Cliente", "ClienteId", "c_name")
@@ -340,7 +343,7 @@ def reimb_load(spark: SparkSession, sf: str) -> DataFrame:
     names = rows.select(*reimb.NAMES).distinct()
     _, catalogues = load_lookups(materialize(names, "names"), reimb.CATALOGUES, nothing)
     facts = reimb.resolve_reimbursements(rows, catalogues)
-    return facts.withColumn("MontoPagado", F.col("MontoPagado").cast("double"))
+    return facts.drop("Anio", "Mes").withColumn("MontoPagado", F.col("MontoPagado").cast("double"))
 
 
 @query(
@@ -462,3 +465,152 @@ def unreadable_numbers(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").groupBy("event_type").agg(
         F.count("*").alias("n_rows"), F.count_if(parse_number(text).isNull()).alias("unreadable")
     )
+
+
+# Whole loads into a warehouse of their own, from staged orders.
+
+
+def _flat_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Flat records of the orders whose rules hold, one facility per customer, no equal grains."""
+    joined = (
+        table(spark, sf, "orders").filter("o_orderstatus = 'F'")
+        .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    columns = {
+        "ANIO": "cast(year(o_orderdate) as int)", "MES": "cast(month(o_orderdate) as int)",
+        "DIA": "cast(day(o_orderdate) as int)", "CATEGORIA": "'I-1'", "RED": "'R'", "MICRORED": "n_name",
+        "CODIGO_UNICO": "cast(o_custkey as int)", "NOMBRE_ESTACLECIMIENTO": "c_name", "PROVINCIA": "'P'",
+        "DISTRITO": "n_name", "EDAD_REG": "cast(o_orderkey % 90 as int)", "TIPO_EDAD": "'A'", "SEXO": "'F'",
+        "ETNIA": "c_mktsegment", "TIPO_SEGURO": "o_orderpriority", "UPS": "n_name",
+        "ATENDIDOS": "1", "ATENCIONES": "cast(floor(o_totalprice / 1000) + 1 as int)", "FECHA_CORTE": "'20231220'",
+    }
+    return joined.select(*[F.expr(e).alias(n) for n, e in columns.items()])
+
+
+def _loaded(spark: SparkSession, sf: str) -> tuple[Warehouse, DataFrame]:
+    warehouse = Warehouse(spark, scratch_path(spark, "loads"))
+    att.stage(warehouse, _flat_orders(spark, sf))
+    staged_rows = warehouse.table(att.STAGING_TABLE, att.staging_schema())
+    att.load_dimensions(warehouse, staged_rows)
+    att.load_attentions(warehouse, staged_rows)
+    return warehouse, staged_rows
+
+
+@query(
+    "load_audit",
+    """
+SELECT 'I' AS "Operacion", CAST(o_custkey AS INT) AS "CodigoUnico", CAST(o_orderdate AS DATE) AS "Fecha",
+  CAST(NULL AS INT) AS "Atenciones_Anterior", CAST(floor(o_totalprice / 1000) + 1 AS INT) AS "Atenciones_Nuevo"
+FROM orders WHERE o_orderstatus = 'F'
+""",
+)
+def load_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The change log that a load publishes with its facts."""
+    warehouse, _ = _loaded(spark, sf)
+    return warehouse.table(att.AUDIT_TABLE, schemas.ATTENTION_AUDIT).select(
+        "Operacion", "CodigoUnico", "Fecha", "Atenciones_Anterior", "Atenciones_Nuevo"
+    )
+
+
+@query(
+    "closed_period_rerun",
+    """SELECT count(*) AS facts, CAST(0 AS BIGINT) AS second_run, true AS open_rows_stop FROM orders
+WHERE o_orderstatus = 'F'""",
+)
+def closed_period_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """After every month is closed, a loaded batch runs again; a new row stops its batch."""
+    warehouse, rows = _loaded(spark, sf)
+    facts = warehouse.table(att.FACT_TABLE, schemas.ATTENTION_FACT)
+    months = facts.select("Anio", "Mes", F.lit(None).cast("date").alias("FechaCierre")).distinct()
+    warehouse.publish(append={att.CLOSED_TABLE: months})
+    again = att.load_attentions(warehouse, rows).inserted
+    stopped = False
+    try:
+        att.load_attentions(warehouse, rows.withColumn("EDAD_REG", F.col("EDAD_REG") + 1))
+    except QualityError:
+        stopped = True
+    return warehouse.table(att.FACT_TABLE, schemas.ATTENTION_FACT).agg(F.count("*").alias("facts")).select(
+        "facts", F.lit(again).cast("bigint").alias("second_run"), F.lit(stopped).alias("open_rows_stop")
+    )
+
+
+@query(
+    "log_latest",
+    """
+SELECT * FROM (VALUES (1, 'sp_CargarDimensiones', 'OK', true), (2, 'sp_CargarAtenciones', 'OK', true)) AS
+  t("LogId", "Proceso", "Estado", whole)
+""",
+)
+def log_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest runs by id, and whether the last inserted every order."""
+    warehouse, rows = _loaded(spark, sf)
+    log = latest(warehouse.table(RUN_TABLE, schemas.RUN_LOG))
+    whole = (F.col("Proceso") != att.LOAD_FACT) | (F.col("FilasInsertadas") == rows.count())
+    return log.select(F.col("LogId").cast("int").alias("LogId"), "Proceso", "Estado", whole.alias("whole"))
+
+
+def _flat_reimbursements(spark: SparkSession, sf: str) -> DataFrame:
+    """All-text reimbursements, a row per order; some periods blank, some amounts unreadable."""
+    joined = (
+        table(spark, sf, "orders")
+        .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    period = F.when(F.col("o_orderstatus") == "P", "  ").otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
+    written = F.when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit("S/ x"), F.col("o_orderkey"))).otherwise(
+        F.concat(F.lit("S/ "), F.format_number(F.col("o_totalprice").cast("decimal(12,2)"), 2))
+    )
+    return joined.select(
+        period.alias("Periodo"),
+        *[F.expr(e).alias(n) for n, e in _REIMB.items() if n != "Periodo"],
+        written.alias("MontoPagado"),
+    )
+
+
+def _reimbursed(spark: SparkSession, sf: str) -> tuple[Warehouse, list]:
+    """A warehouse after two runs over the same staging table, and what each returned."""
+    warehouse = Warehouse(spark, scratch_path(spark, "reimb"))
+    reimb.stage(warehouse, _flat_reimbursements(spark, sf))
+    runs = [
+        reimb.load_reimbursements(
+            warehouse, warehouse.table(reimb.STAGING_TABLE, reimb.staging_schema()), on_bad_value="reject"
+        )
+        for _ in range(2)
+    ]
+    return warehouse, runs
+
+
+@query(
+    "reimb_rejects",
+    """
+SELECT 'MontoPagado' AS "Campo", 'S/ x' || o_orderkey AS "ValorOriginal", CAST(2 AS BIGINT) AS n
+FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus <> 'P'
+""",
+)
+def reimb_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Unreadable amounts are logged, once in each of two runs."""
+    warehouse, _ = _reimbursed(spark, sf)
+    log = warehouse.table(att.REJECT_TABLE, schemas.REJECT_LOG)
+    return log.groupBy("Campo", "ValorOriginal").agg(F.count("*").alias("n"))
+
+
+@query(
+    "blank_rows_second_run",
+    """
+SELECT count(*) FILTER (o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW') AS inserted,
+  count(*) FILTER (o_orderstatus = 'P' OR o_orderpriority = '5-LOW') AS rejected, CAST(0 AS BIGINT) AS inserted_again,
+  count(*) FILTER (o_orderstatus <> 'P' AND o_orderpriority = '5-LOW') AS rejected_again,
+  count(*) FILTER (o_orderstatus <> 'P') AS staged
+FROM orders
+""",
+)
+def blank_rows_second_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Blank rows leave the staging table with the first run, so the second counts none."""
+    warehouse, (first, second) = _reimbursed(spark, sf)
+    staged_rows = warehouse.table(reimb.STAGING_TABLE, reimb.staging_schema())
+    return staged_rows.agg(F.count("*").alias("staged")).select(
+        F.lit(first.inserted).cast("bigint").alias("inserted"), F.lit(first.rejected).cast("bigint").alias("rejected"),
+        F.lit(second.inserted).cast("bigint").alias("inserted_again"),
+        F.lit(second.rejected).cast("bigint").alias("rejected_again"), "staged",
+    )
