@@ -51,6 +51,12 @@ def word_hashes() -> WordHashes:
     return WordHashes()
 
 
+def forget_words() -> None:
+    """Give back memory at the end of a task: its worker will run other operators."""
+    word_hashes().clear()
+    pa.default_memory_pool().release_unused()
+
+
 @lru_cache(maxsize=2)
 def permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20)
@@ -119,6 +125,7 @@ def signatures(docs: DataFrame, size: int, n: int) -> DataFrame:
                 ],
                 ["id", "n_shingles", "set_key", "bands"],
             )
+        forget_words()
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "text").mapInArrow(
@@ -142,6 +149,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(same, pa.int64())), pa.array(sets, pa.binary())], ["cls", "items"]
                 )
+        forget_words()
 
     stored = materialize(wanted, "wanted")
     side = F.broadcast(stored) if fits_broadcast(measure(stored)) else stored
