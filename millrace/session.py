@@ -6,10 +6,12 @@ only one read is ``spark.checkpoint.dir``, the shared folder for cut lineage.
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,7 @@ from pyspark.sql import types as T
 Result = TypeVar("Result")
 
 _LOCAL_SCRATCH: dict[str, tempfile.TemporaryDirectory] = {}
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def local_session(app: str = "millrace", cores: str = "8", memory: str = "8g") -> SparkSession:
@@ -36,6 +39,20 @@ def local_session(app: str = "millrace", cores: str = "8", memory: str = "8g") -
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application.
+
+    Functions that run in Python there import it, and it may not be installed on them.  Where it
+    was itself imported from an archive (``--py-files``), they have it already.
+    """
+    context, package = spark.sparkContext, Path(__file__).resolve().parent
+    if context.applicationId in _SHIPPED or not package.is_dir():
+        return
+    build = tempfile.TemporaryDirectory(prefix="millrace-code-")  # kept: the driver serves it from there
+    context.addPyFile(shutil.make_archive(f"{build.name}/{package.name}", "zip", package.parent, package.name))
+    _SHIPPED[context.applicationId] = build
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by the session, or a private one in local mode only."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
