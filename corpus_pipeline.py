@@ -7,6 +7,9 @@ that joins its decisions back.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +19,9 @@ from millrace.llm.minmax_dedup import near_duplicates
 from millrace.llm.mixing import mix_sources
 from millrace.llm.wavelet import token_digest
 from millrace.llm.zstd_language import keep_identified
-from millrace.session import materialize
+from millrace.session import materialize, ship_package
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: The language models and the id rule have no form in SQL.
 ORACLE_SQL = None
@@ -69,12 +74,23 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_digest(docs, tokenizer_file("word_bpe_49k.json"))
 
 
+def shipped(stage: Stage) -> Stage:
+    """The stage, after its code was sent to the executors."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language", identified),
-    ("near_dedup", deduplicated),
-    ("decontamination", decontaminated),
-    ("mixing", mixed),
-    ("tokens", tokenized),
+    ("language", shipped(identified)),
+    ("near_dedup", shipped(deduplicated)),
+    ("decontamination", shipped(decontaminated)),
+    ("mixing", shipped(mixed)),
+    ("tokens", shipped(tokenized)),
 ]
 
 

@@ -51,7 +51,49 @@ FROM judged
 """
 
 
-@query("op8_mix_sources")
+OP8_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, length(text) AS chars,
+         (('0x' || substr(md5('20:' || coalesce(doc_id::VARCHAR, '?')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u
+  FROM documents),
+keyed AS (
+  SELECT doc_id, source, size,
+         -ln(u) / CASE WHEN chars / nullif(size, 0)::DOUBLE BETWEEN 3 AND 12 THEN 1.0 ELSE 0.5 END AS key FROM sized),
+totals AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place
+  FROM keyed GROUP BY source),
+weighted AS (
+  SELECT *, ((place - 1) % 3 + 1)::DOUBLE AS w, source_size * 3.0::DOUBLE AS cap,
+         sum(source_size) OVER ()::DOUBLE AS total FROM totals),
+shares AS (
+  SELECT *, total - coalesce(sum(cap) OVER (ORDER BY cap / w, place
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+         sum(w) OVER (ORDER BY cap / w, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight FROM weighted),
+capped AS (SELECT *, cap * weight <= rest * w AS capped FROM shares),
+targets AS (
+  SELECT source, source_size,
+         CASE WHEN capped THEN cap ELSE (total - coalesce(sum(cap) FILTER (capped) OVER (), 0))
+              / sum(w) FILTER (NOT capped) OVER () * w END AS target FROM capped),
+plan AS (SELECT *, least(coalesce(floor(target / nullif(source_size, 0)), 0), 3) AS epochs FROM targets),
+placed AS (
+  SELECT k.*, p.source_size, p.target, p.epochs, p.target - p.epochs * p.source_size AS budget,
+         sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id ROWS UNBOUNDED PRECEDING) AS through
+  FROM keyed k JOIN plan p ON k.source IS NOT DISTINCT FROM p.source),
+drawn AS (SELECT *, size > 0 AND through <= budget AS drawn FROM placed),
+gaps AS (
+  SELECT *, budget - coalesce(sum(size) FILTER (drawn) OVER (PARTITION BY source), 0) AS gap FROM drawn),
+fillers AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY abs(gap - size), key) AS n FROM gaps
+  WHERE NOT drawn AND size > 0 AND abs(gap - size) < gap),
+counted AS (
+  SELECT g.*, CASE WHEN size > 0 THEN (epochs + (drawn OR f.doc_id IS NOT NULL)::INT)::BIGINT ELSE 0 END AS copies
+  FROM gaps g LEFT JOIN fillers f ON f.doc_id = g.doc_id AND f.n = 1)
+SELECT doc_id, size::BIGINT AS size, source_size, target, (copies * size)::BIGINT AS taken, copies::BIGINT AS copies
+FROM counted
+"""
+
+
+@query("op8_mix_sources", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -103,8 +145,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP1_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
       FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
