@@ -28,6 +28,8 @@ PERMUTATIONS = 48
 BAND_ROWS = 4
 #: Buckets of at most this many texts are compared whole at once; larger ones through a hub first.
 SMALL_BUCKET = 16
+#: In what is left, pairs that share so many bands are compared before the rest.
+MANY_BANDS = 6
 BATCH_BYTES = 4 << 20
 KNOWN_WORDS = 250_000
 STEP = 1024
@@ -157,24 +159,26 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return materialize(rows.mapInArrow(run, "cls bigint, items binary").dropDuplicates(["cls"]), "sets")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough."""
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b, similarity, linked`` of the pairs ``(a, b)``, from their full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            similar, linked = [], []
             for i in range(batch.num_rows):
                 x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in (2, 3))
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    keep.append(i)
+                either = len(x) + len(y) - both
+                similar.append(both / either)
+                linked.append(100 * both >= percent * either)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(pa.array(keep, pa.int64())) for c in (0, 1)], ["a", "b"]
+                [batch.column(0), batch.column(1), pa.array(similar, pa.float64()), pa.array(linked, pa.bool_())],
+                ["a", "b", "similarity", "linked"],
             )
 
     named = lambda key, items: sets.select(F.col("cls").alias(key), F.col("items").alias(items))
     rows = pairs.join(named("a", "x"), "a").join(named("b", "y"), "b").select("a", "b", "x", "y")
-    return rows.mapInArrow(run, "a bigint, b bigint")
+    return rows.mapInArrow(run, "a bigint, b bigint, similarity double, linked boolean")
 
 
 def components(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -230,12 +234,15 @@ def near_duplicates(
     the document's own.
 
     Equal sets are one class from the start, so copies never meet in a bucket.  Candidates are
-    classes that share a band.  First each class is compared with the smallest class of all its
-    buckets; then the classes of small buckets with one another and those of large buckets with
-    the bucket's smallest; and last, in large buckets that still hold several components, all
-    classes of different components.  Pairs within one component need no comparison any more, so
-    a large group of near copies costs a comparison each, not one per pair, and nothing is
-    capped.  Only the sets of candidates are fetched.
+    classes that share a band.  The hub of a bucket is the class that meets most others in all
+    its buckets, which is near the middle of a family.  First each class is compared with the
+    best of its hubs; then the classes of small buckets with one another and those of large
+    buckets with the bucket's hub; and last, in large buckets that still hold several
+    components, classes of different components, those that share many bands before the rest.
+    Pairs within one component need no comparison any more, and neither do pairs whose distances
+    to the hub they have in common differ by more than a link allows (1 minus the similarity is
+    a metric).  So a family of near copies costs little more than a comparison each, and nothing
+    is capped.  Only the sets of candidates are fetched.
 
     The chance to miss a link at exactly 80 % is that of sharing none of 24 bands, 3 in a
     million, and at 85 % 2 in a hundred million; a link that is missed matters only if nothing
@@ -274,10 +281,17 @@ def near_duplicates(
 def link_classes(docs: DataFrame, classes: DataFrame, percent: int, shingle_words: int, small_bucket: int) -> DataFrame:
     """``cls, comp`` of all classes: which of them links connect."""
     placed = classes.select("cls", "n", F.explode("bands").alias("band"))
-    shared = (
-        placed.groupBy("band").agg(F.count("*").alias("size"), F.min("cls").alias("hub")).filter(F.col("size") > 1)
+    shared = placed.groupBy("band").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
+    met = materialize(placed.join(shared, "band"), "met")
+    degrees = met.groupBy("cls").agg(F.sum("size").alias("degree"))
+    met = materialize(met.join(degrees, "cls"), "met")
+    hub_of = met.groupBy("band").agg(F.max(F.struct("degree", "cls")).alias("hub"))
+    members = materialize(
+        met.join(hub_of, "band").select(
+            "band", "cls", "n", "size", F.col("hub.cls").alias("hub"), F.col("hub.degree").alias("reach")
+        ),
+        "members",
     )
-    members = materialize(placed.join(shared, "band"), "members")
     labels = materialize(classes.select("cls", F.col("cls").alias("comp")), "labels")
     sizes = classes.select("cls", "n")
     size_of = lambda side: sizes.select(F.col("cls").alias(side), F.col("n").alias(f"n{side}"))
@@ -286,33 +300,50 @@ def link_classes(docs: DataFrame, classes: DataFrame, percent: int, shingle_word
     sets = full_sets(docs, wanted, shingle_words)
     tried: DataFrame | None = None
 
-    def compare(pairs: DataFrame) -> DataFrame:
-        """Labels after the pairs ``(a, b)`` of different components that were not tried yet."""
+    def compare(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Compares the pairs ``(a, b)`` of different components that were not tried yet; returns
+        the labels then and what was found."""
         nonlocal tried
         comp = lambda side: labels.select(F.col("cls").alias(side), F.col("comp").alias(f"c{side}"))
         apart = pairs.join(comp("a"), "a").join(comp("b"), "b").filter("ca <> cb").select("a", "b").distinct()
-        fresh = apart if tried is None else apart.join(tried, ["a", "b"], "left_anti")
-        fresh = materialize(fresh, "pairs")
-        if fresh.isEmpty():
-            return labels
+        fresh = materialize(apart if tried is None else apart.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = fresh if tried is None else tried.unionByName(fresh)
-        return components(labels, materialize(confirm(fresh, sets, percent), "confirmed"))
+        found = materialize(compared(fresh, sets, percent), "compared")
+        return components(labels, found.filter("linked").select("a", "b")), found
 
-    to_hub = members.filter(F.col("cls") != F.col("hub"))
-    first = to_hub.groupBy("cls").agg(F.min("hub").alias("a")).select("a", F.col("cls").alias("b"))
     sized = lambda pairs: pairs.join(size_of("a"), "a").join(size_of("b"), "b").filter(alike).select("a", "b")
-    labels = compare(sized(first))
+    to_hub = members.filter(F.col("cls") != F.col("hub"))
+    best = to_hub.groupBy("cls").agg(F.max(F.struct("reach", "hub")).alias("h"))
+    labels, first = compare(best.select(F.col("h.hub").alias("a"), F.col("cls").alias("b")))
+    pivots = first.select(F.col("b").alias("cls"), F.col("a").alias("pivot"), "similarity")
 
     one = members.filter(F.col("size") <= small_bucket).select("band", F.col("cls").alias("a"), F.col("n").alias("na"))
     other = one.select("band", F.col("a").alias("b"), F.col("na").alias("nb"))
     within = one.join(other, "band").filter((F.col("a") < F.col("b")) & alike).select("a", "b")
     hubs = to_hub.filter(F.col("size") > small_bucket).select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-    labels = compare(within.unionByName(sized(hubs)))
-
-    large = members.filter(F.col("size") > small_bucket).join(labels, "cls")
-    split = large.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("band")
-    left = materialize(large.join(split, "band").select("band", "cls", "n", "comp"), "unsettled")
-    one = left.select("band", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    other = left.select("band", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    rest = one.join(other, "band").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike)
-    return compare(rest.select("a", "b"))
+    labels, _ = compare(within.unionByName(sized(hubs)))
+
+    large = members.filter(F.col("size") > small_bucket).select("band", "cls", "n")
+    bands = classes.select("cls", "bands")
+    slack = 1 - percent / 100 + 1e-9
+    for least_bands in (MANY_BANDS, 1):
+        placed = large.join(labels, "cls")
+        split = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
+        left = placed.join(split.select("band"), "band").join(bands, "cls").join(pivots, "cls", "left")
+        left = materialize(left.select("band", "cls", "n", "comp", "bands", "pivot", "similarity"), "unsettled")
+        side = lambda s, df=left: df.select(
+            "band", F.col("cls").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "comp", "bands", "pivot", "similarity")]
+        )
+        common = F.array_intersect("bands_a", "bands_b")
+        near = (
+            (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b"))
+            & (F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
+            & (F.coalesce(F.col("pivot_a") != F.col("pivot_b"), F.lit(True))
+               | (F.abs(F.col("similarity_a") - F.col("similarity_b")) <= slack))
+            & (F.size(common) >= least_bands) & (F.array_min(common) == F.col("band_a"))
+        )
+        pairs = side("a").withColumnRenamed("band", "band_a").join(
+            side("b").withColumnRenamed("band", "band_b"), (F.col("band_a") == F.col("band_b")) & near
+        )
+        labels, _ = compare(pairs.select("a", "b"))
+    return labels
