@@ -1,8 +1,9 @@
 """Joins that stay balanced at scale.
 
 A side is broadcast only after its size has been measured.  Beyond that bound the join
-shuffles, and keys that carry a large share of the left rows are spread over many
-tasks: the left copies by a hash of the whole row, the (unique) right row by replication.
+shuffles, and keys that carry a large share of the left rows are spread over as many
+tasks as their share asks for: the left copies by a hash of the whole row, the (unique)
+right row by replication.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.02
-HOT_SPREAD = 64
+#: Pieces of a hot key for each partition that its rows would fill; several, as they are hashed.
+PIECES = 4
 
 
 @dataclass(frozen=True)
@@ -53,8 +55,9 @@ def _hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold at least ``share`` of the rows (at most 1/share of them).
+def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> dict[int, int]:
+    """Hashes of the keys that hold at least ``share`` of the rows (at most 1/share of them),
+    each with the number of pieces to spread it over.
 
     One pass with a heavy-hitter sketch: tasks send sketches of fixed size, not keys.  The
     answer only decides where rows travel, never which rows are in the result.
@@ -64,7 +67,12 @@ def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) ->
         .agg(F.expr("approx_top_k(h, 128, 4096)").alias("top"), F.count("*").alias("n"))
         .first()
     )
-    return [t["item"] for t in (row["top"] or []) if t["count"] >= max(share * row["n"], 1000)]
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return {
+        t["item"]: PIECES * max(1, -(-t["count"] * tasks // row["n"]))
+        for t in (row["top"] or [])
+        if t["count"] >= max(share * row["n"], 1000)
+    }
 
 
 def keyed_join(
@@ -87,17 +95,15 @@ def keyed_join(
         left_in, right_in = left, F.broadcast(right)
         on = list(keys)
     else:
-        hot = hot_hashes(left, keys) if balance else []
+        hot = hot_hashes(left, keys) if balance else {}
         left_in, right_in, on = left, right, list(keys)
         if hot:
-            is_hot = _hash(keys).isin(hot)
+            pieces = F.lit(1)
+            for key_hash, n in hot.items():
+                pieces = F.when(_hash(keys) == F.lit(key_hash), n).otherwise(pieces)
             whole_row = F.xxhash64(*[F.col(c) for c in left.columns])
-            spread = F.pmod(whole_row, F.lit(HOT_SPREAD)).cast("int")
-            left_in = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-            copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_SPREAD - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-            right_in = right.withColumn("_salt", F.explode(copies))
+            left_in = left.withColumn("_salt", F.pmod(whole_row, pieces).cast("int"))
+            right_in = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
             on = on + ["_salt"]
     if null_safe:
         renamed = right_in

@@ -51,6 +51,7 @@ UPS = Lookup("Ups", "UpsId", "UPS")
 PLACES = [RED, PROVINCIA, CATEGORIA, MICRORED, DISTRITO]
 SERVICES = [ETNIA, TIPO_SEGURO, UPS]
 
+# Columns of the flat file that describe a facility.
 FACILITY_SOURCE = [
     "CODIGO_UNICO",
     "NOMBRE_ESTACLECIMIENTO",
@@ -67,7 +68,7 @@ CLOSED_TABLE, STAGING_TABLE, AGE_UNIT_TABLE = "PeriodoCerrado", "stg_Atenciones"
 # Process names in the run and reject logs.
 LOAD_LOOKUPS, LOAD_FACT = "sp_CargarDimensiones", "sp_CargarAtenciones"
 
-# Full grain of the fact: one row per combination.
+# Full grain of the fact, one row per combination.
 GRAIN = [
     "CodigoUnico",
     "Fecha",
@@ -238,10 +239,12 @@ def new_attentions(batch: DataFrame, existing: DataFrame, dedupe_batch: bool = F
 
 
 def load_attentions(
-    warehouse: Warehouse, staged: DataFrame, dedupe_batch: bool = False
+    warehouse: Warehouse, staged: DataFrame, dedupe_batch: bool = False, relog: bool = True
 ) -> LoadResult:
     """Validate, log the rejects, resolve, skip what is loaded, insert.
 
+    ``relog`` logs the rejects of every run; without it those that are in the log stay out.
+
     Rejects are published first and stay when the load fails afterwards.  The fact batch,
     partitioned by year and month, and its change log become visible whole or not at all.  Only
     rows that would be inserted may not lie in a closed period: a batch that is loaded already
@@ -252,6 +255,9 @@ def load_attentions(
         rejects = validate(staged, facilities).withColumn(
             "FechaRegistro", F.date_trunc("second", F.current_timestamp())
         )
+        if not relog:
+            logged = warehouse.table(REJECT_TABLE, schemas.REJECT_LOG).filter(F.col("Proceso") == LOAD_FACT)
+            rejects = not_yet_in(rejects, logged, ["StgId", "Campo"], balance=False)
         rejects = identities(rejects, "ErrorId", warehouse.highest_id(REJECT_TABLE))
         run.rejected = warehouse.publish(append={REJECT_TABLE: rejects}, ids={REJECT_TABLE: "ErrorId"})[REJECT_TABLE]
 

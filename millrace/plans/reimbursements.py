@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,15 @@ from millrace.functions.text import trim_spaces
 from millrace.operators.aggregates import suppress_small_cells
 from millrace.operators.audit import change_log
 from millrace.operators.joins import keyed_join, not_yet_in
-from millrace.operators.quality import not_null, reconcile, require
+from millrace.operators.quality import (
+    foreign_key_check,
+    max_width,
+    not_null,
+    reconcile,
+    require,
+    row_checks,
+    unique_check,
+)
 from millrace.plans.attentions import REJECT_TABLE, inserted_log, same_periods
 from millrace.plans.lookups import Lookup, load_lookups, resolve
 from millrace.plans.run_log import LoadResult, logged_run
@@ -178,6 +188,43 @@ def audit_reimbursements(old: DataFrame, new: DataFrame, user: Column | None = N
     return change_log(old, new, "ReembolsoId", ["Periodo"], ["MontoPagado"], user=user, at=at)
 
 
+# Text widths of the staging table.
+STAGING_WIDTHS = {
+    "Periodo": 10, "Region": 50, "Sede": 80, "TipoDeAtencion": 100, "MedioDeSolicitud": 30, "Solicitante": 30,
+    "CondicionDelAsegurado": 30, "Parentesco": 30, "Situacion": 40, "NumeroDeAsegurados": 10,
+    "SolicitudesDeReembolso": 10, "MontoPagado": 20,
+}
+
+
+def staging_report(staged: DataFrame) -> DataFrame:
+    """Staged values that are too wide."""
+    return row_checks(staged, STAGING_TABLE, max_width(STAGING_WIDTHS))
+
+
+def model_report(warehouse: Warehouse) -> DataFrame:
+    """Violations of every constraint of the fact and of its catalogues."""
+    tables = warehouse.tables(
+        {FACT_TABLE: schemas.REIMBURSEMENT_FACT, **{k.table: k.schema for k in CATALOGUES}}
+    )
+    fact = tables[FACT_TABLE]
+    checks = {
+        f"CHECK {m}": F.col(m) >= 0 for m in ("NumeroAsegurados", "SolicitudesReembolso", "MontoPagado")
+    } | not_null(fact.columns)
+    parts = [row_checks(fact, FACT_TABLE, checks), unique_check(fact, FACT_TABLE, ["ReembolsoId"])]
+    for k in CATALOGUES:
+        rows = tables[k.table]
+        parts += [
+            row_checks(rows, k.table, not_null(rows.columns)),
+            unique_check(rows, k.table, [k.id]),
+            unique_check(rows, k.table, k.keys),
+        ]
+        if k is not REGION:
+            parts.append(foreign_key_check(fact, FACT_TABLE, [k.id], rows))
+        if k.parent:
+            parts.append(foreign_key_check(rows, k.table, [k.parent.id], tables[k.parent.table]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def statistics_check(warehouse: Warehouse) -> DataFrame:
     """Rows in staging and in the fact, side by side."""
     return reconcile(

@@ -120,8 +120,8 @@ def facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
 FACILITIES_SQL = "SELECT CAST(c_custkey AS INT) AS CodigoUnico FROM customer WHERE c_acctbal >= 0"
 
 # Rules of the attentions load over the staged columns, as SQL.
-VALID_AGE_SQL = """((TIPO_EDAD = 'D' AND EDAD_REG BETWEEN 0 AND 364)
-   OR (TIPO_EDAD = 'M' AND EDAD_REG BETWEEN 0 AND 11)
-   OR (TIPO_EDAD = 'A' AND EDAD_REG BETWEEN -1 AND 99))"""
+AGE_BOUNDS_SQL = "(VALUES ('A', -1, 99), ('D', 0, 364), ('M', 0, 11)) AS bounds(unit, low, high)"
+VALID_AGE_SQL = f"""EXISTS (SELECT 1 FROM {AGE_BOUNDS_SQL}
+   WHERE unit = TIPO_EDAD AND EDAD_REG BETWEEN low AND high)"""
 VALID_SQL = f"""SEXO IN ('F', 'M') AND {VALID_AGE_SQL}
    AND ATENDIDOS >= 0 AND ATENCIONES >= 0 AND ATENCIONES >= ATENDIDOS"""

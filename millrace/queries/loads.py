@@ -27,9 +27,9 @@ from millrace.plans.lookups import Lookup, load_lookups, new_members
 from millrace.plans.run_log import RUN_TABLE, latest
 from millrace.queries.base import query, table
 from millrace.queries.frames import (
+    AGE_BOUNDS_SQL,
     FACILITIES_SQL,
     STAGED_SQL,
-    VALID_AGE_SQL,
     VALID_SQL,
     facilities,
     staged,
@@ -153,19 +153,21 @@ def facility_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     return att.new_facilities(doubled, _place_lookups(places), none, on_conflict="keep_first")
 
 
+# Each record once, with the list of what is wrong with it.
 _REJECTS_SQL = f"""
 WITH staged AS ({STAGED_SQL}), known AS ({FACILITIES_SQL}),
-rejects AS (
-  SELECT StgId, 'SEXO' AS "Campo", SEXO AS "ValorOriginal", 'Valor fuera de dominio (F/M)' AS "Motivo"
-  FROM staged WHERE SEXO NOT IN ('F', 'M')
-  UNION ALL SELECT StgId, 'EDAD_REG/TIPO_EDAD', concat(EDAD_REG, '/', TIPO_EDAD),
-         'Edad fuera de rango para el tipo de edad' FROM staged WHERE NOT {VALID_AGE_SQL}
-  UNION ALL SELECT StgId, 'CODIGO_UNICO', CAST(CODIGO_UNICO AS VARCHAR),
-         'El establecimiento no existe en dbo.Establecimiento' FROM staged
-         WHERE NOT EXISTS (SELECT 1 FROM known WHERE "CodigoUnico" = CODIGO_UNICO)
-  UNION ALL SELECT StgId, 'ATENDIDOS/ATENCIONES', concat(ATENDIDOS, '/', ATENCIONES),
-         'Valores negativos o atenciones menor que atendidos' FROM staged
-         WHERE ATENDIDOS < 0 OR ATENCIONES < 0 OR ATENCIONES < ATENDIDOS)
+judged AS (
+  SELECT StgId, unnest([finding FOR finding IN [
+      CASE WHEN SEXO NOT IN ('F', 'M') THEN {{'f': 'SEXO', 'v': SEXO, 'm': 'Valor fuera de dominio (F/M)'}} END,
+      CASE WHEN EDAD_REG NOT BETWEEN low AND high THEN {{'f': 'EDAD_REG/TIPO_EDAD',
+        'v': concat(EDAD_REG, '/', TIPO_EDAD), 'm': 'Edad fuera de rango para el tipo de edad'}} END,
+      CASE WHEN known."CodigoUnico" IS NULL THEN {{'f': 'CODIGO_UNICO', 'v': CAST(CODIGO_UNICO AS VARCHAR),
+        'm': 'El establecimiento no existe en dbo.Establecimiento'}} END,
+      CASE WHEN least(ATENDIDOS, ATENCIONES, ATENCIONES - ATENDIDOS) < 0 THEN {{'f': 'ATENDIDOS/ATENCIONES',
+        'v': concat(ATENDIDOS, '/', ATENCIONES), 'm': 'Valores negativos o atenciones menor que atendidos'}} END
+    ] IF finding IS NOT NULL]) AS x
+  FROM staged LEFT JOIN {AGE_BOUNDS_SQL} ON unit = TIPO_EDAD LEFT JOIN known ON known."CodigoUnico" = CODIGO_UNICO),
+rejects AS (SELECT StgId, x.f AS "Campo", x.v AS "ValorOriginal", x.m AS "Motivo" FROM judged)
 """
 
 

@@ -78,6 +78,10 @@ REIMBURSEMENT_AUDIT = record(
     MontoPagado_Nuevo=MONEY, UsuarioBD=TEXT, FechaHora=MOMENT,
 )
 
+MICRO_BATCH = record(
+    Flujo=TEXT, Lote=LONG, Desde=LONG, Hasta=LONG, Estado=TEXT,
+)
+
 STEP_LOG = record(
     Etapa=TEXT, FilasEntrada=LONG, FilasSalida=LONG, Detalle=TEXT,
 )

@@ -95,8 +95,10 @@ class Warehouse:
             return count, (version, name, batch, replaces, highest)
 
         done = in_parallel([lambda w=w: write(*w) for w in work])
-        rows = [row for _, row in done]
+        rows = [row for count, row in done if count or row[3]]  # an append of nothing is no news
         counts = {row[1]: count for count, row in done}
+        if not rows:
+            return counts
         note = self.spark.createDataFrame(rows, _PUBLISHED).coalesce(1)
         note.write.mode("append").parquet(f"{self.root}/published")
         return counts

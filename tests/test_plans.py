@@ -13,6 +13,7 @@ from millrace import schemas
 from millrace.operators.quality import QualityError
 from millrace.plans import attentions, documents, published, reimbursements
 from millrace.plans.run_log import RUN_TABLE, latest
+from millrace.plans.star import constraint_report as star_report
 from millrace.plans.star import build_star, export_star, publish_star
 from millrace.session import empty_frame
 from millrace.sources import readers, writers
@@ -94,6 +95,8 @@ def test_star_build(spark, tmp_path, wh):
     export_star(star, str(tmp_path / "csv"))
     back = spark.read.csv(str(tmp_path / "csv" / "FactAtenciones"), header=True)
     assert back.count() == 4 and back.columns == star.fact.columns
+    report = star_report(star).collect()
+    assert len(report) > 20 and {r["violaciones"] for r in report} == {0}
     assert publish_star(star, wh)["FactAtenciones"] == 4
     with pytest.raises(writers.TargetNotEmpty):
         publish_star(star, wh)
@@ -206,6 +209,10 @@ def test_reimbursements(spark, wh):
     analyst = published.datasets(wh, "analyst")
     assert "vw_ReembolsosAgregado" in analyst and "Reembolso" not in analyst and RUN_TABLE not in analyst
     assert {"Reembolso", RUN_TABLE} <= set(published.register(wh, "auditor"))
+    report = {r["regla"]: r["violaciones"] for r in reimbursements.model_report(wh).collect()}
+    assert len(report) > 30 and set(report.values()) == {0}
+    wide = {r["regla"]: r["violaciones"] for r in reimbursements.staging_report(df.withColumn("Sede", F.repeat("Sede", F.lit(30)))).collect()}
+    assert wide["WIDTH Sede <= 80"] == 2
     audit = spark.table("LogAuditoriaReembolso")
     assert sorted((r["Operacion"], r["MontoPagado_Nuevo"]) for r in audit.collect()) == [
         ("I", Decimal("9.99")), ("I", Decimal("1225.50")),
@@ -387,6 +394,20 @@ def test_jdbc_options():
     assert options == {"url": "jdbc:x", "dbtable": "t", "batchsize": "5000", "numPartitions": "8", "user": "u"}
 
 
+def test_replayed_micro_batch_adds_nothing(spark, wh):
+    batch = flat(spark, {}, {"SEXO": "X"}).select(*schemas.ATTENTIONS.names)
+    load = attentions_loader(wh)
+    staging = lambda: wh.table(attentions.STAGING_TABLE, attentions.staging_schema()).count()
+    load(batch, 0)
+    load(batch, 0)
+    assert (staging(), fact_table(wh).count(), wh.table(attentions.REJECT_TABLE, schemas.REJECT_LOG).count()) == (2, 1, 1)
+    # the same after a failure between staging and the end
+    done = wh.table("MicroLote", schemas.MICRO_BATCH).filter("Estado <> 'OK'")
+    wh.publish(replace={"MicroLote": readers.literal_rows(spark, [tuple(r) for r in done.collect()], schemas.MICRO_BATCH)})
+    load(batch, 0)
+    assert (staging(), fact_table(wh).count(), wh.table(attentions.REJECT_TABLE, schemas.REJECT_LOG).count()) == (2, 1, 1)
+
+
 def test_micro_batches(spark, tmp_path, wh):
     source = tmp_path / "in"
     source.mkdir()
