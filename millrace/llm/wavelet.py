@@ -232,6 +232,7 @@ class WordIds:
         self.model.no_padding()
         self.model.no_truncation()
         self.lowers = "Lowercase" in str(self.model.normalizer)
+        self.added = [t.content.encode().lower() for t in self.model.get_added_tokens_decoder().values()]
         self.end = end
         self.forget()
 
@@ -242,9 +243,17 @@ class WordIds:
         self.starts, self.sizes = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
         self.remember([END_WORD], [[self.end]])
 
+    def form(self, word: bytes) -> bytes:
+        """What is encoded for a word: words that differ in ASCII capitals only share a form, as a
+        tokenizer that lower-cases reads them alike.  Added tokens are matched by case before that,
+        so a word that would hold one in lower case stays as it is."""
+        if not (self.lowers and word.isascii()):
+            return word
+        lower = word.lower()
+        return word if any(t in lower for t in self.added) else lower
+
     def learn(self, words: set[bytes]) -> None:
-        # ASCII capitals do not matter to a tokenizer that lower-cases, so one form is encoded
-        form = {w: w.lower() if self.lowers and w.isascii() else w for w in words}
+        form = {w: self.form(w) for w in words}
         new = list(set(form.values()).difference(self.known))
         for a, b in slices(map(len, new), ENCODE_BYTES):
             found = self.model.encode_batch_fast([w.decode() for w in new[a:b]], add_special_tokens=False)

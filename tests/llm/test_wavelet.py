@@ -32,6 +32,15 @@ def test_words_encode_as_the_whole_text(plain, text):
     assert sizes.tolist() == [len(ids) - 1, 1]
 
 
+@pytest.mark.parametrize("text", [
+    "<|ENDOFTEXT|>", "<|EndOfText|>", "aB<|ENDOFTEXT|>c Word WORD", "<|STARTOFTEXT|><|endoftext|>",
+    "<|endoftext|> <|ENDOFTEXT|> <|endoftext|>X", "X<|EndOfText|> x<|endoftext|>",
+])
+def test_added_tokens_keep_their_case(plain, text):
+    ids, _ = wavelet.word_ids(WORDS, 1).encode([text.encode()])
+    assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 1]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.sampled_from([0, 1, 5, 6, 70_000, 9]), max_size=60))
 def test_shard_answers(tmp_path_factory, ids):
