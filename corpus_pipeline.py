@@ -62,9 +62,13 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: whole epochs, and once more if drawn."""
+    """Each document as often as the mix takes it: whole epochs, and once more if drawn.
+
+    The draw goes on past documents that do not fit; ``op8_mix_sources`` is held to its SQL and
+    ends there.
+    """
     name, times = unused(docs.columns, "mix_id"), unused(docs.columns, "mix_copies")
-    copies = mix_sources(docs).groupBy(F.col("doc_id").alias(name)).agg(F.max("copies").cast("int").alias(times))
+    copies = mix_sources(docs, past_misfits=True).groupBy(F.col("doc_id").alias(name)).agg(F.max("copies").cast("int").alias(times))
     taken = docs.join(copies.filter(F.col(times) > 0), F.col("doc_id").eqNullSafe(F.col(name)))
     return taken.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 

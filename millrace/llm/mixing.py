@@ -13,6 +13,8 @@ from millrace.operators.keys import dense_ids
 from millrace.session import materialize
 
 KEY_BUCKETS = 4096
+#: Up to so many documents that still fit are gone through in order on the driver.
+FINISH_ROWS = 10_000
 
 
 def unit(id_value: Column, seed: int) -> Column:
@@ -54,6 +56,78 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], most: float) -> D
     )
 
 
+def on_source(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Join one row per source; it is broadcast if measured small, else hot sources are spread."""
+    stored = materialize(right, "mix-sources")
+    return keyed_join(left, stored, ["source"], right_size=measure(stored), null_safe=True)
+
+
+def draw_prefix(rows: DataFrame, plan: DataFrame, key_buckets: int) -> DataFrame:
+    """``rows`` with the columns of their source in ``plan`` and ``drawn``: by rising key, whether
+    the sizes up to and with the row are within the source's ``budget``."""
+    bucket = F.least(F.floor((1 - F.exp(-F.col("key"))) * key_buckets), F.lit(key_buckets - 1)).cast("int")
+    keyed = rows.withColumn("bucket", bucket)
+    ranges = on_source(
+        keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words")), plan.select("source", "budget")
+    )
+    running = Window.partitionBy("source").orderBy("bucket")
+    ends = (
+        ranges.withColumn("through", F.sum("words").over(running))
+        .filter(F.col("through") > F.col("budget"))
+        .groupBy("source")
+        .agg(F.min(F.struct("bucket", (F.col("through") - F.col("words")).alias("before"))).alias("end"))
+        .select("source", F.col("end.bucket").alias("end"), F.col("end.before").alias("before"))
+    )
+    steps = plan.join(
+        ends.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left"
+    ).select(
+        *plan.columns, F.coalesce("end", F.lit(key_buckets)).alias("end"), F.coalesce("before", F.lit(0)).alias("before")
+    )
+    placed = on_source(keyed, steps)
+    order = Window.partitionBy("source").orderBy("key", "id", "size").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    last_range = placed.filter(F.col("bucket") == F.col("end")).withColumn(
+        "drawn", F.col("before") + F.sum("size").over(order) <= F.col("budget")
+    )
+    others = placed.filter(F.col("bucket") != F.col("end")).withColumn("drawn", F.col("bucket") < F.col("end"))
+    return others.unionByName(last_range).drop("bucket", "end", "before")
+
+
+def still_fit(drawn: DataFrame) -> DataFrame:
+    """The rows not drawn that fit what their source's draw leaves; that becomes ``budget``."""
+    so_far = drawn.groupBy("source").agg(F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(0)).alias("so_far"))
+    left = F.col("budget") - F.col("so_far")
+    rest = on_source(drawn.filter(~F.col("drawn") & (F.col("size") > 0)), so_far).filter(F.col("size") <= left)
+    return materialize(rest.select("id", "source", "size", "key", "row", left.alias("budget")), "mix-rest")
+
+
+def draw_past_misfits(drawn: DataFrame, key_buckets: int) -> DataFrame:
+    """``row`` of what is drawn after the first document that does not fit.
+
+    By rising key, every document is taken that fits what is left.  What did not fit once never
+    does later, so prefix sums over the documents that still fit, repeated until none does, take
+    the same ones; few are gone through directly.
+    """
+    spark = drawn.sparkSession
+    rest = still_fit(drawn)
+    found = spark.createDataFrame([], "row bigint")
+    while (n := rest.count()) > FINISH_ROWS:
+        plan = rest.groupBy("source").agg(F.first("budget").alias("budget"))
+        more = materialize(draw_prefix(rest.drop("budget"), plan, key_buckets), "mix-more")
+        found = found.unionByName(more.filter("drawn").select("row"))
+        rest = still_fit(more)
+    if n:
+        left, taken = {}, []
+        for r in rest.orderBy("key", "id", "size").select("source", "size", "budget", "row").collect():
+            gap = left.setdefault(r["source"], r["budget"])
+            if r["size"] <= gap:
+                left[r["source"]] = gap - r["size"]
+                taken.append((r["row"],))
+        found = found.unionByName(spark.createDataFrame(taken, "row bigint"))
+    return materialize(found, "mix-past")
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Sequence[float] = (1, 2, 3),
@@ -64,12 +138,14 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
     key_buckets: int = KEY_BUCKETS,
+    past_misfits: bool = False,
 ) -> DataFrame:
     """``doc_id, size, source_size, target, taken, copies`` for every document.
 
     A document's size is its number of words.  A source is first taken whole as often as its
     target holds it; what remains of the target is drawn without replacement: every document has
-    the key -ln(u) / quality, and documents are taken by rising key while they fit whole.  The
+    the key -ln(u) / quality, and documents are taken by rising key while they fit whole: up to
+    the first that does not fit, or with ``past_misfits`` every one that fits what is left.  The
     last gap goes to that one of the other documents whose size is nearest to it, if that is
     nearer than leaving the gap.  ``taken`` is ``copies * size``.
 
@@ -110,47 +186,22 @@ def mix_sources(
         ),
         "mix-plan",
     )
-    bucket = F.least(F.floor((1 - F.exp(-F.col("key"))) * key_buckets), F.lit(key_buckets - 1)).cast("int")
-    keyed = sized.withColumn("bucket", bucket)
-
-    def on_source(left: DataFrame, right: DataFrame) -> DataFrame:
-        """Join one row per source; it is broadcast if measured small, else hot sources are spread."""
-        stored = materialize(right, "mix-sources")
-        return keyed_join(left, stored, ["source"], right_size=measure(stored), null_safe=True)
-
-    ranges = on_source(
-        keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words")), plan.select("source", "budget")
-    )
-    running = Window.partitionBy("source").orderBy("bucket")
-    ends = (
-        ranges.withColumn("through", F.sum("words").over(running))
-        .filter(F.col("through") > F.col("budget"))
-        .groupBy("source")
-        .agg(F.min(F.struct("bucket", (F.col("through") - F.col("words")).alias("before"))).alias("end"))
-        .select("source", F.col("end.bucket").alias("end"), F.col("end.before").alias("before"))
-    )
-    steps = plan.join(
-        ends.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left"
-    ).select(
-        "source", "source_size", "target", "epochs", "budget",
-        F.coalesce("end", F.lit(key_buckets)).alias("end"), F.coalesce("before", F.lit(0)).alias("before"),
-    )
-    placed = on_source(keyed, steps)
-    order = Window.partitionBy("source").orderBy("key", "id", "size").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    last_range = placed.filter(F.col("bucket") == F.col("end")).withColumn(
-        "drawn", F.col("before") + F.sum("size").over(order) <= F.col("budget")
-    )
-    others = placed.filter(F.col("bucket") != F.col("end")).withColumn("drawn", F.col("bucket") < F.col("end"))
     drawn = materialize(
-        others.unionByName(last_range).select(
+        draw_prefix(sized, plan, key_buckets).select(
             "id", "source", "size", "key", "source_size", "target", "epochs", "budget",
             (F.col("drawn") & (F.col("size") > 0)).alias("drawn"),
             F.monotonically_increasing_id().alias("row"),
         ),
         "mix-drawn",
     )
+    if past_misfits:
+        past = draw_past_misfits(drawn, key_buckets).withColumn("past", F.lit(True))
+        drawn = materialize(
+            keyed_join(drawn, past, ["row"], "left", measure(past), balance=False)
+            .withColumn("drawn", F.col("drawn") | F.coalesce("past", F.lit(False)))
+            .drop("past"),
+            "mix-drawn",
+        )
     so_far = drawn.groupBy("source").agg(
         F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(0)).alias("so_far")
     )

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+import math
 import random
 import re
 from collections import defaultdict
@@ -190,6 +192,41 @@ def test_heavier_documents_come_first(spark):
     assert good > 0.6 * sum(r.taken for r in b)
 
 
+def brute_draw(docs, budget, seed=20):
+    """Words of each document, by rising key (all of the same quality), that fit what is left."""
+    key = {i: -math.log((int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)) for i in docs}
+    taken = set()
+    for i in sorted(docs, key=lambda i: (key[i], i)):
+        if 0 < docs[i] <= budget:
+            budget -= docs[i]
+            taken.add(i)
+    others = [(abs(budget - n), key[i], i) for i, n in docs.items() if i not in taken and n and abs(budget - n) < budget]
+    return taken | {x[2] for x in sorted(others)[:1]}
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_mixing_goes_on_past_a_document_above_the_budget(spark, monkeypatch, few):
+    from pyspark.sql import functions as F
+
+    from millrace.llm import mixing
+
+    monkeypatch.setattr(mixing, "FINISH_ROWS", few)
+    rng = random.Random(8)
+    a = {i: rng.randint(1, 200) for i in range(300)}
+    b = {i: rng.randint(1, 200) for i in range(300, 600)}
+    first = min(a, key=lambda i: -int(hashlib.md5(f"20:{i}".encode()).hexdigest()[:13], 16))
+    a[first] = 40_000
+    docs = documents(spark, [(i, "abc " * n, "en", s) for s, d in (("a", a), ("b", b)) for i, n in d.items()])
+    got = mix_sources(docs, weights=(1, 3), quality=F.lit(1.0), past_misfits=True).collect()
+    for d in (a, b):
+        size = sum(d.values())
+        target = {r.target for r in got if r.doc_id in d}.pop()
+        epochs = min(int(target // size), 3)
+        drawn = brute_draw(d, target - epochs * size)
+        assert {r.doc_id: r.copies for r in got if r.doc_id in d} == {i: epochs + (i in drawn) for i in d}
+        assert abs(sum(r.taken for r in got if r.doc_id in d) - target) <= 1
+
+
 @needs_tables
 def test_mixing_the_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
