@@ -1,8 +1,8 @@
 """A corpus from raw documents to token files, stage by stage.
 
 Every stage takes what its predecessor kept, whole, and its decisions take effect on rows: all
-columns of the documents go on as they are.  Rows that share an id are one document to a stage
-that joins its decisions back.
+columns of the documents go on as they are.  Rows are told apart by a key that a stage stores with
+them and drops again, so rows without an id, or with the same one, are decided each.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.base import table, tokenizer_file, unused
+from millrace.llm.base import WORD, table, tokenizer_file, unused
 from millrace.llm.decontam import find_items
 from millrace.llm.minmax_dedup import near_duplicates
 from millrace.llm.mixing import mix_sources
@@ -32,44 +32,62 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_identified(docs)
 
 
+def with_row_key(docs: DataFrame, stage: str) -> tuple[DataFrame, str]:
+    """The documents, stored with a key of each row, and the name of that column."""
+    key = unused(docs.columns, "row_key")
+    return materialize(docs.withColumn(key, F.monotonically_increasing_id()), stage), key
+
+
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id.
+    """One row of each group of near copies: the one with the smallest id, rows without an id last.
 
-    Rows that repeat an id with the same text are reduced to one.  Rows without an id stay.
+    Rows that repeat an id are told apart by a hash of the row, equal rows by their place.  Texts
+    without words are copies of one another only if they share an id and are equal.
     """
-    name = unused(docs.columns, "dropped_id")
-    found = materialize(near_duplicates(docs), "near")
-    by_id = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.max("kept").alias("kept"), F.count("*").alias("n")
+    stored, key = with_row_key(docs, "near-rows")
+    name, dropped_key = unused(stored.columns, "near_id"), unused(stored.columns, "dropped_key")
+    order = F.struct(
+        F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64(*docs.columns).alias("hash"),
+        F.col(key).alias("row"),
     )
-    by_id = materialize(by_id, "near-ids")
-    dropped = by_id.filter(~F.col("kept")).select(F.col("doc_id").alias(name))
-    left = docs.join(dropped, F.col("doc_id") == F.col(name), "left_anti")
-    if by_id.filter(F.col("n") > 1).isEmpty():
-        return left
-    again = by_id.filter(F.col("n") > 1).select(F.col("doc_id").alias(name))
-    once = left.join(again, F.col("doc_id") == F.col(name), "left_anti")
-    several = left.join(again, F.col("doc_id") == F.col(name), "left_semi")
-    return once.unionByName(several.dropDuplicates(["doc_id", "text"]))
+    found = near_duplicates(stored.withColumn(name, order), id_col=name)
+    dropped = found.filter(~F.col("kept")).select(F.col(f"{name}.row").alias(dropped_key))
+    blank = stored.filter(
+        F.col("doc_id").isNotNull() & (F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)) == 0)
+    ).select(F.col(key).alias(dropped_key), "doc_id", "text")
+    first = blank.groupBy(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).agg(
+        F.min(dropped_key).alias("_first"), F.count("*").alias("_n")
+    ).filter(F.col("_n") > 1)
+    same = (F.col("doc_id") == F.col("_id")) & F.col("text").eqNullSafe(F.col("_text"))
+    again = blank.join(first, same).filter(F.col(dropped_key) != F.col("_first")).select(dropped_key)
+    dropped = materialize(dropped.unionByName(again), "near")
+    return stored.join(dropped, F.col(key) == F.col(dropped_key), "left_anti").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    name = unused(docs.columns, "hit_id")
-    found = materialize(find_items(docs, table(spark, sf_dir, "benchmark")), "hits")
-    hit = found.filter("contaminated").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+    stored, key = with_row_key(docs, "hit-rows")
+    name = unused(stored.columns, "hit_key")
+    found = find_items(stored, table(spark, sf_dir, "benchmark"), id_col=key)
+    hit = materialize(found.filter("contaminated").select(F.col(key).alias(name)), "hits")
+    return stored.join(hit, F.col(key) == F.col(name), "left_anti").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: whole epochs, and once more if drawn.
 
     The draw goes on past documents that do not fit; ``op8_mix_sources`` is held to its SQL and
-    ends there.
+    ends there.  A row without an id is drawn by its text.
     """
-    name, times = unused(docs.columns, "mix_id"), unused(docs.columns, "mix_copies")
-    copies = mix_sources(docs, past_misfits=True).groupBy(F.col("doc_id").alias(name)).agg(F.max("copies").cast("int").alias(times))
-    taken = docs.join(copies.filter(F.col(times) > 0), F.col("doc_id").eqNullSafe(F.col(name)))
+    stored, key = with_row_key(docs, "mix-rows")
+    drawn_by, name, times = (unused(stored.columns, x) for x in ("mix_id", "mix_key", "mix_copies"))
+    by = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("?"), F.md5("text")))
+    mix = mix_sources(stored.withColumn(drawn_by, by), id_col=drawn_by, row_col=key, past_misfits=True)
+    copies = materialize(
+        mix.filter(F.col("copies") > 0).select(F.col(key).alias(name), F.col("copies").cast("int").alias(times)),
+        "mix-copies",
+    )
+    taken = stored.join(copies, F.col(key) == F.col(name))
     return taken.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 

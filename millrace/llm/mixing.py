@@ -139,6 +139,7 @@ def mix_sources(
     source_col: str = "source",
     key_buckets: int = KEY_BUCKETS,
     past_misfits: bool = False,
+    row_col: str | None = None,
 ) -> DataFrame:
     """``doc_id, size, source_size, target, taken, copies`` for every document.
 
@@ -156,16 +157,19 @@ def mix_sources(
     Null text and text without words: size 0, nothing taken.  A null source is a source, the
     last.  Null ids share one key.  Rows that repeat an id tie; ties go by size, equal rows are
     interchangeable.  An empty table gives no rows.  Other columns are ignored.  ``quality`` is
-    an expression over the documents (positive; null counts as 1).
+    an expression over the documents (positive; null counts as 1).  ``row_col``, a key of the
+    rows, stays in the result.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint")
+    given = F.lit(None).cast("bigint") if row_col is None else F.col(row_col)
     sized = materialize(
         docs.select(
+            given.alias("carried"),
             F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"),
             (F.lit(None) if quality is None else quality).cast("double").alias("given"),
             F.length(text_col).alias("chars"),
         ).select(
-            "id", "source", "size",
+            "carried", "id", "source", "size",
             F.coalesce(
                 "given",
                 F.lit(1.0) if quality is not None else F.when(
@@ -173,7 +177,7 @@ def mix_sources(
                 ).otherwise(0.5),
             ).alias("w"),
         ).select(
-            "id", "source", "size",
+            "carried", "id", "source", "size",
             (-F.log(unit(F.col("id"), seed)) / F.greatest(F.col("w"), F.lit(1e-9))).alias("key"),
         ),
         "mix",
@@ -188,7 +192,7 @@ def mix_sources(
     )
     drawn = materialize(
         draw_prefix(sized, plan, key_buckets).select(
-            "id", "source", "size", "key", "source_size", "target", "epochs", "budget",
+            "carried", "id", "source", "size", "key", "source_size", "target", "epochs", "budget",
             (F.col("drawn") & (F.col("size") > 0)).alias("drawn"),
             F.monotonically_increasing_id().alias("row"),
         ),
@@ -220,6 +224,7 @@ def mix_sources(
         keyed_join(drawn, filler, ["row"], "left", measure(filler), balance=False)
         .withColumn("copies", F.coalesce(copies, F.lit(0)).cast("bigint"))
         .select(
+            *([] if row_col is None else [F.col("carried").alias(row_col)]),
             F.col("id").alias(id_col), "size", "source_size", "target",
             (F.col("copies") * F.col("size")).alias("taken"), "copies",
         )

@@ -69,3 +69,35 @@ def test_odd_rows_and_clashing_columns(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+
+
+def test_rows_with_null_or_repeated_ids_are_decided_each(spark, tmp_path):
+    leak = "quick brown fox jumps over the lazy dog again and"
+    benchmark = spark.createDataFrame([(1, leak)], "item_id bigint, text string")
+    benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
+    say = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    docs = documents(spark, [
+        (None, f"the {leak} again", "en", "a"), (None, say(1), "en", "a"), (None, say(1), "en", "b"),
+        (5, say(2), "en", "a"), (5, say(2) + " more", "en", "a"), (5, f"a {leak} b", "en", "b"), (5, say(3), "en", "a"),
+        (9, say(4), "en", "a"), (None, say(4), "en", "a"), (3, " ", "en", "a"), (3, " ", "en", "a"),
+    ])
+    clean = corpus_pipeline.decontaminated(spark, docs, str(tmp_path))
+    assert sorted((r.doc_id or 0, r.text) for r in clean.collect()) == sorted(
+        (r.doc_id or 0, r.text) for r in docs.collect() if leak not in r.text
+    )
+    one = corpus_pipeline.deduplicated(spark, docs, str(tmp_path)).collect()
+    got = sorted((r.doc_id or 0, r.text.split()[0] if r.text.strip() else "") for r in one)
+    assert got == [(0, "the"), (0, "w1x0"), (3, ""), (5, "a"), (5, "w2x0"), (5, "w3x0"), (9, "w4x0")]
+
+
+def test_mixed_rows_without_an_id_keep_to_the_targets(spark):
+    docs = documents(spark, [
+        (None if i % 3 == 0 else i, f"doc{i} " + "abc " * (i % 17), "en", "ab"[i % 2]) for i in range(600)
+    ])
+    words = lambda df, s: sum(len(r.text.split()) for r in df.collect() if r.source == s)
+    size = {s: words(docs, s) for s in "ab"}
+    mix = corpus_pipeline.mixed(spark, docs, "")
+    for s, weight in (("a", 1), ("b", 2)):
+        assert abs(words(mix, s) - sum(size.values()) * weight / 3) <= 1
+    none = Counter(r.text for r in mix.collect() if r.doc_id is None and r.source == "a")
+    assert 0 < len(none) < 100
