@@ -12,6 +12,7 @@ from millrace.llm.mixing import mix_sources
 from millrace.llm.token_counts import count_tokens
 from millrace.llm.top_k import top_k
 from millrace.llm.url_rules import judge_urls
+from millrace.llm.vp_tree import nearest
 from millrace.llm.warc_zip import archive_pages
 from millrace.llm.zstd_language import identify_languages
 from millrace.llm.wavelet import token_digest
@@ -163,3 +164,20 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_minmax_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+WITH v AS (SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+             AND len([x FOR x IN embedding IF x <> 0]) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+             vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op11_vp_tree", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
