@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.base import QUERIES, SQL, query, table, tokenizer_file
 from millrace.llm.decontam import find_items
+from millrace.llm.feast import whiten
+from millrace.llm.four_russians import hard_negatives
 from millrace.llm.hmm_lm import score_documents
 from millrace.llm.minmax_dedup import near_duplicates
 from millrace.llm.mixing import mix_sources
@@ -181,3 +184,35 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 @query("op11_vp_tree", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+OP12_SQL = """
+WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v,
+                  CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+             list_dot_product(a.v, c.v)::BIGINT AS score
+      FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op12_four_russians", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved))
+
+
+@query("op13_feast_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
