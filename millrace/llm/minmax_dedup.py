@@ -16,21 +16,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.base import slices, utf8, words
 from millrace.operators.joins import fits_broadcast, keyed_join, measure
-from millrace.session import materialize
+from millrace.session import materialize, release
 
 SHINGLE_WORDS = 4
 PERMUTATIONS = 48
 BAND_ROWS = 4
 #: Buckets of at most this many texts are compared whole at once; larger ones through a hub first.
 SMALL_BUCKET = 16
-#: In what is left, pairs that share so many bands are compared before the rest.
-MANY_BANDS = 6
-BATCH_BYTES = 4 << 20
+#: Text that a task turns into words at once; they take some twenty times its room.
+BATCH_BYTES = 1 << 20
 KNOWN_WORDS = 250_000
 STEP = 1024
 
@@ -82,13 +81,12 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def text_sets(texts: list[bytes | None], size: int) -> Iterator[np.ndarray]:
-    for a, b in slices((len(t or b"") for t in texts), BATCH_BYTES):
-        split = [words(t) for t in texts[a:b]]
-        every = word_hashes().of([w for ws in split for w in ws])
-        at = 0
-        for ws in split:
-            yield shingle_set(every[at : at + len(ws)], size)
-            at += len(ws)
+    split = [words(t) for t in texts]
+    every = word_hashes().of([w for ws in split for w in ws])
+    at = 0
+    for ws in split:
+        yield shingle_set(every[at : at + len(ws)], size)
+        at += len(ws)
 
 
 def set_key(items: np.ndarray) -> bytes:
@@ -110,19 +108,27 @@ def band_keys(items: np.ndarray, n: int = PERMUTATIONS) -> np.ndarray:
     return _stir(keys).view(np.int64)
 
 
+def small_parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of batches with ``BATCH_BYTES`` of text or little more: only one is ever Python objects."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for a, b in slices(lengths, BATCH_BYTES):
+            yield batch.slice(a, b - a)
+
+
 def signatures(docs: DataFrame, size: int, n: int) -> DataFrame:
     """``id, n_shingles, set_key, bands`` of every row of ``docs(id, text)``; no key without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in small_parts(batches, 1):
             sizes, keys, bands = [], [], []
-            for items in text_sets(utf8(batch.column(1)), size):
+            for items in text_sets(utf8(part.column(1)), size):
                 sizes.append(len(items))
                 keys.append(set_key(items) if len(items) else None)
                 bands.append(band_keys(items, n) if len(items) else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                    part.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
                 ["id", "n_shingles", "set_key", "bands"],
@@ -139,24 +145,23 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``cls, items`` for the classes of ``wanted(cls, rep, set_key)``: the set as sorted bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lengths = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_pylist()
-            for a, b in slices(lengths, BATCH_BYTES):
-                part = batch.slice(a, b - a)
-                keys, same, sets = part.column(1).to_pylist(), [], []
-                for i, items in enumerate(text_sets(utf8(part.column(2)), size)):
-                    if set_key(items) == keys[i]:
-                        same.append(i)
-                        sets.append(items.tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(same, pa.int64())), pa.array(sets, pa.binary())], ["cls", "items"]
-                )
+        for part in small_parts(batches, 2):
+            keys, same, sets = part.column(1).to_pylist(), [], []
+            for i, items in enumerate(text_sets(utf8(part.column(2)), size)):
+                if set_key(items) == keys[i]:
+                    same.append(i)
+                    sets.append(items.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(same, pa.int64())), pa.array(sets, pa.binary())], ["cls", "items"]
+            )
         forget_words()
 
     stored = materialize(wanted, "wanted")
     side = F.broadcast(stored) if fits_broadcast(measure(stored)) else stored
     rows = docs.join(side, F.col("id") == F.col("rep")).select("cls", "set_key", "text")
-    return materialize(rows.mapInArrow(run, "cls bigint, items binary").dropDuplicates(["cls"]), "sets")
+    sets = materialize(rows.mapInArrow(run, "cls bigint, items binary").dropDuplicates(["cls"]), "sets")
+    release(stored)
+    return sets
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -195,7 +200,9 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
     both = materialize(between.unionByName(between.select(F.col("v").alias("u"), F.col("u").alias("v"))), "links")
     state = materialize(both.select(F.col("u").alias("node")).distinct().withColumn("root", F.col("node")), "roots")
     if state.isEmpty():
+        release(both, state)
         return labels
+    held = state
     while True:
         near = (
             both.join(state, F.col("v") == F.col("node")).groupBy("u").agg(F.min("root").alias("least"))
@@ -208,14 +215,18 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
         moved = materialize(
             step.join(jump, "next", "left").select("node", "root", F.least("next", "far").alias("new")), "roots"
         )
+        release(held, step)
+        held = moved
         changed = not moved.filter(F.col("new") != F.col("root")).isEmpty()
         state = moved.select("node", F.col("new").alias("root"))
         if not changed:
             break
     roots = state.select(F.col("node").alias("comp"), "root")
-    return materialize(
+    joined = materialize(
         labels.join(roots, "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp")), "labels"
     )
+    release(both, held, labels)
+    return joined
 
 
 def near_duplicates(
@@ -237,12 +248,14 @@ def near_duplicates(
     classes that share a band.  The hub of a bucket is the class that meets most others in all
     its buckets, which is near the middle of a family.  First each class is compared with the
     best of its hubs; then the classes of small buckets with one another and those of large
-    buckets with the bucket's hub; and last, in large buckets that still hold several
-    components, classes of different components, those that share many bands before the rest.
+    buckets with the bucket's hub.  Classes of large buckets that still hold several components
+    do not meet all with all: two sets that are similar enough share one of their rarest
+    shingles (``prefix_pairs``), so only those that do are compared.  In a family whose members
+    are less alike, the rare shingles of each are its own.
     Pairs within one component need no comparison any more, and neither do pairs whose distances
     to the hub they have in common differ by more than a link allows (1 minus the similarity is
     a metric).  So a family of near copies costs little more than a comparison each, and nothing
-    is capped.  Only the sets of candidates are fetched.
+    is capped.  Only the sets of candidates are fetched.  Superseded tables are deleted.
 
     The chance to miss a link at exactly 80 % is that of sharing none of 24 bands, 3 in a
     million, and at 85 % 2 in a hundred million; a link that is missed matters only if nothing
@@ -266,6 +279,7 @@ def near_duplicates(
     names = classes.select("cls", "set_key", "rep").join(labels, "cls")
     least = names.groupBy("comp").agg(F.min("rep").alias("component_id"))
     by_key = materialize(names.join(least, "comp").select("set_key", "component_id"), "components")
+    release(classes, labels)
     linked = F.col("id").isNotNull() & F.col("set_key").isNotNull()
     found = keyed_join(
         signed.select("id", "n_shingles", F.when(linked, F.col("set_key")).alias("set_key")), by_key, ["set_key"],
@@ -278,13 +292,63 @@ def near_duplicates(
     )
 
 
+def prefix_pairs(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: pairs of ``unsettled(cls, n, comp, pivot, similarity)`` that may be similar enough.
+
+    Shingles are ordered by how many of these classes hold them, rare ones first.  Sets ``A`` and ``B``
+    with ``100 |A and B| >= percent |A or B|`` share at least one of their first
+    ``n - ceil(percent n / 100) + 1`` shingles, so only those are joined.  Sizes, and how much both sets
+    can have in common given the places of what they share, rule out further pairs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                items = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
+                for at in range(0, len(items), 1 << 16):
+                    part = items[at : at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(part), batch.column(0)[i].as_py())), pa.array(part)], ["cls", "item"]
+                    )
+
+    held = sets.join(unsettled.select("cls"), "cls").select("cls", "items")
+    every = materialize(held.mapInArrow(run, "cls bigint, item bigint"), "items")
+    counts = every.groupBy("item").agg(F.count("*").alias("held"))
+    place = F.row_number().over(Window.partitionBy("cls").orderBy("held", "item")) - 1
+    first = F.col("n") - F.ceil(F.col("n") * F.lit(percent / 100) - F.lit(1e-9)) + 1
+    placed = every.join(counts, "item").withColumn("place", place).join(unsettled, "cls")
+    prefixes = materialize(placed.filter((F.col("place") < first) & (F.col("held") > 1)).drop("held"), "prefixes")
+    side = lambda s: prefixes.select(
+        "item", F.col("cls").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "comp", "pivot", "similarity", "place")]
+    )
+    both = F.least("place_a", "place_b") + 1 + F.least(
+        F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1
+    )
+    slack = 1 - percent / 100 + 1e-9
+    near = (
+        (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b"))
+        & (F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
+        & (F.lit(100) * both >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - both))
+        & (F.coalesce(F.col("pivot_a") != F.col("pivot_b"), F.lit(True))
+           | (F.abs(F.col("similarity_a") - F.col("similarity_b")) <= slack))
+    )
+    pairs = side("a").withColumnRenamed("item", "item_a").join(
+        side("b").withColumnRenamed("item", "item_b"), (F.col("item_a") == F.col("item_b")) & near
+    )
+    found = materialize(pairs.select("a", "b").distinct(), "prefix-pairs")
+    release(every, prefixes)
+    return found
+
+
 def link_classes(docs: DataFrame, classes: DataFrame, percent: int, shingle_words: int, small_bucket: int) -> DataFrame:
     """``cls, comp`` of all classes: which of them links connect."""
     placed = classes.select("cls", "n", F.explode("bands").alias("band"))
     shared = placed.groupBy("band").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
     met = materialize(placed.join(shared, "band"), "met")
     degrees = met.groupBy("cls").agg(F.sum("size").alias("degree"))
-    met = materialize(met.join(degrees, "cls"), "met")
+    with_degree = materialize(met.join(degrees, "cls"), "met")
+    release(met)
+    met = with_degree
     hub_of = met.groupBy("band").agg(F.max(F.struct("degree", "cls")).alias("hub"))
     members = materialize(
         met.join(hub_of, "band").select(
@@ -299,6 +363,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, percent: int, shingle_word
     wanted = members.select("cls").distinct().join(classes.select("cls", "rep", "set_key"), "cls")
     sets = full_sets(docs, wanted, shingle_words)
     tried: DataFrame | None = None
+    spent: list[DataFrame] = []  # released at the end
 
     def compare(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Compares the pairs ``(a, b)`` of different components that were not tried yet; returns
@@ -307,8 +372,10 @@ def link_classes(docs: DataFrame, classes: DataFrame, percent: int, shingle_word
         comp = lambda side: labels.select(F.col("cls").alias(side), F.col("comp").alias(f"c{side}"))
         apart = pairs.join(comp("a"), "a").join(comp("b"), "b").filter("ca <> cb").select("a", "b").distinct()
         fresh = materialize(apart if tried is None else apart.join(tried, ["a", "b"], "left_anti"), "pairs")
+        spent.append(fresh)
         tried = fresh if tried is None else tried.unionByName(fresh)
         found = materialize(compared(fresh, sets, percent), "compared")
+        spent.append(found)
         return components(labels, found.filter("linked").select("a", "b")), found
 
     sized = lambda pairs: pairs.join(size_of("a"), "a").join(size_of("b"), "b").filter(alike).select("a", "b")
@@ -323,27 +390,11 @@ def link_classes(docs: DataFrame, classes: DataFrame, percent: int, shingle_word
     hubs = to_hub.filter(F.col("size") > small_bucket).select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
     labels, _ = compare(within.unionByName(sized(hubs)))
 
-    large = members.filter(F.col("size") > small_bucket).select("band", "cls", "n")
-    bands = classes.select("cls", "bands")
-    slack = 1 - percent / 100 + 1e-9
-    for least_bands in (MANY_BANDS, 1):
-        placed = large.join(labels, "cls")
-        split = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
-        left = placed.join(split.select("band"), "band").join(bands, "cls").join(pivots, "cls", "left")
-        left = materialize(left.select("band", "cls", "n", "comp", "bands", "pivot", "similarity"), "unsettled")
-        side = lambda s, df=left: df.select(
-            "band", F.col("cls").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "comp", "bands", "pivot", "similarity")]
-        )
-        common = F.array_intersect("bands_a", "bands_b")
-        near = (
-            (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b"))
-            & (F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
-            & (F.coalesce(F.col("pivot_a") != F.col("pivot_b"), F.lit(True))
-               | (F.abs(F.col("similarity_a") - F.col("similarity_b")) <= slack))
-            & (F.size(common) >= least_bands) & (F.array_min(common) == F.col("band_a"))
-        )
-        pairs = side("a").withColumnRenamed("band", "band_a").join(
-            side("b").withColumnRenamed("band", "band_b"), (F.col("band_a") == F.col("band_b")) & near
-        )
-        labels, _ = compare(pairs.select("a", "b"))
+    large = members.filter(F.col("size") > small_bucket).select("band", "cls", "n").join(labels, "cls")
+    split = large.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
+    left = large.join(split.select("band"), "band").select("cls", "n", "comp").distinct().join(pivots, "cls", "left")
+    unsettled = materialize(left, "unsettled")
+    pairs = prefix_pairs(unsettled, sets, percent)
+    labels, _ = compare(pairs)
+    release(sets, members, met, unsettled, pairs, *spent)
     return labels
