@@ -81,7 +81,22 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path  # for release()
+    return stored
+
+
+def release(*frames: DataFrame | None) -> None:
+    """Delete the tables that ``materialize`` wrote for these frames, once nothing reads them any more.
+
+    What was made from them must itself be stored: a lazy frame over a released table cannot be read.
+    """
+    for df in frames:
+        path = df.__dict__.pop("_stored_at", None) if df is not None else None
+        if path:
+            context = df.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def in_parallel(jobs: Sequence[Callable[[], Result]]) -> list[Result]:
