@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +66,52 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
+@dataclass(frozen=True)
+class Words:
+    """The words of some texts: each different one once, and where each word is among these."""
+
+    distinct: pa.Array  # binary
+    at: np.ndarray
+    sizes: np.ndarray  # words by text
+
+
+def split_words(texts: pa.Array, lower: bool = True) -> Words:
+    """Words between ASCII white space of a string column, A-Z lower-cased if wanted; null has none.
+
+    The split runs on Arrow buffers, so that Python sees a word of many texts once.
+    """
+    plain = pc.fill_null(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts, "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(plain) if lower else plain)
+    sizes, values = np.asarray(lists.value_lengths(), np.int64), lists.flatten()
+    told = values.dictionary_encode()
+    at, distinct = np.asarray(told.indices, np.int64), told.dictionary
+    empty = pc.index(distinct, pa.scalar("", distinct.type)).as_py()  # what a split leaves at the ends
+    if empty >= 0:
+        kept = at != empty
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[kept], minlength=len(sizes))
+        at = at[kept]
+        at -= at > empty
+        distinct = pa.concat_arrays([distinct.slice(0, empty), distinct.slice(empty + 1)])
+    return Words(distinct.cast(pa.large_binary() if pa.types.is_large_string(distinct.type) else pa.binary()), at, sizes)
+
+
+def with_ends(values: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
+    """``values`` of the words of some texts, with ``end`` after each text."""
+    out = np.full(len(values) + len(sizes), end, values.dtype)
+    inner = np.ones(len(out), bool)
+    inner[np.cumsum(sizes + 1) - 1] = False
+    out[inner] = values
+    return out
+
+
+def small_parts(batches: Iterable[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of batches with ``most`` bytes of text in a column, or little more."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for a, b in slices((n + 1 for n in lengths), most):
+            yield batch.slice(a, b - a)
+
+
 def slices(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Runs of rows whose sizes add up to ``most`` or little more."""
     start, total, end = 0, 0, 0

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.base import held_out, slices, utf8, words
+from millrace.llm.base import held_out, slices, small_parts, split_words, with_ends
 from millrace.session import materialize
 
 STATES = 6
@@ -153,12 +153,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
             held.clear()
             return pa.RecordBatch.from_arrays(counted, ["word", "c"])
 
-        for batch in batches:
-            for text in utf8(batch.column(0)):
-                held.update(words(text))
-                if len(held) > COUNTER_WORDS:
-                    yield flush()
-            held[END] += batch.num_rows
+        for part in small_parts(batches, 0, BATCH_BYTES):
+            split = split_words(part.column(0))
+            counted = np.bincount(split.at, minlength=len(split.distinct)).tolist()
+            held.update(dict(zip(split.distinct.to_pylist(), counted, strict=True)))
+            held[END] += part.num_rows
+            if len(held) > COUNTER_WORDS:
+                yield flush()
         yield flush()
 
     return docs.select("text").mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
@@ -201,11 +202,12 @@ def class_sequences(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(model)
-        for batch in batches:
-            out = []
-            for text in utf8(batch.column(0)):
-                ids = classes.of([*words(text), END]).astype("<u2")
-                out += [ids[i : i + TRAIN_WINDOW].tobytes() for i in range(0, len(ids), TRAIN_WINDOW)]
+        for part in small_parts(batches, 0, BATCH_BYTES):
+            split, out = split_words(part.column(0)), []
+            every = with_ends(classes.of(split.distinct.to_pylist())[split.at], split.sizes, classes[END]).astype("<u2")
+            ends = np.cumsum(split.sizes + 1).tolist()
+            for start, end in zip([0, *ends], ends, strict=False):
+                out += [every[i : min(i + TRAIN_WINDOW, end)].tobytes() for i in range(start, end, TRAIN_WINDOW)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
     return docs.select("text").mapInArrow(run, "ids binary")
@@ -310,39 +312,37 @@ def score_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(model)
-        for batch in batches:
-            texts = utf8(batch.column(2))
-            for a, b in slices((len(t or b"") for t in texts), BATCH_BYTES):
-                split = [[*words(t), END] for t in texts[a:b]]
-                lengths = np.array([len(w) for w in split])
-                tokens = classes.of([w for ws in split for w in ws])
-                owner = np.repeat(np.arange(b - a), lengths)
-                tail = tokens >= classes.first_tail
-                known = np.bincount(owner[~tail], minlength=b - a)
-                base = np.bincount(owner[~tail], weights=head_logs[tokens[~tail]], minlength=b - a)
-                within = np.bincount(owner[tail], weights=tail_logs[tokens[tail] - classes.first_tail], minlength=b - a)
-                score = log_likelihoods(tokens, lengths, model) / math.log(10) - within
-                row = batch.column(0).slice(a, b - a)
-                nothing = pa.nulls(b - a, pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        row, batch.column(1).slice(a, b - a), nothing, pa.array(lengths, pa.int64()), pa.array(known, pa.int64()),
-                        pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                    ],
-                    names,
-                )
-                rare: Counter[tuple[int, bytes]] = Counter()
-                places, ends = np.flatnonzero(tail), np.cumsum(lengths)
-                for d, p in zip(owner[places].tolist(), places.tolist(), strict=True):
-                    rare[d, split[d][p - int(ends[d] - lengths[d])]] += 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        row.take(pa.array([d for d, _ in rare], pa.int64())), pa.nulls(len(rare), batch.column(1).type),
-                        pa.array([w for _, w in rare], pa.binary()), pa.array(list(rare.values()), pa.int64()),
-                        pa.nulls(len(rare), pa.int64()), pa.nulls(len(rare), pa.float64()), pa.nulls(len(rare), pa.float64()),
-                    ],
-                    names,
-                )
+        for part in small_parts(batches, 2, BATCH_BYTES):
+            n, split = part.num_rows, split_words(part.column(2))
+            of_word = classes.of(split.distinct.to_pylist())
+            lengths = split.sizes + 1
+            tokens = with_ends(of_word[split.at], split.sizes, classes[END])
+            owner = np.repeat(np.arange(n), lengths)
+            tail = tokens >= classes.first_tail
+            known = np.bincount(owner[~tail], minlength=n)
+            base = np.bincount(owner[~tail], weights=head_logs[tokens[~tail]], minlength=n)
+            within = np.bincount(owner[tail], weights=tail_logs[tokens[tail] - classes.first_tail], minlength=n)
+            score = log_likelihoods(tokens, lengths, model) / math.log(10) - within
+            row = part.column(0)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    row, part.column(1), pa.nulls(n, pa.binary()), pa.array(lengths, pa.int64()),
+                    pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()),
+                ],
+                names,
+            )
+            rare = of_word[split.at] >= classes.first_tail
+            types = max(len(split.distinct), 1)
+            pairs, times = np.unique(np.repeat(np.arange(n), split.sizes)[rare] * types + split.at[rare], return_counts=True)
+            m = len(pairs)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    row.take(pa.array(pairs // types)), pa.nulls(m, part.column(1).type),
+                    split.distinct.take(pa.array(pairs % types)).cast(pa.binary()), pa.array(times, pa.int64()),
+                    pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64()),
+                ],
+                names,
+            )
 
     names = ["row", "id", "word", "n", "known", "base", "score"]
     rows = given.select(F.monotonically_increasing_id().alias("row"), "id", "text")

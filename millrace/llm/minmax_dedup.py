@@ -14,12 +14,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import slices, utf8, words
+from millrace.llm.base import small_parts, split_words
 from millrace.operators.joins import fits_broadcast, keyed_join, measure
 from millrace.session import materialize, release
 
@@ -30,34 +29,11 @@ BAND_ROWS = 4
 SMALL_BUCKET = 16
 #: Text that a task turns into words at once; they take some twenty times its room.
 BATCH_BYTES = 1 << 20
-KNOWN_WORDS = 250_000
 STEP = 1024
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, tokens: list[bytes]) -> np.ndarray:
-        if len(self) > KNOWN_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
-
-
-@lru_cache(maxsize=1)
-def word_hashes() -> WordHashes:
-    return WordHashes()
-
-
-def forget_words() -> None:
-    """Give back memory at the end of a task: its worker will run other operators."""
-    word_hashes().clear()
-    pa.default_memory_pool().release_unused()
-
-
 @lru_cache(maxsize=2)
 def permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20)
@@ -80,13 +56,13 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
     return np.unique(_stir(runs))
 
 
-def text_sets(texts: list[bytes | None], size: int) -> Iterator[np.ndarray]:
-    split = [words(t) for t in texts]
-    every = word_hashes().of([w for ws in split for w in ws])
-    at = 0
-    for ws in split:
-        yield shingle_set(every[at : at + len(ws)], size)
-        at += len(ws)
+def text_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """The shingle set of each text of a string column."""
+    words = split_words(texts)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words.distinct.to_pylist()), np.uint64, len(words.distinct))
+    at, ends = hashes[words.at], np.cumsum(words.sizes)
+    for start, end in zip((ends - words.sizes).tolist(), ends.tolist(), strict=True):
+        yield shingle_set(at[start:end], size)
 
 
 def set_key(items: np.ndarray) -> bytes:
@@ -108,21 +84,13 @@ def band_keys(items: np.ndarray, n: int = PERMUTATIONS) -> np.ndarray:
     return _stir(keys).view(np.int64)
 
 
-def small_parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of batches with ``BATCH_BYTES`` of text or little more: only one is ever Python objects."""
-    for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
-        for a, b in slices(lengths, BATCH_BYTES):
-            yield batch.slice(a, b - a)
-
-
 def signatures(docs: DataFrame, size: int, n: int) -> DataFrame:
     """``id, n_shingles, set_key, bands`` of every row of ``docs(id, text)``; no key without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in small_parts(batches, 1):
+        for part in small_parts(batches, 1, BATCH_BYTES):
             sizes, keys, bands = [], [], []
-            for items in text_sets(utf8(part.column(1)), size):
+            for items in text_sets(part.column(1), size):
                 sizes.append(len(items))
                 keys.append(set_key(items) if len(items) else None)
                 bands.append(band_keys(items, n) if len(items) else None)
@@ -133,7 +101,6 @@ def signatures(docs: DataFrame, size: int, n: int) -> DataFrame:
                 ],
                 ["id", "n_shingles", "set_key", "bands"],
             )
-        forget_words()
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "text").mapInArrow(
@@ -145,16 +112,15 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``cls, items`` for the classes of ``wanted(cls, rep, set_key)``: the set as sorted bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in small_parts(batches, 2):
+        for part in small_parts(batches, 2, BATCH_BYTES):
             keys, same, sets = part.column(1).to_pylist(), [], []
-            for i, items in enumerate(text_sets(utf8(part.column(2)), size)):
+            for i, items in enumerate(text_sets(part.column(2), size)):
                 if set_key(items) == keys[i]:
                     same.append(i)
                     sets.append(items.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(pa.array(same, pa.int64())), pa.array(sets, pa.binary())], ["cls", "items"]
             )
-        forget_words()
 
     stored = materialize(wanted, "wanted")
     side = F.broadcast(stored) if fits_broadcast(measure(stored)) else stored

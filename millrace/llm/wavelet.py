@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import open_file, put_file, slices, utf8
+from millrace.llm.base import open_file, put_file, slices, small_parts, split_words, with_ends
 from millrace.session import materialize, scratch_path
 
 MAGIC = b"WVMX1\0"
@@ -276,23 +276,22 @@ class WordIds:
         self.used, self.count = end, n + len(ids)
         self.known.update(zip(new, range(n, n + len(ids)), strict=True))
 
-    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids with the end id after each text, and the count of each text."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a string column with the end id after each text, and the count of each text."""
         if len(self.known) > KNOWN_WORDS:
             self.forget()
-        split = [t.split() if t else [] for t in texts]
-        for words in split:
-            words.append(END_WORD)
-        every = list(chain.from_iterable(split))
-        at = np.fromiter(map(self.known.get, every, repeat(-1)), np.int64, len(every))
-        new = np.flatnonzero(at < 0).tolist()
-        self.learn({every[i] for i in new})
-        at[new] = [self.known[every[i]] for i in new]
+        split = split_words(texts, lower=False)
+        words = split.distinct.to_pylist()
+        place = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(place < 0).tolist()
+        self.learn({words[i] for i in new})
+        place[new] = [self.known[words[i]] for i in new]
+        at = with_ends(place[split.at], split.sizes, self.known[END_WORD])
         sizes = self.sizes[at]
         through = np.cumsum(sizes, dtype=np.int32)
         total = int(through[-1]) if len(through) else 0
         ids = self.flat[np.repeat(self.starts[at] - through + sizes, sizes) + np.arange(total, dtype=np.int32)]
-        ends = through[np.cumsum([len(words) for words in split], dtype=np.int64) - 1] if split else through
+        ends = through[np.cumsum(split.sizes + 1) - 1]
         return ids, np.diff(ends, prepend=0).astype(np.int64)
 
 
@@ -337,23 +336,22 @@ def write_shards(
             return pa.RecordBatch.from_arrays([pa.array(x) for x in row], manifest)
 
         manifest = ["part", "seq", "path", "n_docs", "n_tokens", "bytes"]
-        for batch in batches:
-            texts = utf8(batch.column(1))
-            for a, b in slices((len(t or b"") + 1 for t in texts), min(ENCODE_BYTES, 2 * shard_tokens)):
-                ids, lengths = encoder.encode(texts[a:b])
-                held.append(ids)
-                names.append(batch.column(0).slice(a, b - a))
-                counts.append(lengths)
-                size += len(ids)
-                if size >= shard_tokens:
-                    yield close()
-                    held, names, counts, size, seq = [], [], [], 0, seq + 1
+        for part_of in small_parts(batches, 1, min(ENCODE_BYTES, 2 * shard_tokens)):
+            ids, lengths = encoder.encode(part_of.column(1))
+            held.append(ids)
+            names.append(part_of.column(0))
+            counts.append(lengths)
+            size += len(ids)
+            if size >= shard_tokens:
+                yield close()
+                held, names, counts, size, seq = [], [], [], 0, seq + 1
         if size:
             yield close()
 
     rows = (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .repartitionByRange("id")
+        # rows without an id, or with the same one, are dealt by their text and a hash as well
+        .repartitionByRange("id", "text", F.xxhash64("id", "text"))
         .sortWithinPartitions("id", "text")
     )
     shape = "part bigint, seq bigint, path string, n_docs bigint, n_tokens bigint, bytes bigint"

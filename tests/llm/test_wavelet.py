@@ -27,7 +27,7 @@ def plain():
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(PARTS)).map("".join))
 def test_words_encode_as_the_whole_text(plain, text):
-    ids, sizes = wavelet.word_ids(WORDS, 1).encode([text.encode(), None])
+    ids, sizes = wavelet.word_ids(WORDS, 1).encode(pa.array([text, None], pa.string()))
     assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 1, 1]
     assert sizes.tolist() == [len(ids) - 1, 1]
 
@@ -37,7 +37,7 @@ def test_words_encode_as_the_whole_text(plain, text):
     "<|endoftext|> <|ENDOFTEXT|> <|endoftext|>X", "X<|EndOfText|> x<|endoftext|>",
 ])
 def test_added_tokens_keep_their_case(plain, text):
-    ids, _ = wavelet.word_ids(WORDS, 1).encode([text.encode()])
+    ids, _ = wavelet.word_ids(WORDS, 1).encode(pa.array([text], pa.string()))
     assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 1]
 
 
