@@ -18,8 +18,8 @@ FINISH_ROWS = 10_000
 
 
 def unit(id_value: Column, seed: int) -> Column:
-    """A number in (0, 1) that the id and the seed fix: 52 bits of a digest, plus a half."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(id_value.cast("string"), F.lit("?"))))
+    """A number in (0, 1) that a text and the seed fix: 52 bits of a digest, plus a half."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), id_value))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
@@ -138,16 +138,15 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
     key_buckets: int = KEY_BUCKETS,
-    past_misfits: bool = False,
+    past_misfits: bool = True,
     row_col: str | None = None,
 ) -> DataFrame:
     """``doc_id, size, source_size, target, taken, copies`` for every document.
 
     A document's size is its number of words.  A source is first taken whole as often as its
     target holds it; what remains of the target is drawn without replacement: every document has
-    the key -ln(u) / quality, and documents are taken by rising key while they fit whole: up to
-    the first that does not fit, or with ``past_misfits`` every one that fits what is left.  The
-    last gap goes to that one of the other documents whose size is nearest to it, if that is
+    the key -ln(u) / quality, and by rising key every document is taken that fits what is left
+    (without ``past_misfits``: up to the first that does not fit).  The last gap goes to that one of the other documents whose size is nearest to it, if that is
     nearer than leaving the gap.  ``taken`` is ``copies * size``.
 
     Keys fall into ``key_buckets`` ranges.  Sizes are added per source and range within tasks
@@ -155,7 +154,7 @@ def mix_sources(
     range is sorted: a source with a third of all rows is never in one task.
 
     Null text and text without words: size 0, nothing taken.  A null source is a source, the
-    last.  Null ids share one key.  Rows that repeat an id tie; ties go by size, equal rows are
+    last.  A row without an id is drawn by a digest of its text.  Rows that repeat an id tie; ties go by size, equal rows are
     interchangeable.  An empty table gives no rows.  Other columns are ignored.  ``quality`` is
     an expression over the documents (positive; null counts as 1).  ``row_col``, a key of the
     rows, stays in the result.
@@ -168,8 +167,9 @@ def mix_sources(
             F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"),
             (F.lit(None) if quality is None else quality).cast("double").alias("given"),
             F.length(text_col).alias("chars"),
+            F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("?"), F.md5(F.coalesce(text_col, F.lit(""))))).alias("drawn_by"),
         ).select(
-            "carried", "id", "source", "size",
+            "carried", "id", "source", "size", "drawn_by",
             F.coalesce(
                 "given",
                 F.lit(1.0) if quality is not None else F.when(
@@ -178,7 +178,7 @@ def mix_sources(
             ).alias("w"),
         ).select(
             "carried", "id", "source", "size",
-            (-F.log(unit(F.col("id"), seed)) / F.greatest(F.col("w"), F.lit(1e-9))).alias("key"),
+            (-F.log(unit(F.col("drawn_by"), seed)) / F.greatest(F.col("w"), F.lit(1e-9))).alias("key"),
         ),
         "mix",
     )

@@ -56,9 +56,9 @@ FROM judged
 
 
 OP8_SQL = r"""
-WITH sized AS (
+WITH RECURSIVE sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, length(text) AS chars,
-         (('0x' || substr(md5('20:' || coalesce(doc_id::VARCHAR, '?')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u
+         (('0x' || substr(md5('20:' || coalesce(doc_id::VARCHAR, '?' || md5(coalesce(text, '')))), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u
   FROM documents),
 keyed AS (
   SELECT doc_id, source, size,
@@ -81,9 +81,15 @@ targets AS (
 plan AS (SELECT *, least(coalesce(floor(target / nullif(source_size, 0)), 0), 3) AS epochs FROM targets),
 placed AS (
   SELECT k.*, p.source_size, p.target, p.epochs, p.target - p.epochs * p.source_size AS budget,
-         sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id ROWS UNBOUNDED PRECEDING) AS through
+         row_number() OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size) AS step, dense_rank() OVER (ORDER BY k.source NULLS LAST) AS s
   FROM keyed k JOIN plan p ON k.source IS NOT DISTINCT FROM p.source),
-drawn AS (SELECT *, size > 0 AND through <= budget AS drawn FROM placed),
+walk AS (
+  SELECT s, 0::BIGINT AS step, max(budget) AS rest, false AS took FROM placed GROUP BY s
+  UNION ALL
+  SELECT w.s, p.step, w.rest - CASE WHEN p.size > 0 AND p.size <= w.rest THEN p.size ELSE 0 END,
+         p.size > 0 AND p.size <= w.rest
+  FROM walk w JOIN placed p ON p.s = w.s AND p.step = w.step + 1),
+drawn AS (SELECT p.*, w.took AS drawn FROM placed p JOIN walk w ON w.s = p.s AND w.step = p.step),
 gaps AS (
   SELECT *, budget - coalesce(sum(size) FILTER (drawn) OVER (PARTITION BY source), 0) AS gap FROM drawn),
 fillers AS (

@@ -6,16 +6,18 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import held_out
+from millrace.llm.base import held_out, unused
 
-#: Bounds of what is fitted: this many sampled rows of a language, this much of each, this much
-#: in all.  The rest covers every row and every text whole.
+#: Bounds of what is fitted: this many languages, sampled rows of each, this much of a row, this
+#: much in all.  A dictionary is full with fewer than all sampled rows, as rows are seldom short; a
+#: bound for each row keeps one long text from being all of it.  The rest covers every row and
+#: every text whole.
+LANGUAGES = 1000
 SAMPLE_ROWS = 400
 SAMPLE_ROW_BYTES = 1000
 DICTIONARY_BYTES = 96 << 10
@@ -27,7 +29,11 @@ _NO_LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range
 
 
 def normal_form(text: str) -> bytes:
-    """Lower-case words without ASCII digits and signs; a word said again at once counts once."""
+    """Lower-case words without ASCII digits and signs; a word said again at once counts once.
+
+    This is what is packed: what it leaves out says little about the language, and a word repeated a
+    thousand times would pack alike in all.
+    """
     return b" ".join(w for w, _ in groupby(text.lower().encode().translate(_NO_LETTERS).split()))
 
 
@@ -51,35 +57,32 @@ def fit_dictionaries(
 ) -> dict[str, bytes]:
     """A raw-content dictionary for each language, from rows outside the held-out fold.
 
-    The rows of a language with the smallest hashes of their ids are the sample (``rows`` of
-    them).  Choosing them reads ids and languages only: languages are counted, then only hashes
-    under a bound that some four times ``rows`` of a language will meet are ranked.  Rows without
-    an id or a language are not learned from.
+    The rows of a language with the smallest hashes of id and text are the sample: ``rows`` of them,
+    whatever ids they share.  Of each the first ``SAMPLE_ROW_BYTES`` of its normal form are used.
+    Languages are the ``LANGUAGES`` with the most rows, ties in order of name.  So what reaches the
+    driver is bounded in rows, bytes and languages.  Rows without an id, a text or a language are not
+    learned from.
     """
-    keys = docs.select(
-        F.col(id_col).alias("id"), F.col(lang_col).alias("language"), F.xxhash64(id_col).alias("h")
-    ).filter(F.col("id").isNotNull() & F.col("language").isNotNull() & ~held_out(F.col("id"), 4))
-    counts = keys.groupBy("language").agg(F.count("*").alias("n"))
-    bound = F.least(4.0 * rows / F.col("n"), F.lit(1.0)) * float(1 << 64) - float(1 << 63)
-    order = Window.partitionBy("language").orderBy("h", "id")
-    chosen = (
-        keys.join(F.broadcast(counts.select("language", bound.alias("bound"))), "language")  # a row per language
-        .filter(F.col("h").cast("double") <= F.col("bound"))
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= rows)
-        .select("id", "h")
-        .distinct()
+    given = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("language"),
+        F.xxhash64(F.col(id_col).cast("string"), text_col).alias("h"),
+    ).filter(
+        F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("language").isNotNull() & ~held_out(F.col("id"), 4)
     )
-    sample = (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("language"))
-        .filter(F.col("text").isNotNull() & F.col("language").isNotNull())
-        .join(F.broadcast(chosen), "id")  # at most ``rows`` ids a language
-        .select("language", "h", F.substring("text", 1, 2 * SAMPLE_ROW_BYTES).alias("text"))
-        .distinct()
-        .collect()
+    counts = given.groupBy("language").agg(F.count("*").alias("n"))
+    most = counts.orderBy(F.desc("n"), "language").limit(LANGUAGES).collect()
+    # hashes under a bound that some four times ``rows`` of a language will meet are ranked
+    limits = given.sparkSession.createDataFrame(
+        [(r["language"], min(4.0 * rows / r["n"], 1.0) * float(1 << 64) - float(1 << 63)) for r in most],
+        "language string, bound double",
     )
+    few = given.join(F.broadcast(limits), "language").filter(F.col("h").cast("double") <= F.col("bound"))
+    order = Window.partitionBy("language").orderBy("h", "id")
+    start = F.substring("text", 1, 4 * SAMPLE_ROW_BYTES)
+    few = few.select("language", "h", "id", start.alias("text")).distinct()
+    sample = few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows).collect()
     content: dict[str, list[bytes]] = {}
-    for r in sorted(sample, key=lambda r: (r["language"], r["h"], r["text"])):
+    for r in sorted(sample, key=lambda r: (r["language"], r["place"])):
         if has_letter(r["text"]):
             content.setdefault(r["language"], []).append(normal_form(r["text"])[:SAMPLE_ROW_BYTES])
     return {lang: b" ".join(parts)[:DICTIONARY_BYTES] for lang, parts in content.items()}
@@ -124,16 +127,14 @@ def language_of(text: Column, dictionaries: dict[str, bytes]) -> Column:
     """``struct(lang string, margin double)`` for a text column."""
     model = tuple(sorted(dictionaries.items()))
 
-    @F.pandas_udf("lang string, margin double")
-    def identify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang string, margin double")
+    def identify(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         decide = classifier(model)
         for texts in batches:
-            found = [decide(t) for t in texts]
-            yield pd.DataFrame(
-                {
-                    "lang": pd.Series([f[0] for f in found], dtype=object),
-                    "margin": np.array([f[1] for f in found], float),
-                }
+            found = [decide(t.as_py()) for t in texts]
+            yield pa.StructArray.from_arrays(
+                [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                ["lang", "margin"],
             )
 
     return identify(text)
@@ -172,7 +173,8 @@ def keep_identified(
 ) -> DataFrame:
     """The documents, all columns, that ``identify_languages`` does not reject."""
     found = language_of(F.col(text_col), fit_dictionaries(docs, id_col, text_col, lang_col))
-    kept = docs.select(F.struct(*docs.columns).alias("d"), found.alias("f")).filter(
-        (F.col("f.lang") != "und") & (F.col("f.margin") >= least_margin)
+    name = unused(docs.columns, "language_found")
+    kept = docs.withColumn(name, found).filter(
+        (F.col(name).getField("lang") != "und") & (F.col(name).getField("margin") >= least_margin)
     )
-    return kept.select(*[F.col("d").getField(c).alias(c) for c in docs.columns])
+    return kept.drop(name)

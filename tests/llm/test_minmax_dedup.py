@@ -13,14 +13,14 @@ from tests.llm.helpers import SMALL, documents, empty, needs_tables, odd_documen
 COLUMNS = ("doc_id", "n_shingles", "component_id", "kept")
 
 
-def shingles(text):
+def shingles(text, size=4):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     w = re.findall(r"[^\x20\x09-\x0D]+", lower)
-    return {tuple(w[i : i + 4]) for i in range(max(len(w) - 3, 1))} if w else set()
+    return {tuple(w[i : i + size]) for i in range(max(len(w) - size + 1, 1))} if w else set()
 
 
-def brute(docs, percent=80):
-    sets = [shingles(t) for _, t in docs]
+def brute(docs, percent=80, size=4):
+    sets = [shingles(t, size) for _, t in docs]
     found = defaultdict(list)
     for i, s in enumerate(sets):
         for x in s:
@@ -103,3 +103,25 @@ def test_values_agree_as_often_as_sets_do():
 def test_table(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     assert rows(queries.QUERIES["op3_minmax_dedup"](spark, SMALL), *COLUMNS) == brute(docs)
+
+
+def test_large_families_are_not_compared_all_with_all(spark, monkeypatch):
+    """Members share three fifths with one another; a few pairs are linked.  Links are kept, and the
+    pairs that come to a comparison are few."""
+    rng = random.Random(5)
+    shared = [f"s{i}" for i in range(60)]
+    docs = []
+    for i in range(120):
+        own = [f"w{i}x{j}" for j in range(18)]
+        docs.append((2 * i, " ".join(shared + own)))
+        if i % 10 == 0:
+            docs.append((2 * i + 1, " ".join(shared + own[:-2] + [f"z{rng.random()}"])))
+    made = []
+    real = minmax_dedup.prefix_pairs
+    monkeypatch.setattr(minmax_dedup, "prefix_pairs", lambda *a: made.append(real(*a)) or made[-1])
+    counted = []
+    monkeypatch.setattr(minmax_dedup, "release", lambda *frames: counted.extend(
+        f.count() for f in frames if made and f is made[-1]))
+    df = documents(spark, [(i, t, "en", "a") for i, t in docs])
+    assert rows(minmax_dedup.near_duplicates(df, small_bucket=4), *COLUMNS) == sorted(brute(docs), key=repr)
+    assert counted and counted[0] < 400

@@ -4,6 +4,8 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from millrace.llm.zstd_language import identify_languages
 from tests.llm import test_decontam, test_minmax_dedup
@@ -29,7 +31,7 @@ def test_every_stage_against_brute_force(spark, tmp_path):
 
     one = stored(spark, stages["near_dedup"](spark, kept, SMALL), tmp_path, "2")
     pairs = [(r.doc_id, r.text) for r in kept.collect()]
-    assert {r.doc_id for r in one.collect()} == {r[0] for r in test_minmax_dedup.brute(pairs) if r[3]}
+    assert {r.doc_id for r in one.collect()} == {r[0] for r in test_minmax_dedup.brute(pairs, size=corpus_pipeline.SHINGLE_WORDS) if r[3]}
 
     clean = stored(spark, stages["decontamination"](spark, one, SMALL), tmp_path, "3")
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
@@ -71,6 +73,17 @@ def test_odd_rows_and_clashing_columns(spark, tmp_path):
 
 
 
+def test_map_columns_and_dotted_names(spark, tmp_path):
+    benchmark = spark.createDataFrame([(1, "no such words")], "item_id bigint, text string")
+    benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = odd_documents(spark).withColumns({"x.y": F.lit("dot"), "m": F.create_map(F.lit("k"), F.lit(1))})
+    docs = docs.withColumn("the `tick", F.lit(1))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stored(spark, stage(spark, docs, str(tmp_path)), tmp_path, name)
+        assert got.columns == docs.columns and got.count() > 0
+    assert dict(corpus_pipeline.STAGES)["tokens"](spark, docs, str(tmp_path)).count() == docs.count()
+
+
 def test_rows_with_null_or_repeated_ids_are_decided_each(spark, tmp_path):
     leak = "quick brown fox jumps over the lazy dog again and"
     benchmark = spark.createDataFrame([(1, leak)], "item_id bigint, text string")
