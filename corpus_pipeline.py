@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.base import WORD, table, tokenizer_file, unused
@@ -21,6 +21,9 @@ from millrace.llm.wavelet import token_digest
 from millrace.llm.zstd_language import keep_identified
 from millrace.session import materialize, ship_package
 
+#: Near copies share four fifths of their runs of five words.
+SHINGLE_WORDS = 5
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: The language models and the id rule have no form in SQL.
@@ -28,7 +31,11 @@ ORACLE_SQL = None
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told clearly."""
+    """Documents whose language is told clearly.
+
+    Rows without text, or without a letter, have no language and go; long texts are packed whole, in
+    pieces.  Rows that repeat, or share an id, are judged each; an empty table stays empty.
+    """
     return keep_identified(docs)
 
 
@@ -38,6 +45,15 @@ def with_row_key(docs: DataFrame, stage: str) -> tuple[DataFrame, str]:
     return materialize(docs.withColumn(key, F.monotonically_increasing_id()), stage), key
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of whole rows, whatever types their columns have (maps, variants and names with dots too)."""
+    return F.xxhash64(F.to_json(F.struct(*[F.col(quoted(c)) for c in docs.columns])))
+
+
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: the one with the smallest id, rows without an id last.
 
@@ -47,10 +63,10 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     stored, key = with_row_key(docs, "near-rows")
     name, dropped_key = unused(stored.columns, "near_id"), unused(stored.columns, "dropped_key")
     order = F.struct(
-        F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64(*docs.columns).alias("hash"),
+        F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), row_hash(docs).alias("hash"),
         F.col(key).alias("row"),
     )
-    found = near_duplicates(stored.withColumn(name, order), id_col=name)
+    found = near_duplicates(stored.withColumn(name, order), shingle_words=SHINGLE_WORDS, id_col=name)
     dropped = found.filter(~F.col("kept")).select(F.col(f"{name}.row").alias(dropped_key))
     blank = stored.filter(
         F.col("doc_id").isNotNull() & (F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)) == 0)
@@ -61,38 +77,45 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     same = (F.col("doc_id") == F.col("_id")) & F.col("text").eqNullSafe(F.col("_text"))
     again = blank.join(first, same).filter(F.col(dropped_key) != F.col("_first")).select(dropped_key)
     dropped = materialize(dropped.unionByName(again), "near")
-    return stored.join(dropped, F.col(key) == F.col(dropped_key), "left_anti").select(*docs.columns)
+    return stored.join(dropped, F.col(key) == F.col(dropped_key), "left_anti").select(*map(quoted, docs.columns))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
+    """Documents without any window of a benchmark item.
+
+    A null or empty text holds no window and stays; long texts are looked through whole.  Rows that
+    repeat, or share an id, are judged each; an empty table, or no benchmark items, removes nothing.
+    """
     stored, key = with_row_key(docs, "hit-rows")
     name = unused(stored.columns, "hit_key")
     found = find_items(stored, table(spark, sf_dir, "benchmark"), id_col=key)
     hit = materialize(found.filter("contaminated").select(F.col(key).alias(name)), "hits")
-    return stored.join(hit, F.col(key) == F.col(name), "left_anti").select(*docs.columns)
+    return stored.join(hit, F.col(key) == F.col(name), "left_anti").select(*map(quoted, docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: whole epochs, and once more if drawn.
 
-    The draw goes on past documents that do not fit; ``op8_mix_sources`` is held to its SQL and
-    ends there.  A row without an id is drawn by its text.
+    The draw goes on past documents that do not fit.  A row without an id is drawn by its text.
+    Rows without words are not taken; an empty table stays empty.
     """
     stored, key = with_row_key(docs, "mix-rows")
-    drawn_by, name, times = (unused(stored.columns, x) for x in ("mix_id", "mix_key", "mix_copies"))
-    by = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("?"), F.md5("text")))
-    mix = mix_sources(stored.withColumn(drawn_by, by), id_col=drawn_by, row_col=key, past_misfits=True)
+    name, times = (unused(stored.columns, x) for x in ("mix_key", "mix_copies"))
+    mix = mix_sources(stored, row_col=key)
     copies = materialize(
         mix.filter(F.col("copies") > 0).select(F.col(key).alias(name), F.col("copies").cast("int").alias(times)),
         "mix-copies",
     )
     taken = stored.join(copies, F.col(key) == F.col(name))
-    return taken.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+    return taken.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*map(quoted, docs.columns))
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token shards of the mix, and where in them each document lies."""
+    """Token shards of the mix, and where in them each document lies.
+
+    A null or empty text has its end token only; rows without an id come first, rows that share one
+    follow one another by text, repeated rows are written each.  Without rows there are no shards.
+    """
     return token_digest(docs, tokenizer_file("word_bpe_49k.json"))
 
 
