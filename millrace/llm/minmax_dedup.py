@@ -27,6 +27,8 @@ PERMUTATIONS = 48
 BAND_ROWS = 4
 #: Buckets of at most this many texts are compared whole at once; larger ones through a hub first.
 SMALL_BUCKET = 16
+#: First shingles of a set that travel with each of its rows in a join.
+CARRIED = 256
 #: Text that a task turns into words at once; they take some twenty times its room.
 BATCH_BYTES = 1 << 20
 STEP = 1024
@@ -263,8 +265,10 @@ def prefix_pairs(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFra
 
     Shingles are ordered by how many of these classes hold them, rare ones first.  Sets ``A`` and ``B``
     with ``100 |A and B| >= percent |A or B|`` share at least one of their first
-    ``n - ceil(percent n / 100) + 1`` shingles, so only those are joined.  Sizes, and how much both sets
-    can have in common given the places of what they share, rule out further pairs.
+    ``n - ceil(percent n / 100) + 1`` shingles, so only those are joined.  Of two sets' first shingles
+    (at most ``CARRIED`` of them travel along) ``m`` agree.  The set whose last one comes earlier in the
+    order has no other match for them, so both have at most ``m`` and the rest of that set in common;
+    what is too little for a link does not leave the join, nor does a pair leave it twice.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,24 +287,31 @@ def prefix_pairs(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFra
     place = F.row_number().over(Window.partitionBy("cls").orderBy("held", "item")) - 1
     first = F.col("n") - F.ceil(F.col("n") * F.lit(percent / 100) - F.lit(1e-9)) + 1
     placed = every.join(counts, "item").withColumn("place", place).join(unsettled, "cls")
-    prefixes = materialize(placed.filter((F.col("place") < first) & (F.col("held") > 1)).drop("held"), "prefixes")
-    side = lambda s: prefixes.select(
-        "item", F.col("cls").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "comp", "pivot", "similarity", "place")]
+    ranked = F.struct("held", "item")
+    heads = placed.filter(F.col("place") < F.least(first, F.lit(CARRIED))).groupBy("cls").agg(
+        F.collect_list(F.when(F.col("held") > 1, F.col("item"))).alias("head"),  # at most CARRIED
+        F.max(ranked).alias("last"), F.count("*").alias("p"),
+    )
+    prefixes = materialize(
+        placed.filter((F.col("place") < first) & (F.col("held") > 1)).drop("held", "place").join(heads, "cls"), "prefixes"
     )
-    both = F.least("place_a", "place_b") + 1 + F.least(
-        F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1
+    side = lambda s: prefixes.select(
+        F.col("item").alias(f"item_{s}"), F.col("cls").alias(s),
+        *[F.col(c).alias(f"{c}_{s}") for c in ("n", "comp", "pivot", "similarity", "head", "last", "p")],
     )
+    same = F.array_intersect("head_a", "head_b")
+    rest = F.when(F.col("last_a") <= F.col("last_b"), F.col("n_a") - F.col("p_a")).otherwise(F.col("n_b") - F.col("p_b"))
+    both = F.size(same) + rest
     slack = 1 - percent / 100 + 1e-9
     near = (
         (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b"))
         & (F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
-        & (F.lit(100) * both >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - both))
         & (F.coalesce(F.col("pivot_a") != F.col("pivot_b"), F.lit(True))
            | (F.abs(F.col("similarity_a") - F.col("similarity_b")) <= slack))
+        & ((F.size(same) == 0) | (F.array_min(same) == F.col("item_a")))
+        & (F.lit(100) * both >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - both))
     )
-    pairs = side("a").withColumnRenamed("item", "item_a").join(
-        side("b").withColumnRenamed("item", "item_b"), (F.col("item_a") == F.col("item_b")) & near
-    )
+    pairs = side("a").join(side("b"), (F.col("item_a") == F.col("item_b")) & near)
     found = materialize(pairs.select("a", "b").distinct(), "prefix-pairs")
     release(every, prefixes)
     return found

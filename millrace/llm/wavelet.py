@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,6 +32,11 @@ BLOCK_BYTES = 1 << 16
 SHARD_TOKENS = 4 << 20
 ENCODE_BYTES = 4 << 20
 KNOWN_WORDS = 1_300_000
+LINE_WORDS = 256
+#: Signs that words end in; an apostrophe may belong to letters.
+SIGNS = b"!#$%&()*+,-./:;=?@[]^_{|}~"
+CUT_PROBE_PARTS = ["word", "." + SIGNS.decode(), " ", "\u00e9t\u00e9", ",,,", " ", "x", "!?"]
+CUT_PROBE = "".join(CUT_PROBE_PARTS)
 END_WORD = b""  # no word is empty
 READ_TASKS = 20_000
 
@@ -232,8 +238,16 @@ class WordIds:
         self.model.no_padding()
         self.model.no_truncation()
         self.lowers = "Lowercase" in str(self.model.normalizer)
+        self.added_have_signs = not any(t.content.isalpha() for t in self.model.get_added_tokens_decoder().values())
         self.added = [t.content.encode().lower() for t in self.model.get_added_tokens_decoder().values()]
         self.end = end
+        suffix = getattr(self.model.model, "end_of_word_suffix", None)
+        #: by id, whether a token ends a word; None if the tokenizer does not mark it
+        self.closes = None
+        cut = lambda t: self.model.encode(t, add_special_tokens=False).ids
+        if suffix and cut(CUT_PROBE) == [i for part in CUT_PROBE_PARTS for i in cut(part)]:
+            names = (self.model.id_to_token(i) or "" for i in range(self.model.get_vocab_size()))
+            self.closes = np.fromiter((n.endswith(suffix) for n in names), bool, self.model.get_vocab_size())
         self.forget()
 
     def forget(self) -> None:
@@ -241,7 +255,7 @@ class WordIds:
         self.count = 0
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts, self.sizes = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
-        self.remember([END_WORD], [[self.end]])
+        self.remember([END_WORD], np.array([1]), np.array([self.end], np.uint32))
 
     def form(self, word: bytes) -> bytes:
         """What is encoded for a word: words that differ in ASCII capitals only share a form, as a
@@ -250,31 +264,82 @@ class WordIds:
         if not (self.lowers and word.isascii()):
             return word
         lower = word.lower()
+        if self.added_have_signs and lower.isalpha():
+            return lower
         return word if any(t in lower for t in self.added) else lower
 
+    def one_run(self, word: bytes) -> bool:
+        """Whether a word is letters only, and stays so when the tokenizer has normalised it."""
+        if word.isascii():
+            return word.isalpha()
+        text = word.decode()
+        return text.isalpha() and text.lower().isalpha() and unicodedata.is_normalized("NFC", text)
+
     def learn(self, words: set[bytes]) -> None:
+        """Encode new words, each form once.
+
+        Letters are encoded many words to a line: one by one, the library spends more on each call than
+        on the word; a token that ends a word tells where the next begins.  Letters that signs follow are
+        put together from both parts, as no token holds letters and signs.  Both hold for a
+        tokenizer that marks ends of words and cuts between letters and signs; it is tried out on
+        every line and on ``CUT_PROBE`` once, else words are encoded one by one.
+        """
         form = {w: self.form(w) for w in words}
-        new = list(set(form.values()).difference(self.known))
-        for a, b in slices(map(len, new), ENCODE_BYTES):
-            found = self.model.encode_batch_fast([w.decode() for w in new[a:b]], add_special_tokens=False)
-            self.remember(new[a:b], [x.ids for x in found])
+        alone, letters, parts = [], [], {}
+        for w in set(form.values()).difference(self.known):
+            if self.closes is None:
+                alone.append(w)
+            elif self.one_run(w):
+                letters.append(w)
+            else:
+                head = w.rstrip(SIGNS)
+                if 0 < len(head) < len(w) and self.one_run(head):
+                    parts[w] = (self.form(head), w[len(head) :])
+                else:
+                    alone.append(w)
+        heads = {h for h, _ in parts.values()}
+        letters += heads.difference(letters, self.known)
+        alone += {t for _, t in parts.values()}.difference(alone, self.known)
+        lines = [letters[i : i + LINE_WORDS] for i in range(0, len(letters), LINE_WORDS)]
+        for i in range(0, len(lines), LINE_WORDS):
+            some = lines[i : i + LINE_WORDS]
+            found = self.model.encode_batch_fast([b" ".join(x).decode() for x in some], add_special_tokens=False)
+            for line, encoded in zip(some, found, strict=True):
+                ids = np.array(encoded.ids, np.uint32)
+                ends = np.flatnonzero(self.closes[ids]) + 1
+                if len(ends) == len(line) and ends[-1] == len(ids):
+                    self.remember(line, np.diff(ends, prepend=0), ids)
+                else:
+                    alone += line
+        for a, b in slices(map(len, alone), ENCODE_BYTES):
+            found = [x.ids for x in self.model.encode_batch_fast([w.decode() for w in alone[a:b]], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self.remember(alone[a:b], sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
+        if parts:
+            both = np.array([(self.known[h], self.known[t]) for h, t in parts.values()]).ravel()
+            self.remember(list(parts), self.sizes[both].reshape(-1, 2).sum(1), self.gathered(both)[0])
         self.known.update((w, self.known[f]) for w, f in form.items() if w != f)
 
-    def remember(self, new: list[bytes], ids: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+    def remember(self, new: list[bytes], sizes: np.ndarray, flat: np.ndarray) -> None:
         n, end = self.count, self.used + len(flat)
         if end > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(end, np.uint32)])
-        if n + len(ids) > len(self.starts):
-            more = n + len(ids)
+        if n + len(new) > len(self.starts):
+            more = n + len(new)
             self.starts = np.concatenate([self.starts, np.zeros(more, np.int32)])
             self.sizes = np.concatenate([self.sizes, np.zeros(more, np.int32)])
         self.flat[self.used : end] = flat
-        self.sizes[n : n + len(ids)] = sizes
-        self.starts[n : n + len(ids)] = self.used + np.cumsum(sizes) - sizes
-        self.used, self.count = end, n + len(ids)
-        self.known.update(zip(new, range(n, n + len(ids)), strict=True))
+        self.sizes[n : n + len(new)] = sizes
+        self.starts[n : n + len(new)] = self.used + np.cumsum(sizes) - sizes
+        self.used, self.count = end, n + len(new)
+        self.known.update(zip(new, range(n, n + len(new)), strict=True))
+
+    def gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of remembered words in a row, and where each word's end."""
+        sizes = self.sizes[at]
+        through = np.cumsum(sizes, dtype=np.int32)
+        total = int(through[-1]) if len(through) else 0
+        return self.flat[np.repeat(self.starts[at] - through + sizes, sizes) + np.arange(total, dtype=np.int32)], through
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a string column with the end id after each text, and the count of each text."""
@@ -287,10 +352,7 @@ class WordIds:
         self.learn({words[i] for i in new})
         place[new] = [self.known[words[i]] for i in new]
         at = with_ends(place[split.at], split.sizes, self.known[END_WORD])
-        sizes = self.sizes[at]
-        through = np.cumsum(sizes, dtype=np.int32)
-        total = int(through[-1]) if len(through) else 0
-        ids = self.flat[np.repeat(self.starts[at] - through + sizes, sizes) + np.arange(total, dtype=np.int32)]
+        ids, through = self.gathered(at)
         ends = through[np.cumsum(split.sizes + 1) - 1]
         return ids, np.diff(ends, prepend=0).astype(np.int64)
 
@@ -320,7 +382,7 @@ def write_shards(
     under fixed names, so a task that runs again replaces them by the same.
 
     A null text is empty and has only the end id.  Null ids come first; rows that share an id
-    follow one another in the order of their text.  An empty table writes no shard.
+    follow one another in the order of a hash of their text.  An empty table writes no shard.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,9 +412,11 @@ def write_shards(
 
     rows = (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        # rows without an id, or with the same one, are dealt by their text and a hash as well
-        .repartitionByRange("id", "text", F.xxhash64("id", "text"))
-        .sortWithinPartitions("id", "text")
+        # rows without an id, or with the same one, are dealt by a hash of their text as well
+        .withColumn("h", F.xxhash64("text"))
+        .repartitionByRange("id", "h")
+        .sortWithinPartitions("id", "h", "text")
+        .drop("h")
     )
     shape = "part bigint, seq bigint, path string, n_docs bigint, n_tokens bigint, bytes bigint"
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)

@@ -14,7 +14,7 @@ from tests.llm.helpers import SMALL, documents, empty, needs_tables, odd_documen
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
-PARTS = [*"aB1 .'\n\t_-\x0b\x1c", "\u0085", " ", " ", "é", "é", "́", "Σ", "<|endoftext|>", "  ", "'s"]
+PARTS = ["İx", "Straße", "ǅ", "ﬁ", "ῼ", *"aB1 .'\n\t_-\x0b\x1c", "\u0085", " ", " ", "é", "é", "́", "Σ", "<|endoftext|>", "  ", "'s"]
 
 
 @pytest.fixture(scope="module")
