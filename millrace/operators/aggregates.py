@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.bounds import derived_predicate
 from millrace.operators.joins import Size, keyed_join
 
 
@@ -22,10 +23,13 @@ def critical_query(
 ) -> DataFrame:
     """Rows and totals for one key value between two dates, both included.
 
-    Both predicates reach the file scan, and only the named columns are read.
+    Both predicates reach the file scan, and only the named columns are read.  If the frame declares
+    partitions made from the date (see ``bounds``), only those between the two dates are opened.
     """
     day = F.col(date).cast("date")
     chosen = df.filter((F.col(key) == value) & day.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    derived = derived_predicate(df.schema, date, start, end)
+    chosen = chosen if derived is None else chosen.filter(derived)
     return chosen.groupBy(key).agg(
         F.count("*").alias(count_as), *[F.sum(c).alias(name) for name, c in sums.items()]
     )

@@ -14,6 +14,7 @@ from millrace.operators.aggregates import (
     critical_query_sql,
     describe_population,
 )
+from millrace.operators.bounds import part_of, with_parts
 from millrace.operators.joins import top_per_outer_row
 from millrace.operators.keys import dense_ids
 from millrace.operators.quality import reconcile
@@ -21,9 +22,12 @@ from millrace.plans.documents import build_documents, find, flatten, totals_by_p
 from millrace.plans.reimbursements import published_view
 from millrace.queries.base import query, table
 from millrace.queries.frames import flat, flat_sql
+from millrace.schemas import INT
 from millrace.session import scratch_path
+from millrace.sources.readers import read_layout
 from millrace.sources.writers import write_layout
 
+LINE_PARTS = [part_of("Anio", INT, "l_shipdate", "year"), part_of("Mes", INT, "l_shipdate", "month")]
 _LINE_SUMS = {"TotalAtendidos": "l_linenumber", "TotalAtenciones": "cast(l_quantity AS BIGINT)"}
 _LINE_RANGE = ("l_returnflag", "R", "l_shipdate", "1996-01-01", "1996-01-31")
 _LINE_SQL = """
@@ -289,14 +293,16 @@ def like_case_div(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("layout_pruned", _LINE_SQL)
 def layout_pruned(spark: SparkSession, sf: str) -> DataFrame:
-    """Write line items by year and month, sorted by flag and date, then ask of the layout."""
+    """Write line items by year and month, sorted by flag and date, then ask of the layout.
+
+    The layout declares that year and month are parts of the date, so the bounds of the query open
+    one directory.
+    """
     lines = table(spark, sf, "lineitem").select("l_returnflag", "l_shipdate", "l_linenumber", "l_quantity")
-    parts = lines.withColumns({"Anio": F.year("l_shipdate"), "Mes": F.month("l_shipdate")})
+    parts = with_parts(lines, LINE_PARTS)
     path = scratch_path(spark, "layout")
     write_layout(parts, path, ["Anio", "Mes"], ["l_returnflag", "l_shipdate"])
-    stored = spark.read.schema(parts.schema).parquet(path)
-    january = stored.filter((F.col("Anio") == 1996) & (F.col("Mes") == 1))
-    return critical_query(january, *_LINE_RANGE, _line_sums())
+    return critical_query(read_layout(spark, path, parts.schema), *_LINE_RANGE, _line_sums())
 
 
 @query(

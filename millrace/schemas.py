@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from millrace.operators.bounds import part_of
 
 INT, LONG, TEXT = T.IntegerType(), T.LongType(), T.StringType()
 DAY, MOMENT, MONEY = T.DateType(), T.TimestampType(), T.DecimalType(12, 2)
@@ -17,6 +18,14 @@ def record(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+def by_month(schema: T.StructType, date: str) -> T.StructType:
+    """``schema`` with its columns ``Anio`` and ``Mes`` declared as parts of ``date``."""
+    parts = {"Anio": "year", "Mes": "month"}
+    return T.StructType(
+        [part_of(f.name, f.dataType, date, parts[f.name]) if f.name in parts else f for f in schema.fields]
+    )
+
+
 # Flat attentions record, in file order.  Grain: day x facility x service x sex x age x
 # ethnicity x insurance.
 ATTENTIONS = record(
@@ -43,17 +52,17 @@ REIMBURSEMENTS = record(
     NumeroDeAsegurados=TEXT, SolicitudesDeReembolso=TEXT, MontoPagado=TEXT,
 )
 
-ATTENTION_FACT = record(
+ATTENTION_FACT = by_month(record(
     AtencionId=LONG, Fecha=DAY, CodigoUnico=INT, UpsId=INT, EtniaId=INT, TipoSeguroId=INT,
     Sexo=TEXT, EdadReg=INT, TipoEdad=TEXT, Atendidos=INT, Atenciones=INT, FechaCorte=DAY,
     Anio=INT, Mes=INT,
-)
+), "Fecha")
 
-REIMBURSEMENT_FACT = record(
+REIMBURSEMENT_FACT = by_month(record(
     ReembolsoId=LONG, Periodo=DAY, SedeId=INT, TipoAtencionId=INT, MedioSolicitudId=INT,
     TipoSolicitanteId=INT, CondicionAseguradoId=INT, ParentescoId=INT, SituacionAseguradoId=INT,
     NumeroAsegurados=INT, SolicitudesReembolso=INT, MontoPagado=MONEY, Anio=INT, Mes=INT,
-)
+), "Periodo")
 
 FACILITY = record(
     CodigoUnico=INT, Nombre=TEXT, CategoriaId=INT, MicroredId=INT, DistritoId=INT,

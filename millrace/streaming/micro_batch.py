@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace import schemas
 from millrace.plans import attentions
 from millrace.session import materialize
+from millrace.sources.readers import delimited_options
 from millrace.sources.warehouse import Warehouse, identities
 
 
@@ -35,7 +36,7 @@ def ingest_files(
     """
     files = (
         spark.readStream.schema(schema)
-        .options(sep=sep, header=True, encoding="UTF-8", maxFilesPerTrigger=files_per_batch)
+        .options(**delimited_options(sep), maxFilesPerTrigger=files_per_batch)
         .csv(directory)
     )
     return (
