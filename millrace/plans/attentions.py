@@ -15,6 +15,7 @@ from millrace.operators.joins import not_yet_in
 from millrace.operators.keys import first_per_key
 from millrace.operators.quality import (
     SEXES,
+    QualityError,
     attention_rules,
     broken_rules,
     castable,
@@ -36,7 +37,7 @@ from millrace.plans.lookups import Lookup, load_lookups, resolve
 from millrace.plans.run_log import PARTIAL, LoadResult, Run, log_run, logged_run
 from millrace.session import in_parallel, materialize
 from millrace.sources.readers import literal_rows
-from millrace.sources.warehouse import Warehouse, identities
+from millrace.sources.warehouse import Warehouse, identities, in_partitions
 from millrace.sources.writers import with_backfilled_column
 
 RED = Lookup("Red", "RedId", "RED")
@@ -61,6 +62,7 @@ FACILITY_SOURCE = [
     "PROVINCIA",
     "DISTRITO",
 ]
+REGION_TABLE, REGION_SCHEMA = "Region", schemas.record(RegionId=schemas.INT, Nombre=schemas.TEXT)
 FACILITY_TABLE, FACT_TABLE, REJECT_TABLE = "Establecimiento", "Atencion", "LogErroresValidacion"
 AUDIT_TABLE = "LogAuditoriaAtencion"
 CLOSED_TABLE, STAGING_TABLE, AGE_UNIT_TABLE = "PeriodoCerrado", "stg_Atenciones", "TipoEdad"
@@ -126,13 +128,15 @@ def load_dimensions(
     warehouse: Warehouse,
     staged: DataFrame,
     on_conflict: str = "fail_block",
+    region: str | None = None,
 ) -> LoadResult:
     """Load eight lookups and the facilities from staging; return the number of new facilities.
 
     Staging is scanned twice, once per group of columns, and only distinct combinations go
     further.  Lookups and facilities become visible together.  A conflict among facilities
     (any error there) undoes that block alone and is logged as a partial error; an error among
-    the lookups undoes all.
+    the lookups undoes all.  Once provinces have a region, ``region`` names that of new ones; without
+    it a new province stops the load.
     """
     with logged_run(warehouse, LOAD_LOOKUPS) as run:
         places, services = in_parallel(
@@ -149,13 +153,19 @@ def load_dimensions(
             ]
         )
         fresh |= more
+        if region is not None and warehouse.added_columns(PROVINCIA.table):
+            of = F.lit(region_id(warehouse, region)).cast("int").alias("RegionId")
+            fresh[PROVINCIA.table] = fresh[PROVINCIA.table].select("*", of)
         partial = None
+        seen = warehouse.version
         try:
             known = warehouse.table(FACILITY_TABLE, schemas.FACILITY)
             facilities = materialize(new_facilities(places, whole, known, on_conflict), "facilities")
             counts = warehouse.publish(append={**fresh, FACILITY_TABLE: facilities})
             run.inserted = counts[FACILITY_TABLE]
         except Exception as conflict:
+            if warehouse.version != seen:  # the publication took effect before the error
+                raise
             partial = str(conflict)
             warehouse.publish(append=fresh)
             block = Run(f"{LOAD_LOOKUPS}:{FACILITY_TABLE}", run.started)
@@ -167,10 +177,35 @@ def extend_with_region(provinces: DataFrame, regions: DataFrame, region: str) ->
     """Give every province the id of one named region; none may stay without."""
     named = regions.filter(F.col("Nombre") == region)
     extended = with_backfilled_column(provinces, "RegionId", named, "RegionId")
-    require(extended, "Provincia", not_null(["RegionId"]))
+    require(extended, PROVINCIA.table, not_null(["RegionId"]))
     return extended
 
 
+def region_id(warehouse: Warehouse, region: str) -> int:
+    """The id of a region by its name, which is unique."""
+    rows = warehouse.table(REGION_TABLE, REGION_SCHEMA).filter(F.col("Nombre") == region).limit(2).collect()
+    if len(rows) != 1:
+        raise QualityError(f"{REGION_TABLE}: {len(rows) or 'no'} rows named {region}")
+    return rows[0]["RegionId"]
+
+
+def add_region_to_provinces(warehouse: Warehouse, region: str) -> int:
+    """Extend the provinces by ``RegionId``: those loaded so far belong to the named region, and no
+    later one may be without.  The region is loaded if it is not there.  No province is rewritten."""
+    known = warehouse.table(REGION_TABLE, REGION_SCHEMA)
+    if known.filter(F.col("Nombre") == region).isEmpty():
+        top = known.agg(F.max("RegionId")).first()[0] or 0
+        warehouse.publish(append={REGION_TABLE: literal_rows(warehouse.spark, [(top + 1, region)], REGION_SCHEMA)})
+    found = region_id(warehouse, region)
+    warehouse.add_column(PROVINCIA.table, "RegionId", schemas.INT, found)
+    return found
+
+
+def provinces(warehouse: Warehouse) -> DataFrame:
+    """The provinces with all columns they have by now."""
+    return warehouse.table(PROVINCIA.table, warehouse.schema(PROVINCIA.table, PROVINCIA.schema))
+
+
 def validate(staged: DataFrame, facilities: DataFrame, as_array: bool = False) -> DataFrame:
     """One reject row per broken rule; or each row's broken rules as an array ``v``."""
     keys = facilities.select(F.col("CodigoUnico").alias("CODIGO_UNICO"))
@@ -215,13 +250,7 @@ def same_periods(existing: DataFrame, batch: DataFrame) -> DataFrame:
     months = batch.select("Anio", "Mes").distinct().limit(MAX_PERIODS + 1).collect()
     if not months or len(months) > MAX_PERIODS:
         return existing
-    by_year: dict[int, list[int]] = {}
-    for r in months:
-        by_year.setdefault(r["Anio"], []).append(r["Mes"])
-    touched: Column = F.lit(False)
-    for year, in_year in by_year.items():
-        touched = touched | ((F.col("Anio") == year) & F.col("Mes").isin(in_year))
-    return existing.filter(touched)
+    return existing.filter(in_partitions([{"Anio": r["Anio"], "Mes": r["Mes"]} for r in months]))
 
 
 def new_attentions(batch: DataFrame, existing: DataFrame, dedupe_batch: bool = False) -> DataFrame:

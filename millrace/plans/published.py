@@ -27,7 +27,6 @@ _AUDITOR = {
     attentions.CLOSED_TABLE: schemas.CLOSED_PERIODS,
     attentions.FACT_TABLE: schemas.ATTENTION_FACT,
     reimbursements.FACT_TABLE: schemas.REIMBURSEMENT_FACT,
-    reimbursements.AUDIT_TABLE: schemas.REIMBURSEMENT_AUDIT,
 }
 
 

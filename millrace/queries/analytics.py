@@ -25,7 +25,7 @@ from millrace.queries.frames import flat, flat_sql
 from millrace.schemas import INT
 from millrace.session import scratch_path
 from millrace.sources.readers import read_layout
-from millrace.sources.writers import write_layout
+from millrace.sources.writers import write_bucketed, write_layout
 
 LINE_PARTS = [part_of("Anio", INT, "l_shipdate", "year"), part_of("Mes", INT, "l_shipdate", "month")]
 _LINE_SUMS = {"TotalAtendidos": "l_linenumber", "TotalAtenciones": "cast(l_quantity AS BIGINT)"}
@@ -305,6 +305,36 @@ def layout_pruned(spark: SparkSession, sf: str) -> DataFrame:
     return critical_query(read_layout(spark, path, parts.schema), *_LINE_RANGE, _line_sums())
 
 
+@query(
+    "bucketed_join",
+    """
+SELECT o_orderkey, o_orderpriority, count(*) AS n_lines, CAST(sum(l_quantity) AS DOUBLE) AS quantity,
+       max(l_shipdate)::DATE AS last_shipped
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderpriority
+""",
+)
+def bucketed_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and their lines, bucketed and sorted by order: joined and grouped where they lie."""
+    return joined_in_place(
+        table(spark, sf, "orders").select("o_orderkey", "o_orderpriority"),
+        table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_shipdate"),
+    )
+
+
+def joined_in_place(orders: DataFrame, lines: DataFrame, buckets: int = 16) -> DataFrame:
+    spark = orders.sparkSession
+    tables = []
+    for kind, df, key in (("orders", orders, "o_orderkey"), ("lines", lines, "l_orderkey")):
+        path = scratch_path(spark, kind)
+        tables.append(write_bucketed(df, f"millrace_{kind}_{path[-32:]}", path, [key], buckets))
+    left, right = tables
+    both = left.join(right.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return both.groupBy("o_orderkey", "o_orderpriority").agg(
+        F.count("*").alias("n_lines"), F.sum("l_quantity").cast("double").alias("quantity"),
+        F.max("l_shipdate").cast("date").alias("last_shipped"),
+    )
+
+
 @query(
     "recon_counts",
     """

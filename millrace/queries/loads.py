@@ -23,6 +23,7 @@ from millrace.operators.quality import (
 )
 from millrace.plans import attentions as att
 from millrace.plans import reimbursements as reimb
+from millrace.plans.changes import attention_model, change_facts
 from millrace.plans.lookups import Lookup, load_lookups, new_members
 from millrace.plans.run_log import RUN_TABLE, latest
 from millrace.queries.base import query, table
@@ -475,7 +476,7 @@ def unreadable_numbers(spark: SparkSession, sf: str) -> DataFrame:
 def _flat_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Flat records of the orders whose rules hold, one facility per customer, no equal grains."""
     joined = (
-        table(spark, sf, "orders").filter("o_orderstatus = 'F'")
+        table(spark, sf, "orders")
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
@@ -504,7 +505,7 @@ def _loaded(spark: SparkSession, sf: str) -> tuple[Warehouse, DataFrame]:
     """
 SELECT 'I' AS "Operacion", CAST(o_custkey AS INT) AS "CodigoUnico", CAST(o_orderdate AS DATE) AS "Fecha",
   CAST(NULL AS INT) AS "Atenciones_Anterior", CAST(floor(o_totalprice / 1000) + 1 AS INT) AS "Atenciones_Nuevo"
-FROM orders WHERE o_orderstatus = 'F'
+FROM orders
 """,
 )
 def load_audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -517,8 +518,7 @@ def load_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "closed_period_rerun",
-    """SELECT count(*) AS facts, CAST(0 AS BIGINT) AS second_run, true AS open_rows_stop FROM orders
-WHERE o_orderstatus = 'F'""",
+    """SELECT count(*) AS facts, CAST(0 AS BIGINT) AS second_run, true AS open_rows_stop FROM orders""",
 )
 def closed_period_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """After every month is closed, a loaded batch runs again; a new row stops its batch."""
@@ -540,16 +540,97 @@ def closed_period_rerun(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "log_latest",
     """
-SELECT * FROM (VALUES (1, 'sp_CargarDimensiones', 'OK', true), (2, 'sp_CargarAtenciones', 'OK', true)) AS
-  t("LogId", "Proceso", "Estado", whole)
+SELECT 1 AS "LogId", 'sp_CargarDimensiones' AS "Proceso", 'OK' AS "Estado",
+       count(DISTINCT o_custkey) AS "FilasInsertadas" FROM orders
+UNION ALL SELECT 2, 'sp_CargarAtenciones', 'OK', count(*) FROM orders
 """,
 )
 def log_latest(spark: SparkSession, sf: str) -> DataFrame:
-    """The newest runs by id, and whether the last inserted every order."""
-    warehouse, rows = _loaded(spark, sf)
+    """The newest runs by id, and how many facilities and facts each inserted."""
+    warehouse, _ = _loaded(spark, sf)
     log = latest(warehouse.table(RUN_TABLE, schemas.RUN_LOG))
-    whole = (F.col("Proceso") != att.LOAD_FACT) | (F.col("FilasInsertadas") == rows.count())
-    return log.select(F.col("LogId").cast("int").alias("LogId"), "Proceso", "Estado", whole.alias("whole"))
+    return log.select(F.col("LogId").cast("int").alias("LogId"), "Proceso", "Estado", "FilasInsertadas")
+
+
+# Changes of published facts: in 1996 some counts grow and some dates move, in 1997 some rows go.
+_MERGED_SQL = """
+facts AS (
+  SELECT CAST(o_custkey AS INT) AS "CodigoUnico", CAST(o_orderdate AS DATE) AS old_day, CAST(o_orderkey % 90 AS INT) AS age,
+    CAST(floor(o_totalprice / 1000) + 1 AS INT) AS n FROM orders),
+merged AS (
+  SELECT *, CASE WHEN year(old_day) = 1996 AND age % 9 IN (3, 4) THEN 'U'
+                 WHEN year(old_day) = 1997 AND age % 9 = 5 THEN 'D' END AS op,
+    CASE WHEN year(old_day) = 1996 AND age % 9 = 4 THEN CAST(old_day + 40 AS DATE) ELSE old_day END AS day,
+    CASE WHEN year(old_day) = 1996 AND age % 9 = 3 THEN n + 10 ELSE n END AS new_n FROM facts)"""
+
+
+def _merged(spark: SparkSession, sf: str) -> Warehouse:
+    warehouse, _ = _loaded(spark, sf)
+    facts = warehouse.table(att.FACT_TABLE, schemas.ATTENTION_FACT)
+    share = F.col("EdadReg") % 9
+    updates = facts.filter((F.col("Anio") == 1996) & share.isin(3, 4)).select(
+        "AtencionId", F.lit("U").alias("Operacion"), F.when(share == 3, F.col("Atenciones") + 10).alias("Atenciones"),
+        F.when(share == 4, F.date_add("Fecha", 40)).alias("Fecha"),
+    )
+    deletions = facts.filter((F.col("Anio") == 1997) & (share == 5)).select("AtencionId", F.lit("D").alias("Operacion"))
+    changes = updates.unionByName(deletions, allowMissingColumns=True)
+    change_facts(warehouse, attention_model(), changes, between=("1996-01-01", "1997-12-31"))
+    return warehouse
+
+
+@query(
+    "fact_merge",
+    f"""WITH {_MERGED_SQL}
+SELECT "CodigoUnico", day AS "Fecha", age AS "EdadReg", new_n AS "Atenciones", CAST(year(day) AS INT) AS "Anio",
+       CAST(month(day) AS INT) AS "Mes"
+FROM merged WHERE op IS NULL OR op = 'U'""",
+)
+def fact_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Updates and deletions of published facts by key; only the touched months are written again."""
+    facts = _merged(spark, sf).table(att.FACT_TABLE, schemas.ATTENTION_FACT)
+    return facts.select("CodigoUnico", "Fecha", "EdadReg", "Atenciones", "Anio", "Mes")
+
+
+@query(
+    "merge_audit",
+    f"""WITH {_MERGED_SQL}
+SELECT 'I' AS "Operacion", "CodigoUnico", old_day AS "Fecha", CAST(NULL AS INT) AS "Atenciones_Anterior",
+       n AS "Atenciones_Nuevo" FROM facts
+UNION ALL SELECT op, "CodigoUnico", day, n, CASE op WHEN 'U' THEN new_n END FROM merged WHERE op IS NOT NULL""",
+)
+def merge_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The change log of a load and of the changes after it, published with them."""
+    return _merged(spark, sf).table(att.AUDIT_TABLE, schemas.ATTENTION_AUDIT).select(
+        "Operacion", "CodigoUnico", "Fecha", "Atenciones_Anterior", "Atenciones_Nuevo"
+    )
+
+
+@query(
+    "province_region",
+    """
+SELECT DISTINCT n_name AS "Provincia", CASE WHEN n_nationkey < 12 THEN 'ASIA' ELSE 'EUROPE' END AS "Region"
+FROM customer JOIN nation ON n_nationkey = c_nationkey
+""",
+)
+def province_region(spark: SparkSession, sf: str) -> DataFrame:
+    """Provinces loaded before the table had a region, and after; none of them is rewritten."""
+    customers = table(spark, sf, "customer").join(
+        table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    flat_rows = customers.select(
+        *[F.lit(None if f.name in ("ANIO", "MES", "DIA") else "1").cast(f.dataType).alias(f.name)
+          for f in schemas.ATTENTIONS.fields if f.name not in ("PROVINCIA", "DISTRITO", "CODIGO_UNICO")],
+        F.col("n_name").alias("PROVINCIA"), F.col("n_name").alias("DISTRITO"),
+        F.col("c_nationkey").cast("int").alias("CODIGO_UNICO"),
+    )
+    warehouse = Warehouse(spark, scratch_path(spark, "regions"))
+    regions = table(spark, sf, "region").select((F.col("r_regionkey") + 1).cast("int").alias("RegionId"), F.col("r_name").alias("Nombre"))
+    warehouse.publish(append={att.REGION_TABLE: regions})
+    att.load_dimensions(warehouse, flat_rows.filter("CODIGO_UNICO < 12"))
+    att.add_region_to_provinces(warehouse, "ASIA")
+    att.load_dimensions(warehouse, flat_rows, region="EUROPE")
+    named = warehouse.table(att.REGION_TABLE, att.REGION_SCHEMA).withColumnRenamed("Nombre", "Region")
+    return att.provinces(warehouse).join(named, "RegionId").select(F.col("Nombre").alias("Provincia"), "Region")
 
 
 def _flat_reimbursements(spark: SparkSession, sf: str) -> DataFrame:

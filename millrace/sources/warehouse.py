@@ -90,6 +90,11 @@ class Warehouse:
             self._known = (names, sorted(frame.collect(), key=lambda r: r["version"]))
         return self._known[1]
 
+    @property
+    def version(self) -> int:
+        """The number of the last publication."""
+        return max((r["version"] for r in self._published()), default=0)
+
     def exists(self, name: str) -> bool:
         return any(r["tabla"] == name and r["batch"] for r in self._published())
 
@@ -118,7 +123,7 @@ class Warehouse:
         if required and value is None and self.exists(name):
             raise QualityError(f"{name}: NOT NULL {column}: rows published before would have none")
         note = {"name": column, "type": kind.jsonValue(), "value": value, "required": required}
-        version = max((r["version"] for r in self._published()), default=0) + 1
+        version = self.version + 1
         self._note([(version, name, None, False, None, None, json.dumps(note))])
 
     def _note(self, rows: list[tuple]) -> None:
@@ -188,7 +193,7 @@ class Warehouse:
         work = [(n, d, False, None) for n, d in (append or {}).items()]
         work += [(n, d, True, None) for n, d in (replace or {}).items()]
         work += [(n, d, False, [dict(p) for p in parts]) for n, (d, parts) in (amend or {}).items()]
-        version = max((r["version"] for r in self._published()), default=0) + 1
+        version = self.version + 1
 
         def write(name: str, df: DataFrame, replaces: bool, partitions: list | None) -> tuple:
             batch = f"{version:08d}-{uuid.uuid4().hex[:8]}"
