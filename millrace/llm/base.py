@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +114,23 @@ def small_parts(batches: Iterable[pa.RecordBatch], column: int, most: int) -> It
             yield batch.slice(a, b - a)
 
 
+def give_back() -> None:
+    """Return what Arrow and the C library hold unused to the system, at the end of a task: its
+    worker waits for others, maybe of another operator."""
+    pa.default_memory_pool().release_unused()
+    trim = _malloc_trim()
+    if trim is not None:
+        trim(0)
+
+
+@lru_cache(maxsize=1)
+def _malloc_trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return None
+
+
 def slices(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Runs of rows whose sizes add up to ``most`` or little more."""
     start, total, end = 0, 0, 0

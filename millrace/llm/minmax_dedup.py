@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import small_parts, split_words
+from millrace.llm.base import give_back, small_parts, split_words
 from millrace.operators.joins import fits_broadcast, keyed_join, measure
 from millrace.session import materialize, release
 
@@ -103,6 +103,7 @@ def signatures(docs: DataFrame, size: int, n: int) -> DataFrame:
                 ],
                 ["id", "n_shingles", "set_key", "bands"],
             )
+        give_back()
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "text").mapInArrow(
@@ -123,6 +124,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(pa.array(same, pa.int64())), pa.array(sets, pa.binary())], ["cls", "items"]
             )
+        give_back()
 
     stored = materialize(wanted, "wanted")
     side = F.broadcast(stored) if fits_broadcast(measure(stored)) else stored
@@ -148,6 +150,7 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(similar, pa.float64()), pa.array(linked, pa.bool_())],
                 ["a", "b", "similarity", "linked"],
             )
+        give_back()
 
     named = lambda key, items: sets.select(F.col("cls").alias(key), F.col("items").alias(items))
     rows = pairs.join(named("a", "x"), "a").join(named("b", "y"), "b").select("a", "b", "x", "y")

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import open_file, put_file, slices, small_parts, split_words, with_ends
+from millrace.llm.base import give_back, open_file, put_file, slices, small_parts, split_words, with_ends
 from millrace.session import materialize, scratch_path
 
 MAGIC = b"WVMX1\0"
@@ -409,6 +409,8 @@ def write_shards(
                 held, names, counts, size, seq = [], [], [], 0, seq + 1
         if size:
             yield close()
+        held, names, counts = [], [], []
+        give_back()
 
     rows = (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import held_out, unused
+from millrace.llm.base import give_back, held_out, unused
 
 #: Bounds of what is fitted: this many languages, sampled rows of each, this much of a row, this
 #: much in all.  A dictionary is full with fewer than all sampled rows, as rows are seldom short; a
@@ -136,6 +136,7 @@ def language_of(text: Column, dictionaries: dict[str, bytes]) -> Column:
                 [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 ["lang", "margin"],
             )
+        give_back()
 
     return identify(text)
 
