@@ -19,6 +19,7 @@ from millrace.llm.minmax_dedup import near_duplicates
 from millrace.llm.mixing import mix_sources
 from millrace.llm.wavelet import token_digest
 from millrace.llm.zstd_language import keep_identified
+from millrace.operators.joins import keyed_join, measure
 from millrace.session import materialize, ship_package
 
 #: Near copies share four fifths of their runs of five words.
@@ -45,6 +46,15 @@ def with_row_key(docs: DataFrame, stage: str) -> tuple[DataFrame, str]:
     return materialize(docs.withColumn(key, F.monotonically_increasing_id()), stage), key
 
 
+def without_rows(docs: DataFrame, key: str, out: DataFrame, out_key: str) -> DataFrame:
+    """``docs`` but for the rows whose ``key`` is in ``out``, each key once there.
+
+    Whole texts move only if the keys are measured to be too many to be sent to every task.
+    """
+    keys = materialize(out.select(F.col(out_key).alias(key)), "out")
+    return keyed_join(docs, keys, [key], "left_anti", measure(keys), balance=False)
+
+
 def row_hash(docs: DataFrame) -> Column:
     """A hash of whole rows, whatever types their columns have (maps, variants and names with dots too)."""
     return F.xxhash64(F.to_json(F.struct(*[F.col(quoted(c)) for c in docs.columns])))
@@ -69,15 +79,14 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     found = near_duplicates(stored.withColumn(name, order), shingle_words=SHINGLE_WORDS, id_col=name)
     dropped = found.filter(~F.col("kept")).select(F.col(f"{name}.row").alias(dropped_key))
     blank = stored.filter(
-        F.col("doc_id").isNotNull() & (F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)) == 0)
+        F.col("doc_id").isNotNull() & ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
     ).select(F.col(key).alias(dropped_key), "doc_id", "text")
     first = blank.groupBy(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).agg(
         F.min(dropped_key).alias("_first"), F.count("*").alias("_n")
     ).filter(F.col("_n") > 1)
     same = (F.col("doc_id") == F.col("_id")) & F.col("text").eqNullSafe(F.col("_text"))
     again = blank.join(first, same).filter(F.col(dropped_key) != F.col("_first")).select(dropped_key)
-    dropped = materialize(dropped.unionByName(again), "near")
-    return stored.join(dropped, F.col(key) == F.col(dropped_key), "left_anti").select(*map(quoted, docs.columns))
+    return without_rows(stored, key, dropped.unionByName(again), dropped_key).select(*map(quoted, docs.columns))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -89,8 +98,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     stored, key = with_row_key(docs, "hit-rows")
     name = unused(stored.columns, "hit_key")
     found = find_items(stored, table(spark, sf_dir, "benchmark"), id_col=key)
-    hit = materialize(found.filter("contaminated").select(F.col(key).alias(name)), "hits")
-    return stored.join(hit, F.col(key) == F.col(name), "left_anti").select(*map(quoted, docs.columns))
+    hit = found.filter("contaminated").select(F.col(key).alias(name))
+    return without_rows(stored, key, hit, name).select(*map(quoted, docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -106,7 +115,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         mix.filter(F.col("copies") > 0).select(F.col(key).alias(name), F.col("copies").cast("int").alias(times)),
         "mix-copies",
     )
-    taken = stored.join(copies, F.col(key) == F.col(name))
+    taken = keyed_join(stored, copies.withColumnRenamed(name, key), [key], "inner", measure(copies), balance=False)
     return taken.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*map(quoted, docs.columns))
 
 
