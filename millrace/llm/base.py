@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -114,6 +115,19 @@ def small_parts(batches: Iterable[pa.RecordBatch], column: int, most: int) -> It
             yield batch.slice(a, b - a)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for the jobs within: less is held on both sides of a
+    Python worker's pipe.  The session's own setting comes back at the end; results are the same with any."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def give_back() -> None:
     """Return what Arrow and the C library hold unused to the system, at the end of a task: its
     worker waits for others, maybe of another operator."""

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import give_back, small_parts, split_words
+from millrace.llm.base import give_back, small_batches, small_parts, split_words
 from millrace.operators.joins import fits_broadcast, keyed_join, measure
 from millrace.session import materialize, release
 
@@ -237,6 +237,13 @@ def near_duplicates(
     Rows that repeat an id are rows of their own with that id; other columns are ignored; an
     empty table gives no rows.
     """
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, percent, shingle_words, permutations_, id_col, text_col, small_bucket)
+
+
+def _near_duplicates(
+    docs: DataFrame, percent: int, shingle_words: int, permutations_: int, id_col: str, text_col: str, small_bucket: int
+) -> DataFrame:
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signed = materialize(signatures(given, shingle_words, permutations_), "signatures")
     classes = materialize(
