@@ -95,11 +95,11 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     A null or empty text holds no window and stays; long texts are looked through whole.  Rows that
     repeat, or share an id, are judged each; an empty table, or no benchmark items, removes nothing.
     """
-    stored, key = with_row_key(docs, "hit-rows")
-    name = unused(stored.columns, "hit_key")
-    found = find_items(stored, table(spark, sf_dir, "benchmark"), id_col=key)
-    hit = found.filter("contaminated").select(F.col(key).alias(name))
-    return without_rows(stored, key, hit, name).select(*map(quoted, docs.columns))
+    key = unused(docs.columns, "text_key")
+    keyed = docs.withColumn(key, F.md5(F.coalesce("text", F.lit(""))))  # what is decided depends on the text alone
+    found = find_items(keyed, table(spark, sf_dir, "benchmark"), id_col=key)
+    hit = found.filter("contaminated").select(F.col(key).alias("hit")).distinct()
+    return without_rows(keyed, key, hit, "hit").select(*map(quoted, docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
