@@ -132,6 +132,47 @@ def describe_population(df: DataFrame, c: str | Column) -> DataFrame:
     )
 
 
+def partial_moments(df: DataFrame, c: str, by: Mapping[str, Column]) -> DataFrame:
+    """Per group what any coarser statistic needs: ``n, mean, m2, min, max`` of the non-negative values.
+
+    ``m2`` is the sum of squared distances from the group's own mean, so that large values lose nothing.
+    Stored once (say by month), it answers for any range of groups without the facts, and the groups of
+    later loads are just more rows of it.
+    """
+    value = F.col(c)
+    kept = df.filter(value >= 0).select(*[e.alias(n) for n, e in by.items()], value.cast("double").alias("_v"), value.alias("_x"))
+    return kept.groupBy(*by).agg(
+        F.count("_v").alias("n"), F.avg("_v").alias("mean"), (F.var_pop("_v") * F.count("_v")).alias("m2"),
+        F.min("_x").alias("min"), F.max("_x").alias("max"),
+    )
+
+
+def merged_moments(partials: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The statistics of ``describe_population`` from ``partial_moments``, by ``by`` or of all.
+
+    Means are averaged by counts; squares add up, with each group's distance from the whole mean.  The
+    same group may come in several rows (of several loads): rows merge in any order.
+    """
+    keys = list(by)
+    whole = partials.groupBy(*keys).agg(
+        F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_mean")
+    )
+    if keys:
+        named = whole.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_n", "_mean")
+        match = F.lit(True)
+        for k in keys:
+            match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        both = partials.join(named, match)
+    else:
+        both = partials.crossJoin(F.broadcast(whole))  # one row
+    apart = F.col("mean") - F.col("_mean")
+    return both.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.max("_mean").alias("mean"),
+        F.sqrt(F.sum(F.col("m2") + F.col("n") * apart * apart) / F.sum("n")).alias("stddev"),
+        F.min("min").alias("min"), F.max("max").alias("max"),
+    )
+
+
 def count_conditions(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
     """How many rows meet each condition, in one pass; ``n_rows`` is the row count."""
     return df.agg(

@@ -8,7 +8,7 @@ right row by replication.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import store_counted
+
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.02
 #: Pieces of a hot key for each partition that its rows would fill; several, as they are hashed.
@@ -47,6 +49,14 @@ def measure(df: DataFrame) -> Size:
     return Size(row["n"], row["n"] * fixed + (row["v"] or 0))
 
 
+def store_measured(df: DataFrame, name: str, more: Mapping[str, Column] | None = None) -> tuple[DataFrame, Size, dict]:
+    """A stored frame, its size in memory and ``more`` aggregates, measured by the tasks that write it."""
+    fixed, variable = row_bytes(df)
+    named = {f"more_{n}": c for n, c in (more or {}).items()}
+    stored, seen = store_counted(df, name, n=F.count(F.lit(1)), v=F.sum(variable), **named)
+    return stored, Size(seen["n"], seen["n"] * fixed + (seen["v"] or 0)), {n: seen[f"more_{n}"] for n in more or {}}
+
+
 def fits_broadcast(size: Size | None, limit: int = BROADCAST_BYTES) -> bool:
     return size is not None and size.bytes <= limit
 

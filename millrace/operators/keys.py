@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import Size, measure
+from millrace.operators.joins import Size, store_measured
+from millrace.operators.quality import QualityError
 from millrace.session import materialize
 
 ONE_TASK_ROWS = 200_000
@@ -28,20 +29,59 @@ def first_rows(df: DataFrame, n: int, order_by: str | Sequence[str] = "src_seq")
     return df.orderBy(*order).limit(n) if n > 0 else df
 
 
+def scan_prefix(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of a Parquet scan in file order (files by path, rows as they lie), unsorted.
+
+    Rows are counted by file, from the files' footers; so the file and the place in it where the ``n``-th row
+    lies are known.  Files beyond are not opened, and no row moves.  Apply directly to a scan; 0 keeps all.
+    """
+    if n <= 0:
+        return df
+    path, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    whole, left = [], n
+    # one row a file
+    for r in df.groupBy(path.alias("path")).agg(F.count("*").alias("n")).orderBy("path").toLocalIterator():
+        if left <= r["n"]:
+            break
+        whole.append(r["path"])
+        left -= r["n"]
+    else:
+        return df
+    last = (path == F.lit(r["path"])) & (place < F.lit(left))
+    chosen = df.filter(path.isin([*whole, r["path"]]))
+    return chosen.filter(path.isin(whole) | last) if whole else chosen.filter(last)
+
+
 def dense_ids(
-    keys: DataFrame, order_by: Sequence[str | Column], id_name: str, start: int = 0
+    keys: DataFrame, order_by: Sequence[str | Column], id_name: str, start: int | DataFrame = 0,
+    required: Sequence[str] = (),
 ) -> tuple[DataFrame, Size]:
     """Number distinct ``keys`` ``start + 1, start + 2, ...`` in sorted order.
 
-    The keys are written once and measured.  A small set (at most ``ONE_TASK_ROWS``) is
+    The keys are written once and measured while they are.  A small set (at most ``ONE_TASK_ROWS``) is
     numbered by a window in one task.  A larger one is range-partitioned and sorted, each row
     keeping its position within its partition, and written so; the driver then sees only one
     count per partition, and the id is the running count before the partition plus the
-    position.  Returns the numbered frame and its measured size.
+    position.  Returns the numbered frame and its measured size.  ``start`` may be a frame of one
+    number, read with the keys and not before.  A NULL in a ``required`` column, counted by the same
+    tasks, is an error.
     """
     order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
-    stored = materialize(keys, "keys")
-    size = measure(stored)
+    stored, size, nulls = store_measured(keys, "keys", {c: F.count_if(F.col(c).isNull()) for c in required})
+    broken = {c: n for c, n in nulls.items() if n}
+    if broken:
+        raise QualityError("; ".join(f"NOT NULL {c}: {n}" for c, n in broken.items()))
+    if isinstance(start, DataFrame):
+        numbered, size = _numbered(stored, order, id_name, 0, size)
+        top = start.toDF("_top")
+        moved = numbered.crossJoin(F.broadcast(top))  # one row
+        return moved.withColumn(id_name, F.col(id_name) + F.coalesce("_top", F.lit(0))).drop("_top"), size
+    return _numbered(stored, order, id_name, start, size)
+
+
+def _numbered(
+    stored: DataFrame, order: Sequence[Column], id_name: str, start: int, size: Size
+) -> tuple[DataFrame, Size]:
     if size.rows <= ONE_TASK_ROWS:
         position = F.row_number().over(Window.orderBy(*order)).cast("bigint")
         return stored.select((position + start).alias(id_name), *stored.columns), size
@@ -71,9 +111,10 @@ def _range_numbered(keys: DataFrame, order: Sequence[Column], id_name: str, star
 def continue_ids(
     new_keys: DataFrame, existing: DataFrame, order_by: Sequence[str | Column], id_name: str
 ) -> tuple[DataFrame, Size]:
-    """Number new members after the highest id in use."""
-    top = existing.agg(F.max(id_name)).first()[0] or 0
-    return dense_ids(new_keys, order_by, id_name, start=int(top))
+    """Number new members after the highest id in use; none of what they are ordered by may be NULL."""
+    top = existing.agg(F.max(id_name).cast("bigint"))
+    named = [c for c in order_by if isinstance(c, str)]
+    return dense_ids(new_keys, order_by, id_name, start=top, required=named)
 
 
 def first_per_key(

@@ -35,7 +35,7 @@ from millrace.operators.quality import (
 )
 from millrace.plans.lookups import Lookup, load_lookups, resolve
 from millrace.plans.run_log import PARTIAL, LoadResult, Run, log_run, logged_run
-from millrace.session import in_parallel, materialize
+from millrace.session import in_parallel, materialize, store_counted
 from millrace.sources.readers import literal_rows
 from millrace.sources.warehouse import Warehouse, identities, in_partitions
 from millrace.sources.writers import with_backfilled_column
@@ -218,10 +218,15 @@ def validate(staged: DataFrame, facilities: DataFrame, as_array: bool = False) -
 def resolve_attentions(staged: DataFrame, facilities: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
     """Valid rows with lookups resolved.  An impossible date stops the load; a row with an
     unknown member, or with a rule that is unknown, is left out."""
-    rows = staged.filter(F.col("SEXO").isin(*SEXES) & valid_age() & valid_counts())
     codes = facilities.select(F.col("CodigoUnico").alias("CODIGO_UNICO"))
+    rows = staged.filter(F.col("SEXO").isin(*SEXES) & valid_age() & valid_counts())
     known = with_membership(rows, codes, ["CODIGO_UNICO"])
-    rows = known.filter("_known").drop("_known")
+    return resolve_members(known.filter("_known").drop("_known"), lookups)
+
+
+def resolve_members(staged: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
+    """Rows of known facilities as facts: valid ones, with the ids of their members."""
+    rows = staged.filter(F.col("SEXO").isin(*SEXES) & valid_age() & valid_counts())
     for lookup in SERVICES:
         rows = resolve(rows, lookup, lookups[lookup.table])
     day = date_from_parts("ANIO", "MES", "DIA", on_bad_date="fail")
@@ -404,18 +409,20 @@ def account_for(staged: DataFrame, facilities: DataFrame, lookups: dict[str, Dat
     Silently dropped are rows that break no rule but have an unknown rule value or an
     unknown lookup member.
     """
-    broken = validate(staged, facilities, as_array=True)
-    rejected = broken.agg(
-        F.count_if(F.size("v") > 0).alias("rejected_rows"),
-        F.coalesce(F.sum(F.size("v")), F.lit(0)).alias("violations"),
+    keys = facilities.select(F.col("CodigoUnico").alias("CODIGO_UNICO"))
+    flagged = with_membership(staged, keys, ["CODIGO_UNICO"])
+    rules = broken_rules(attention_rules())
+    judged, seen = store_counted(
+        flagged.withColumn("_broken", F.size(rules)), "judged", staged=F.count(F.lit(1)),
+        rejected_rows=F.count_if(F.col("_broken") > 0), violations=F.coalesce(F.sum("_broken"), F.lit(0)),
+    )
+    batch, valid = store_counted(
+        resolve_members(judged.filter("_known").drop("_known", "_broken"), lookups), "batch", n=F.count(F.lit(1))
     )
-    batch = materialize(resolve_attentions(staged, facilities, lookups), "batch")
     fresh = not_yet_in(batch, same_periods(existing, batch), GRAIN)
-    counts = (
-        staged.agg(F.count("*").alias("staged"))
-        .crossJoin(rejected)
-        .crossJoin(batch.agg(F.count("*").alias("valid")))
-        .crossJoin(fresh.agg(F.count("*").alias("inserted")))
+    counts = fresh.agg(F.count("*").alias("inserted")).select(
+        *[F.lit(seen[n]).cast("bigint").alias(n) for n in ("staged", "rejected_rows", "violations")],
+        F.lit(valid["n"]).cast("bigint").alias("valid"), "inserted",
     )
     return counts.select(
         "staged",

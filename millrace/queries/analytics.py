@@ -13,6 +13,8 @@ from millrace.operators.aggregates import (
     critical_query_by_lookup,
     critical_query_sql,
     describe_population,
+    merged_moments,
+    partial_moments,
 )
 from millrace.operators.bounds import part_of, with_parts
 from millrace.operators.joins import top_per_outer_row
@@ -23,7 +25,7 @@ from millrace.plans.reimbursements import published_view
 from millrace.queries.base import query, table
 from millrace.queries.frames import flat, flat_sql
 from millrace.schemas import INT
-from millrace.session import scratch_path
+from millrace.session import materialize, scratch_path
 from millrace.sources.readers import read_layout
 from millrace.sources.writers import write_bucketed, write_layout
 
@@ -131,6 +133,41 @@ def stats_pop_quantity(spark: SparkSession, sf: str) -> DataFrame:
     return _stats(table(spark, sf, "lineitem"), "l_quantity")
 
 
+@query("stats_merged", _STATS_SQL.format(c="l_quantity", t="lineitem"))
+def stats_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of all lines from stored partial sums per month, halves of which came in two loads."""
+    lines = table(spark, sf, "lineitem")
+    month = {"Anio": F.year("l_shipdate"), "Mes": F.month("l_shipdate")}
+    first = partial_moments(lines.filter("l_linenumber <= 3"), "l_quantity", month)
+    later = partial_moments(lines.filter("l_linenumber > 3"), "l_quantity", month)
+    out = merged_moments(materialize(first.unionByName(later), "moments"))
+    return out.withColumns({"mean": F.round("mean", 6), "stddev": F.round("stddev", 6)})
+
+
+@query(
+    "table_function",
+    """
+SELECT c_custkey, c_name, n_orders, total, last_order FROM customer, LATERAL (
+  SELECT count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total,
+         CAST(max(o_orderdate) AS DATE) AS last_order FROM orders WHERE o_custkey = c_custkey) x
+""",
+)
+def table_function(spark: SparkSession, sf: str) -> DataFrame:
+    """A summary written once as a table function in SQL, applied to each customer."""
+    table(spark, sf, "customer").select("c_custkey", "c_name").createOrReplaceTempView("resumen_cliente")
+    table(spark, sf, "orders").select("o_custkey", "o_totalprice", "o_orderdate").createOrReplaceTempView("resumen_pedido")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION resumen_pedidos(cliente BIGINT)
+        RETURNS TABLE (n_orders BIGINT, total DOUBLE, last_order DATE)
+        RETURN SELECT count(*), CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE), CAST(max(o_orderdate) AS DATE)
+               FROM resumen_pedido WHERE o_custkey = cliente
+    """)
+    return spark.sql("""
+        SELECT c_custkey, c_name, r.n_orders, r.total, r.last_order
+        FROM resumen_cliente, LATERAL resumen_pedidos(c_custkey) AS r
+    """)
+
+
 @query(
     "by_nested_desc",
     f"""

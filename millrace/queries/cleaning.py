@@ -14,7 +14,7 @@ from millrace.functions.dates import (
 )
 from millrace.functions.numbers import clamp_count, drop_negative, parse_money
 from millrace.functions.text import WHITESPACE, strip, strip_all, trim_spaces
-from millrace.operators.keys import first_per_key, first_rows, fold_duplicates
+from millrace.operators.keys import first_per_key, fold_duplicates, scan_prefix
 from millrace.plans.reimbursements import drop_blank
 from millrace.plans.star import dim_time
 from millrace.queries.base import query, table
@@ -212,9 +212,8 @@ def blank_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("prefix_sample", "SELECT event_id, event_type, value FROM events ORDER BY event_id LIMIT 1000")
 def prefix_sample(spark: SparkSession, sf: str) -> DataFrame:
-    """The first rows in source order (the sampling switch of the jobs)."""
-    events = table(spark, sf, "events").select("event_id", "event_type", "value")
-    return first_rows(events, 1000, "event_id")
+    """The first rows in source order (the sampling switch of the jobs); the table lies in order of its id."""
+    return scan_prefix(table(spark, sf, "events"), 1000).select("event_id", "event_type", "value")
 
 
 @query(

@@ -24,8 +24,9 @@ from millrace.operators.quality import (
 from millrace.plans import attentions as att
 from millrace.plans import reimbursements as reimb
 from millrace.plans.changes import attention_model, change_facts
-from millrace.plans.lookups import Lookup, load_lookups, new_members
+from millrace.plans.lookups import Lookup, load_lookups, new_members, new_members_collated, resolve_collated
 from millrace.plans.run_log import RUN_TABLE, latest
+from millrace.plans.scripts import create_lookup_table, run_lookup_script
 from millrace.queries.base import query, table
 from millrace.queries.frames import (
     AGE_BOUNDS_SQL,
@@ -81,6 +82,66 @@ def lookup_load_composite(spark: SparkSession, sf: str) -> DataFrame:
     return new_members(members, _SEGMENT, existing)
 
 
+@query(
+    "scripted_load",
+    """
+WITH existing AS (SELECT c_name, row_number() OVER (ORDER BY c_name) AS id FROM customer WHERE c_acctbal < 0),
+fresh AS (SELECT c_name, (SELECT count(*) FROM existing) + row_number() OVER (ORDER BY c_name) AS id
+          FROM customer ANTI JOIN existing USING (c_name))
+SELECT CAST(id AS INT) AS "ClienteId", c_name AS "Nombre", (SELECT count(*) FROM existing) AS primera,
+       (SELECT count(*) FROM fresh) AS segunda, CAST(0 AS BIGINT) AS tercera
+FROM (SELECT * FROM existing UNION ALL SELECT * FROM fresh)
+""",
+)
+def scripted_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs of the load as a SQL script, with what each inserted."""
+    path = scratch_path(spark, "scripted")
+    name, view = f"cliente_{path[-32:]}", f"clientes_{path[-32:]}"
+    create_lookup_table(spark, _CLIENT, name, path)
+    customers = table(spark, sf, "customer").select("c_name", "c_acctbal")
+    inserted = []
+    for rows in (customers.filter("c_acctbal < 0"), customers, customers):
+        rows.createOrReplaceTempView(view)
+        inserted.append(run_lookup_script(spark, _CLIENT, name, view).inserted)
+    counts = [F.lit(n).cast("bigint").alias(c) for n, c in zip(inserted, ("primera", "segunda", "tercera"), strict=True)]
+    return spark.table(name).select("*", *counts)
+
+
+# Members spelled in several ways: in capitals or not, and with blanks at the end.
+_SPELLED = """case c_custkey % 4 when 0 then lower(concat(c_mktsegment, '-', n_name))
+  when 1 then concat(c_mktsegment, '-', n_name, '  ') when 2 then concat(c_mktsegment, '-', lower(n_name), ' ')
+  else concat(c_mktsegment, '-', n_name) end"""
+
+
+@query(
+    "lookup_load_ci",
+    f"""
+WITH staged AS (SELECT c_custkey, c_acctbal, {_SPELLED} AS name FROM customer JOIN nation ON n_nationkey = c_nationkey),
+keyed AS (SELECT *, lower(rtrim(name, ' ')) AS k FROM staged),
+old AS (SELECT k, min(name) AS name FROM keyed WHERE c_acctbal < 0 GROUP BY k),
+existing AS (SELECT *, row_number() OVER (ORDER BY name) AS id FROM old),
+fresh AS (SELECT k, min(name) AS name FROM keyed ANTI JOIN existing USING (k) GROUP BY k),
+members AS (
+  SELECT k, name, id FROM existing
+  UNION ALL SELECT k, name, (SELECT count(*) FROM existing) + row_number() OVER (ORDER BY name) FROM fresh)
+SELECT CAST(id AS INT) AS "GrupoId", m.name AS "Nombre", count(*) AS n_rows, count(DISTINCT s.name) AS spellings
+FROM members m JOIN keyed s USING (k) GROUP BY ALL
+""",
+)
+def lookup_load_ci(spark: SparkSession, sf: str) -> DataFrame:
+    """Members whose names differ in case or trailing blanks are one: load, then resolve every row."""
+    group = Lookup("Grupo", "GrupoId", "grupo")
+    rows = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    staged_rows = materialize(rows.select("c_custkey", "c_acctbal", F.expr(_SPELLED).alias("grupo")), "spelled")
+    named = staged_rows.withColumnRenamed("grupo", "Nombre")
+    nothing = empty_frame(spark, group.schema)
+    existing = materialize(new_members_collated(named.filter("c_acctbal < 0"), group, nothing), "existing")
+    whole = materialize(existing.unionByName(new_members_collated(named, group, existing)), "members")
+    resolved = resolve_collated(staged_rows, group, whole)
+    counts = resolved.groupBy("GrupoId").agg(F.count("*").alias("n_rows"), F.count_distinct("grupo").alias("spellings"))
+    return whole.join(counts, "GrupoId").select("GrupoId", "Nombre", "n_rows", "spellings")
+
+
 _PLACES = {
     "CODIGO_UNICO": "cast(s_suppkey as int)",
     "NOMBRE_ESTACLECIMIENTO": "s_name",

@@ -213,7 +213,8 @@ def test_reimbursements(spark, wh):
     assert len(report) > 30 and set(report.values()) == {0}
     wide = {r["regla"]: r["violaciones"] for r in reimbursements.staging_report(df.withColumn("Sede", F.repeat("Sede", F.lit(30)))).collect()}
     assert wide["WIDTH Sede <= 80"] == 2
-    audit = spark.table("LogAuditoriaReembolso")
+    assert reimbursements.AUDIT_TABLE not in published.datasets(wh, "auditor")  # no audience is given that log
+    audit = wh.table(reimbursements.AUDIT_TABLE, schemas.REIMBURSEMENT_AUDIT)
     assert sorted((r["Operacion"], r["MontoPagado_Nuevo"]) for r in audit.collect()) == [
         ("I", Decimal("9.99")), ("I", Decimal("1225.50")),
     ]
