@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import DateTimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from millrace.operators.keys import first_per_key, fold_duplicates, scan_prefix
 from millrace.plans.reimbursements import drop_blank
 from millrace.plans.star import dim_time
 from millrace.queries.base import query, table
+from millrace.session import materialize
 
 _NBSP = "\u00a0"
 
@@ -126,14 +128,28 @@ FROM made GROUP BY y, m
 """,
 )
 def bad_dates(spark: SparkSession, sf: str) -> DataFrame:
-    """What each policy for impossible dates does, per month."""
-    made = _order_parts(spark, sf).withColumn("made", date_from_parts("y", "m", "d"))
-    return made.groupBy("y", "m").agg(
-        F.count("*").alias("n_rows"),
-        F.count("made").alias("kept_by_drop"),
-        F.count_if(F.col("made").isNull()).alias("null_dates"),
-        (F.count("made") < F.count("*")).alias("stops_when_fail"),
-    )
+    """What each policy for impossible dates does, per month, as it is run.
+
+    The policy that fails is run twice: over the months in which the others lose nothing, which it
+    must get through, and over the rest, which must stop it.
+    """
+    rows = _order_parts(spark, sf)
+    made = lambda policy: date_from_parts("y", "m", "d", on_bad_date=policy)
+    months = rows.groupBy("y", "m").agg(F.count("*").alias("n_rows"), F.count_if(made("null").isNull()).alias("null_dates"))
+    dropped = rows.withColumn("made", made("drop")).filter(F.col("made").isNotNull())
+    kept = dropped.groupBy("y", "m").agg(F.count("*").alias("kept_by_drop"))
+    counted = materialize(months.join(kept, ["y", "m"], "left").fillna(0, ["kept_by_drop"]), "months")
+
+    def stops(bad: bool) -> bool:
+        chosen = rows.join(counted.filter((F.col("null_dates") > 0) == F.lit(bad)).select("y", "m"), ["y", "m"], "left_semi")
+        try:
+            chosen.agg(F.count(made("fail"))).collect()
+        except DateTimeException:
+            return True
+        return False
+
+    stopped = F.when(F.col("null_dates") > 0, F.lit(stops(True))).otherwise(F.lit(stops(False)))
+    return counted.withColumn("stops_when_fail", stopped)
 
 
 @query(
