@@ -278,7 +278,7 @@ def prefix_pairs(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFra
     ``n - ceil(percent n / 100) + 1`` shingles, so only those are joined.  Of two sets' first shingles
     (at most ``CARRIED`` of them travel along) ``m`` agree.  The set whose last one comes earlier in the
     order has no other match for them, so both have at most ``m`` and the rest of that set in common;
-    what is too little for a link does not leave the join.
+    what is too little for a link does not leave the join, nor does a pair leave it twice.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,6 +318,8 @@ def prefix_pairs(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFra
         & (F.coalesce(F.col("pivot_a") != F.col("pivot_b"), F.lit(True))
            | (F.abs(F.col("similarity_a") - F.col("similarity_b")) <= slack))
         & (F.lit(100 + percent) * (F.size(same) + rest) >= F.lit(percent) * (F.col("n_a") + F.col("n_b")))
+        # what is left leaves the join once
+        & ((F.size(same) == 0) | (F.array_min(same) == F.col("item_a")))
     )
     pairs = side("a").join(side("b"), (F.col("item_a") == F.col("item_b")) & near)
     found = materialize(pairs.select("a", "b").distinct(), "prefix-pairs")
