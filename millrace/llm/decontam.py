@@ -16,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.base import slices, utf8
+from millrace.llm.base import slices, small_parts, utf8
 from millrace.operators.joins import fits_broadcast, measure
 from millrace.session import materialize
 
 SHINGLE = 3
 BITMAP_BITS = 1 << 24
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 _WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20
@@ -131,10 +131,9 @@ def shingle_counts(docs: DataFrame, filters: dict[int, Bitmap], text_col: str) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = utf8(batch.column(0))
             found = []
-            for a, b in slices((len(t or b"") for t in texts), BATCH_BYTES):
-                found += [keys for _, _, keys in _finds(texts[a:b], filters)[1]]
+            for part in small_parts([batch], 0, BATCH_BYTES):
+                found += [keys for _, _, keys in _finds(utf8(part.column(0)), filters)[1]]
             keys, seen = np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(seen)], ["key", "seen"])
 
@@ -186,14 +185,13 @@ def find_items(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = utf8(batch.column(2))
-            for a, b in slices((len(t or b"") for t in texts), BATCH_BYTES):
-                split, finds = _finds(texts[a:b], chosen)
-                row, name = batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a)
+            for part in small_parts([batch], 2, BATCH_BYTES):
+                split, finds = _finds(utf8(part.column(2)), chosen)
+                row, name = part.column(0), part.column(1)
                 n_words = pa.array([len(w) for w in split], pa.int64())
-                nothing = pa.nulls(b - a, pa.int64())
+                nothing = pa.nulls(part.num_rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [row, name, n_words, nothing, nothing, nothing, pa.nulls(b - a, pa.list_(pa.string()))], columns
+                    [row, name, n_words, nothing, nothing, nothing, pa.nulls(part.num_rows, pa.list_(pa.string()))], columns
                 )
                 for owner, place, key in finds:
                     for i, j in slices((1 for _ in owner), 50_000):
