@@ -18,12 +18,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import Size, keyed_join, measure
 from millrace.session import materialize
 
 CHUNK_ROWS = 65_536
 LEAST_CHUNK_ROWS = 1024
 STEP_ROWS = 1024
 QUERY_ROWS = 512
+#: Query blocks that one task takes past a chunk.
+TOGETHER = 32
+#: Meetings of a lane and a chunk in one task, on large tables.
+PAIRS = 16
+#: Lengths beyond these share a bin with them.
+SHORTEST, LONGEST = 2.0**-1000, 2.0**1000
 #: Share of the squared length that the first coordinates of rotated vectors should have.
 HEAD_SHARE = 0.9
 #: Share of pairs that the bound must rule out for the others to be worked on one by one.
@@ -189,34 +196,69 @@ def pack(rows: DataFrame, most: int, width: int, name: str) -> DataFrame:
     return materialize(rows.select("row", "id", "v", "length", "floor", "reach").mapInArrow(run, shape), name)
 
 
-def meet(chunks: DataFrame, asked: DataFrame, k: int, width: int, basis: np.ndarray, m: int) -> DataFrame:
-    """``row, query_id, vec_id, score``: the best of each chunk for the queries sent to it.
+def length_bin(length: Column) -> Column:
+    """Quarter octaves of a length, some thousands at most; a longer vector is in no lower bin."""
+    bin_ = F.floor(4 * F.log2(F.greatest(F.least(length, F.lit(LONGEST)), F.lit(SHORTEST))))
+    return bin_.cast("int")
 
-    Rows of one chunk number come to one task, the chunk first; query blocks stream past it.
+
+def reached(lanes: DataFrame, lengths: DataFrame) -> DataFrame:
+    """``chunk, lane, longest``: the chunks whose longest vector is no shorter than a lane's reach.
+
+    Joined on bins of the length.  A bin that many lanes or chunks share is spread by ``keyed_join``.
+    """
+    binned = lengths.withColumn("bin", length_bin(F.col("longest")))
+    ends = binned.agg(F.min("bin").alias("low"), F.max("bin").alias("high"), F.max("longest").alias("top")).first()
+    if ends["top"] is None:
+        return lanes.select(F.lit(0).cast("bigint").alias("chunk"), "lane", F.lit(0.0).alias("longest")).limit(0)
+    low, high = F.lit(ends["low"]), F.lit(ends["high"])
+    start = F.least(F.greatest(length_bin(F.col("reach")) - 1, low), high)  # one lower, for rounding
+    wanted = lanes.filter(F.col("reach") <= ends["top"]).withColumn("bin", F.explode(F.sequence(start, high)))
+    met = keyed_join(wanted, binned, ["bin"], right_size=measure(binned))
+    return met.filter(F.col("longest") >= F.col("reach")).select("chunk", "lane", "longest")
+
+
+def meet(
+    chunks: DataFrame, asked: DataFrame, pairs: DataFrame, k: int, width: int, basis: np.ndarray, m: int
+) -> DataFrame:
+    """``row, query_id, vec_id, score``: the best of a chunk for the queries sent to it.
+
+    ``pairs`` names which lanes of query blocks meet which chunks (``chunk, lane, longest``).  A chunk
+    is sent once for each of its lanes, so that many tasks work on one that many queries ask; in a
+    task it comes first, and the lane's blocks stream past it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, chunk = None, None
+        place, chunk = None, None
         for batch in batches:
-            for at, kind, *data, floors in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for at in range(batch.num_rows):
+                number, lane, kind, *data, floors = (c[at].as_py() for c in batch.columns)
                 block = Block.of(*data, width, basis, m)
                 if kind == 0:
-                    number, chunk = at, block
+                    place, chunk = (number, lane), block
                     continue
-                if at != number:
-                    raise ValueError(f"no chunk {at} before its queries")
-                place, found, score = best_of(chunk, block, np.frombuffer(floors, np.int64), k)
+                if place != (number, lane):
+                    raise ValueError(f"no chunk {number} before its queries")
+                row, found, score = best_of(chunk, block, np.frombuffer(floors, np.int64), k)
+                task = np.full(len(row), TaskContext.get().partitionId())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(block.rows[place]), pa.array(block.ids[place]), pa.array(found), pa.array(score)],
-                    ["row", "query_id", "vec_id", "score"],
+                    [pa.array(x) for x in (block.rows[row], block.ids[row], found, score, task)],
+                    ["row", "query_id", "vec_id", "score", "task"],
                 )
 
-    columns = ["chunk", "kind", "rows", "ids", "v", "floors"]
-    both = chunks.withColumn("kind", F.lit(0)).select(*columns).unionByName(
-        asked.withColumn("kind", F.lit(1)).select(*columns)
+    held = chunks.select("chunk", "rows", "ids", "v")
+    blocks = asked.select("lane", "reach", "rows", "ids", "v", "floors")
+    columns = ["chunk", "lane", "kind", "rows", "ids", "v", "floors"]
+    first = keyed_join(pairs.select("chunk", "lane"), held, ["chunk"], right_size=measure(held))
+    then = keyed_join(pairs, blocks, ["lane"], right_size=measure(blocks)).filter(F.col("longest") >= F.col("reach"))
+    both = first.withColumns({"kind": F.lit(0), "floors": F.lit(None).cast("binary")}).select(*columns).unionByName(
+        then.withColumn("kind", F.lit(1)).select(*columns)
     )
-    return both.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(
-        run, "row bigint, query_id bigint, vec_id bigint, score bigint"
+    # numbered partitions are not merged by their bytes, which say little of the work in them
+    n = pairs.count()
+    tasks = max(min(n, max(int(both.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // PAIRS)), 1)
+    return both.repartition(tasks, "chunk", "lane").sortWithinPartitions("chunk", "lane", "kind").mapInArrow(
+        run, "row bigint, query_id bigint, vec_id bigint, score bigint, task bigint"
     )
 
 
@@ -238,7 +280,9 @@ def top_k(
     All vectors are sorted by falling length, by ranges, into chunks.  Every query block first
     meets the chunk of the longest vectors; the k-th score there is the floor under which
     nothing later counts.  Then a block goes only to chunks with vectors long enough for one of
-    its queries.  A task holds one chunk and one query block at a time.  The best of each chunk,
+    its queries.  Blocks come in lanes, and each lane meets a chunk in a place of its own, so a
+    chunk that all queries ask, as the first, is not the work of one task.  A task holds one chunk
+    and one query block at a time.  The best of each chunk,
     at most ``k`` a query, are ranked in the end.
 
     Vectors that are null or hold a null or non-finite component take no part, nor do rows
@@ -266,12 +310,17 @@ def top_k(
     plain = rows.withColumns({"floor": F.lit(NONE + 1), "reach": F.lit(0.0)})
     dealt = plain.repartitionByRange(-(-n // size), *order).sortWithinPartitions(*order)
     chunks = pack(dealt, size, width, "chunks").withColumn("chunk", F.col("part") * (1 << 20) + F.col("seq"))
-    lengths = chunks.select("chunk", "longest").orderBy("chunk").collect()  # one number per chunk
-    first = lengths[0]["chunk"]
+    first = chunks.agg(F.min("chunk")).first()[0]
+    longest = chunks.filter(F.col("chunk") == first).select("chunk", "longest")
+    others = chunks.filter(F.col("chunk") != first)
 
     asked = plain.filter(F.col("id") % every == 0)
-    queries = pack(asked, QUERY_ROWS, width, "queries").withColumn("chunk", F.lit(first))
-    head = materialize(meet(chunks.filter(F.col("chunk") == first), queries, k, width, basis, m), "head")
+    queries = pack(asked, QUERY_ROWS, width, "queries")
+    lanes = max(-(-queries.count() // TOGETHER), 1)
+    queries = queries.withColumn("lane", F.pmod(F.xxhash64("part", "seq"), F.lit(lanes)))
+    every_lane = queries.select("lane").distinct().withColumn("chunk", F.lit(first))
+    opened = keyed_join(every_lane, longest, ["chunk"], right_size=Size(1, 16))
+    head = materialize(meet(chunks.filter(F.col("chunk") == first), queries, opened, k, width, basis, m), "head")
     floors = head.groupBy("row").agg(F.count("*").alias("found"), F.min("score").alias("kth"))
     floor = F.when(F.col("found") >= k, F.col("kth")).otherwise(F.lit(NONE + 1))
     # the length that a vector needs for the floor, with room for rounding
@@ -282,12 +331,11 @@ def top_k(
         asked.drop("floor", "reach").join(floors, "row", "left").withColumn("floor", floor).withColumn("reach", reach)
         .repartitionByRange("reach", "row").sortWithinPartitions("reach", "row")
     )
-    known = "[" + ",".join(f'{{"chunk":{r["chunk"]},"longest":{r["longest"]!r}}}' for r in lengths[1:]) + "]"
-    others = F.from_json(F.lit(known), "array<struct<chunk:bigint,longest:double>>")
     sent = pack(again, QUERY_ROWS, width, "queries").withColumn(
-        "chunk", F.explode(F.transform(F.filter(others, lambda c: c["longest"] >= F.col("reach")), lambda c: c["chunk"]))
+        "lane", F.col("part") * (1 << 20) + F.floor(F.col("seq") / TOGETHER)
     )
-    tail = meet(chunks.filter(F.col("chunk") != first), sent, k, width, basis, m)
+    pairs = materialize(reached(sent.groupBy("lane").agg(F.min("reach").alias("reach")), others.select("chunk", "longest")), "pairs")
+    tail = meet(others, sent, pairs, k, width, basis, m)
     place = Window.partitionBy("row").orderBy(F.desc("score"), F.asc("vec_id"))
     return (
         head.unionByName(tail)

@@ -47,6 +47,28 @@ def test_against_brute_force(spark, monkeypatch, chunk):
     assert result(top_k.top_k(frame(spark, rows), chunk_rows=chunk)) == brute(rows)
 
 
+def test_first_chunk_is_shared_by_tasks(spark, monkeypatch):
+    monkeypatch.setattr(top_k, "LEAST_CHUNK_ROWS", 1)
+    monkeypatch.setattr(top_k, "QUERY_ROWS", 4)
+    monkeypatch.setattr(top_k, "TOGETHER", 1)
+    met, seen = top_k.meet, []
+    monkeypatch.setattr(top_k, "meet", lambda *a: seen.append(met(*a)) or seen[-1])
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(rng.normal(size=(600, 4)))]
+    assert result(top_k.top_k(frame(spark, rows), k=5, every=2, chunk_rows=50)) == brute(rows, 5, 2)
+    assert seen[0].select("task").distinct().count() > 1
+
+
+def test_lanes_reach_the_chunks_that_are_long_enough(spark):
+    reach = [0.0, 1e-300, 0.7, 1.0, 1.0000001, 3.0, 9.0, float("inf")] + [1.0] * 40
+    longest = [0.0, 0.7, 1.0, 1.0, 3.0, 8.0, 1e200]
+    lanes = spark.createDataFrame(list(enumerate(reach)), "lane bigint, reach double")
+    lengths = spark.createDataFrame(list(enumerate(longest)), "chunk bigint, longest double")
+    found = sorted((r["lane"], r["chunk"]) for r in top_k.reached(lanes, lengths).collect())
+    assert found == [(a, b) for a, x in enumerate(reach) for b, y in enumerate(longest) if y >= x]
+    assert top_k.reached(lanes, lengths.limit(0)).count() == 0
+
+
 def test_few_rows_and_large_numbers(spark):
     rows = [(0, [1e12, 2.0]), (20, [3e12, -1.0]), (1, [1.0, 1.0]), (2, [-1.0, 5e11])]
     plain = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
