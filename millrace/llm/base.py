@@ -116,16 +116,38 @@ def small_parts(batches: Iterable[pa.RecordBatch], column: int, most: int) -> It
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
-    """Arrow batches of at most ``rows`` rows for the jobs within: less is held on both sides of a
-    Python worker's pipe.  The session's own setting comes back at the end; results are the same with any."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+def small_batches(spark: SparkSession, rows: int = 1000, most: int = 4 << 20) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows and some ``most`` bytes for the jobs within: less is held on
+    both sides of a Python worker's pipe.  The session's own settings come back at the end; results are the
+    same with any."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": most}
+    before = {name: spark.conf.get(name, None) for name in wanted}  # older versions have no bound in bytes
+    before = {name: value for name, value in before.items() if value is not None}
+    for name, value in before.items():
+        now = int(value.lower().rstrip("b"))
+        spark.conf.set(name, str(min(wanted[name], now) if now > 0 else wanted[name]))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+_MODEL: list = [None, None]
+
+
+def model_of(make: Callable | None = None, *given: object) -> object:
+    """``make(*given)``, kept for this worker's next tasks that ask for the same.
+
+    A worker goes on from one operator to the next and keeps the model of one only: what another
+    operator left goes first.  Operators without a model call this with nothing.
+    """
+    if _MODEL[0] != (make, *given):
+        _MODEL[:] = [None, None]
+        give_back()
+        if make is not None:
+            _MODEL[:] = [(make, *given), make(*given)]
+    return _MODEL[1]
 
 
 def give_back() -> None:

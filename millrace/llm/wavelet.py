@@ -19,31 +19,63 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import give_back, open_file, put_file, slices, small_parts, split_words, with_ends
+from millrace.llm.base import give_back, model_of, open_file, put_file, slices, small_batches, small_parts, split_words, with_ends
 from millrace.session import materialize, scratch_path
 
 MAGIC = b"WVMX1\0"
 BLOCK_BYTES = 1 << 16
+STEP = 1 << 18
 SHARD_TOKENS = 4 << 20
 ENCODE_BYTES = 4 << 20
-KNOWN_WORDS = 1_300_000
+KNOWN_WORDS = 300_000
 LINE_WORDS = 256
+#: Lines, and bytes of single words, in a call of the library; its answers take many times their room.
+LINES, CALL_BYTES = 16, 1 << 16
 #: Signs that words end in; an apostrophe may belong to letters.
 SIGNS = b"!#$%&()*+,-./:;=?@[]^_{|}~"
 CUT_PROBE_PARTS = ["word", "." + SIGNS.decode(), " ", "\u00e9t\u00e9", ",,,", " ", "x", "!?"]
 CUT_PROBE = "".join(CUT_PROBE_PARTS)
 END_WORD = b""  # no word is empty
+NOTHING = None  # in place of signs
 READ_TASKS = 20_000
 
 
 # one shard as bytes
 
 
+def parted(seq: np.ndarray, bit: np.ndarray, zeros: int) -> np.ndarray:
+    """Values without the bit, then those with it, each in their order.
+
+    Places of ``STEP`` values at a time are taken: a mask costs numpy three times as much.
+    """
+    out, low, high = np.empty_like(seq), 0, zeros
+    for a in range(0, len(seq), STEP):
+        some, has = seq[a : a + STEP], bit[a : a + STEP]
+        without, having = np.flatnonzero(~has), np.flatnonzero(has)
+        out[low : low + len(without)] = some.take(without)
+        out[high : high + len(having)] = some.take(having)
+        low, high = low + len(without), high + len(having)
+    return out
+
+
+def folded(seq: np.ndarray, bit: np.ndarray, zeros: int, value: int) -> np.ndarray:
+    """What ``parted`` was given, with ``value`` added where the bit is."""
+    out, low, high = np.empty_like(seq), 0, zeros
+    for a in range(0, len(seq), STEP):
+        some, has = out[a : a + STEP], bit[a : a + STEP]
+        without, having = np.flatnonzero(~has), np.flatnonzero(has)
+        some[without] = seq[low : low + len(without)]
+        some[having] = seq[high : high + len(having)] | seq.dtype.type(value)
+        low, high = low + len(without), high + len(having)
+    return out
+
+
 def build(ids: np.ndarray, doc_ids: pa.Array, lengths: np.ndarray) -> Iterator[bytes]:
     """The parts of a shard file."""
     packer = zstandard.ZstdCompressor(level=1)
@@ -57,7 +89,9 @@ def build(ids: np.ndarray, doc_ids: pa.Array, lengths: np.ndarray) -> Iterator[b
         end += len(blobs[-1])
         return end - len(blobs[-1]), len(blobs[-1])
 
-    counts = np.bincount(ids, minlength=1)
+    counts = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
+    for a in range(0, len(ids), STEP):
+        counts += np.bincount(ids[a : a + STEP], minlength=len(counts))
     alphabet = np.flatnonzero(counts)
     alphabet = alphabet[np.argsort(-counts[alphabet], kind="stable")]
     kind = np.uint16 if len(alphabet) <= 1 << 16 else np.uint32
@@ -75,7 +109,7 @@ def build(ids: np.ndarray, doc_ids: pa.Array, lengths: np.ndarray) -> Iterator[b
             "ones_before": np.cumsum([0, *ones])[:-1].tolist(),
             "blocks": [keep(packed[c : c + BLOCK_BYTES].tobytes()) for c in cuts],
         })
-        seq = np.concatenate([seq[~bit], seq[bit]])
+        seq = parted(seq, bit, planes[-1]["zeros"])
     sink = pa.BufferOutputStream()
     docs = pa.record_batch([doc_ids, pa.array(lengths, pa.int64())], ["doc", "n"])
     with pa.ipc.new_stream(sink, docs.schema) as out:
@@ -127,10 +161,7 @@ class Shard:
         for shift, plane in enumerate(reversed(range(len(self.planes)))):
             blocks = [self._read_block(plane, b) for b in range(len(self.planes[plane]["blocks"]))]
             bit = np.unpackbits(np.concatenate(blocks), count=self.tokens).view(bool)
-            zeros, above = self.planes[plane]["zeros"], np.empty_like(seq)
-            above[~bit] = seq[:zeros]
-            above[bit] = seq[zeros:] | kind(1 << shift)
-            seq = above
+            seq = folded(seq, bit, self.planes[plane]["zeros"], 1 << shift)
         return self.alphabet[seq] if self.tokens else np.zeros(0, np.uint32)
 
     def _ones(self, plane: int, place: int) -> int:
@@ -224,11 +255,11 @@ class Shard:
 class WordIds:
     """Ids of texts with a tokenizer whose tokens never reach over white space.
 
-    A text is cut at ASCII white space; each different word goes through the library once while
-    it is remembered.
+    A text is cut at ASCII white space; each different word, without signs at its end, goes through the
+    library once while it is remembered.
     """
 
-    def __init__(self, path: str, end: int) -> None:
+    def __init__(self, path: str, end: int, room: int | None = None) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -238,9 +269,8 @@ class WordIds:
         self.model.no_padding()
         self.model.no_truncation()
         self.lowers = "Lowercase" in str(self.model.normalizer)
-        self.added_have_signs = not any(t.content.isalpha() for t in self.model.get_added_tokens_decoder().values())
-        self.added = [t.content.encode().lower() for t in self.model.get_added_tokens_decoder().values()]
-        self.end = end
+        self.added = [t.content.encode().lower().decode() for t in self.model.get_added_tokens_decoder().values()]
+        self.end, self.room = end, KNOWN_WORDS if room is None else room
         suffix = getattr(self.model.model, "end_of_word_suffix", None)
         #: by id, whether a token ends a word; None if the tokenizer does not mark it
         self.closes = None
@@ -249,24 +279,29 @@ class WordIds:
             names = (self.model.id_to_token(i) or "" for i in range(self.model.get_vocab_size()))
             self.closes = np.fromiter((n.endswith(suffix) for n in names), bool, self.model.get_vocab_size())
         self.forget()
+        self.remember([END_WORD, NOTHING], np.array([1, 0]), np.array([self.end], np.uint32))
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known: dict[bytes | None, int] = {}
+        self.odd: set[bytes] = set()
         self.count = 0
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.starts, self.sizes = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
-        self.remember([END_WORD], np.array([1]), np.array([self.end], np.uint32))
-
-    def form(self, word: bytes) -> bytes:
-        """What is encoded for a word: words that differ in ASCII capitals only share a form, as a
-        tokenizer that lower-cases reads them alike.  Added tokens are matched by case before that,
-        so a word that would hold one in lower case stays as it is."""
-        if not (self.lowers and word.isascii()):
-            return word
-        lower = word.lower()
-        if self.added_have_signs and lower.isalpha():
-            return lower
-        return word if any(t in lower for t in self.added) else lower
+        self.starts, self.sizes, self.uses = (np.zeros(1 << 14, np.int32) for _ in range(3))
+
+    def make_room(self) -> None:
+        """Forget the units that the fewest parts of text had, so that at most half the room is taken."""
+        units, at = list(self.known), np.fromiter(self.known.values(), np.int64, len(self.known))
+        self.uses[[self.known[END_WORD], self.known[NOTHING]]] = np.iinfo(np.int32).max
+        uses = self.uses[at]
+        least = 2
+        while (uses >= least).sum() > max(self.room // 2, 2):
+            least *= 2
+        kept = np.flatnonzero(uses >= least)
+        sizes, flat, odd = self.sizes[at[kept]], self.gathered(at[kept])[0], self.odd
+        self.forget()
+        self.remember([units[i] for i in kept.tolist()], sizes, flat)
+        self.odd = odd.intersection(self.known)
+        self.uses[: self.count] = uses[kept] // 2
 
     def one_run(self, word: bytes) -> bool:
         """Whether a word is letters only, and stays so when the tokenizer has normalised it."""
@@ -275,34 +310,62 @@ class WordIds:
         text = word.decode()
         return text.isalpha() and text.lower().isalpha() and unicodedata.is_normalized("NFC", text)
 
-    def learn(self, words: set[bytes]) -> None:
-        """Encode new words, each form once.
+    def units(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """What is encoded for words: each one's form, or letters and the signs after them apart.
+
+        Words that differ in ASCII capitals only share a form, as a tokenizer that lower-cases reads them
+        alike.  Added tokens are matched by case before that, so a word that would hold one in
+        lower case stays as it is, whole.
+        """
+        if not len(words):
+            return words, words
+        lower = pc.ascii_lower(words)
+        added = pa.array(np.zeros(len(words), bool))
+        for token in self.added:
+            added = pc.or_(added, pc.match_substring(lower, token))
+        form = words
+        if self.lowers:
+            form = pc.if_else(pc.and_not(pc.string_is_ascii(words), added), lower, words)
+        letters = pc.ascii_rtrim(form, characters=SIGNS.decode())
+        size, whole = pc.binary_length(letters), pc.binary_length(form)
+        cut = pc.and_(pc.and_not(pc.less(size, whole), added), pc.utf8_is_alpha(letters))
+        cut = np.asarray(cut) if self.closes is not None else np.zeros(len(words), bool)
+        signs = np.where(cut, np.asarray(whole) - np.asarray(size), 0)
+        ends = np.frombuffer(form.buffers()[1], np.int32, len(form) + 1, 4 * form.offset)[1:].astype(np.int64)
+        through = np.cumsum(signs)
+        places = np.repeat(ends - through, signs) + np.arange(int(signs.sum()))
+        text = np.frombuffer(form.buffers()[2], np.uint8) if len(places) else np.zeros(0, np.uint8)
+        offsets = np.concatenate([[0], through]).astype(np.int32)
+        tails = pa.Array.from_buffers(pa.string(), len(signs), [None, pa.py_buffer(offsets), pa.py_buffer(text[places])])
+        return pc.if_else(pa.array(cut), letters, form), tails
+
+    def places(self, units: pa.Array) -> np.ndarray:
+        """Where units are remembered; new ones are learned."""
+        told = units.dictionary_encode()
+        distinct = told.dictionary.cast(pa.binary()).to_pylist()
+        place = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(place < 0).tolist()
+        if new:
+            self.learn([distinct[i] for i in new])
+            place[new] = [self.known[distinct[i]] for i in new]
+        self.uses[place] += 1
+        return place[np.asarray(told.indices)]
+
+    def learn(self, units: list[bytes]) -> None:
+        """Encode new units, each once.
 
         Letters are encoded many words to a line: one by one, the library spends more on each call than
-        on the word; a token that ends a word tells where the next begins.  Letters that signs follow are
-        put together from both parts, as no token holds letters and signs.  Both hold for a
+        on the word; a token that ends a word tells where the next begins.  That holds for a
         tokenizer that marks ends of words and cuts between letters and signs; it is tried out on
-        every line and on ``CUT_PROBE`` once, else words are encoded one by one.
+        every line and on ``CUT_PROBE`` once, else words are encoded one by one, and are ``odd``.
         """
-        form = {w: self.form(w) for w in words}
-        alone, letters, parts = [], [], {}
-        for w in set(form.values()).difference(self.known):
-            if self.closes is None:
-                alone.append(w)
-            elif self.one_run(w):
-                letters.append(w)
-            else:
-                head = w.rstrip(SIGNS)
-                if 0 < len(head) < len(w) and self.one_run(head):
-                    parts[w] = (self.form(head), w[len(head) :])
-                else:
-                    alone.append(w)
-        heads = {h for h, _ in parts.values()}
-        letters += heads.difference(letters, self.known)
-        alone += {t for _, t in parts.values()}.difference(alone, self.known)
+        alone, letters = [], []
+        for w in units:
+            (letters if self.closes is not None and (w.isalpha() or self.one_run(w)) else alone).append(w)
+        self.odd.update(w for w in alone if not w.isascii())
         lines = [letters[i : i + LINE_WORDS] for i in range(0, len(letters), LINE_WORDS)]
-        for i in range(0, len(lines), LINE_WORDS):
-            some = lines[i : i + LINE_WORDS]
+        for i in range(0, len(lines), LINES):
+            some = lines[i : i + LINES]
             found = self.model.encode_batch_fast([b" ".join(x).decode() for x in some], add_special_tokens=False)
             for line, encoded in zip(some, found, strict=True):
                 ids = np.array(encoded.ids, np.uint32)
@@ -311,14 +374,11 @@ class WordIds:
                     self.remember(line, np.diff(ends, prepend=0), ids)
                 else:
                     alone += line
-        for a, b in slices(map(len, alone), ENCODE_BYTES):
+                    self.odd.update(line)
+        for a, b in slices(map(len, alone), CALL_BYTES):
             found = [x.ids for x in self.model.encode_batch_fast([w.decode() for w in alone[a:b]], add_special_tokens=False)]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             self.remember(alone[a:b], sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
-        if parts:
-            both = np.array([(self.known[h], self.known[t]) for h, t in parts.values()]).ravel()
-            self.remember(list(parts), self.sizes[both].reshape(-1, 2).sum(1), self.gathered(both)[0])
-        self.known.update((w, self.known[f]) for w, f in form.items() if w != f)
 
     def remember(self, new: list[bytes], sizes: np.ndarray, flat: np.ndarray) -> None:
         n, end = self.count, self.used + len(flat)
@@ -326,8 +386,9 @@ class WordIds:
             self.flat = np.concatenate([self.flat, np.zeros(end, np.uint32)])
         if n + len(new) > len(self.starts):
             more = n + len(new)
-            self.starts = np.concatenate([self.starts, np.zeros(more, np.int32)])
-            self.sizes = np.concatenate([self.sizes, np.zeros(more, np.int32)])
+            self.starts, self.sizes, self.uses = (
+                np.concatenate([x, np.zeros(more, np.int32)]) for x in (self.starts, self.sizes, self.uses)
+            )
         self.flat[self.used : end] = flat
         self.sizes[n : n + len(new)] = sizes
         self.starts[n : n + len(new)] = self.used + np.cumsum(sizes) - sizes
@@ -342,24 +403,40 @@ class WordIds:
         return self.flat[np.repeat(self.starts[at] - through + sizes, sizes) + np.arange(total, dtype=np.int32)], through
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of a string column with the end id after each text, and the count of each text."""
-        if len(self.known) > KNOWN_WORDS:
-            self.forget()
-        split = split_words(texts, lower=False)
-        words = split.distinct.to_pylist()
-        place = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
-        new = np.flatnonzero(place < 0).tolist()
-        self.learn({words[i] for i in new})
-        place[new] = [self.known[words[i]] for i in new]
-        at = with_ends(place[split.at], split.sizes, self.known[END_WORD])
-        ids, through = self.gathered(at)
-        ends = through[np.cumsum(split.sizes + 1) - 1]
-        return ids, np.diff(ends, prepend=0).astype(np.int64)
+        """All ids of a string column with the end id after each text, and the count of each text.
 
-
-@lru_cache(maxsize=1)
-def word_ids(path: str, end: int) -> WordIds:
-    return WordIds(path, end)
+        Letters that signs follow are put together from both parts, as no token holds letters and signs.
+        """
+        if len(self.known) > self.room:
+            self.make_room()
+        split = split_words(texts, lower=False)
+        words = split.distinct.cast(pa.string())
+        heads, tails = self.units(words)
+        at = np.stack([self.places(heads), np.full(len(words), self.known[NOTHING])], 1)
+        cut = np.flatnonzero(np.asarray(pc.binary_length(tails)))
+        if self.odd:  # letters to Arrow, but not as the tokenizer takes them: encoded with their signs
+            odd = pa.array([w.decode() for w in self.odd], pa.string())
+            strange = np.asarray(pc.is_in(heads.take(cut), odd))
+            both = cut[strange]
+            at[both, 0] = self.places(pc.binary_join_element_wise(heads.take(both), tails.take(both), ""))
+            cut = cut[~strange]
+        at[cut, 1] = self.places(tails.take(cut))
+        # words of this batch, and last the end
+        known, through = self.gathered(np.append(at.ravel(), self.known[END_WORD]))
+        ends = np.append(through[1::2], len(known))
+        sizes = np.diff(ends, prepend=0)
+        said = with_ends(split.at, split.sizes, len(words))
+        long = sizes[said]
+        until = np.cumsum(long, dtype=np.int64)
+        total = int(until[-1]) if len(until) else 0
+        place = np.int32 if max(total, len(known)) < 1 << 31 else np.int64
+        at = np.repeat(((ends - sizes)[said] - until + long).astype(place), long)
+        at += np.arange(total, dtype=place)
+        return known.take(at), np.diff(until[np.cumsum(split.sizes + 1) - 1], prepend=0)
+
+
+def word_ids(path: str, end: int, room: int | None = None) -> WordIds:
+    return model_of(WordIds, path, end, room)
 
 
 # jobs
@@ -373,6 +450,8 @@ def write_shards(
     shard_tokens: int = SHARD_TOKENS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    part_bytes: int = ENCODE_BYTES,
+    room: int | None = None,
 ) -> DataFrame:
     """Write the ids of every whole text, in ascending id order, to shard files in ``folder``.
 
@@ -383,29 +462,34 @@ def write_shards(
 
     A null text is empty and has only the end id.  Null ids come first; rows that share an id
     follow one another in the order of a hash of their text.  An empty table writes no shard.
+
+    ``part_bytes`` of text are encoded at once, and ``room`` words are remembered (``KNOWN_WORDS``): less
+    takes less memory and more time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = word_ids(tokenizer, end_id), TaskContext.get().partitionId()
+        encoder, part = word_ids(tokenizer, end_id, room), TaskContext.get().partitionId()
         held, names, counts, size, seq = [], [], [], 0, 0
 
         def close() -> pa.RecordBatch:
             path = f"{folder}/shard-{part:07d}-{seq:05d}.wvm"
-            lengths = np.concatenate(counts)
-            data = build(np.concatenate(held), pa.concat_arrays(names), lengths)
+            lengths, ids = np.concatenate(counts), np.concatenate(held)
+            held.clear()
+            data = build(ids, pa.concat_arrays(names), lengths)
             written = put_file(path, data)
             row = [[part], [seq], [path], [len(lengths)], [int(lengths.sum())], [written]]
             return pa.RecordBatch.from_arrays([pa.array(x) for x in row], manifest)
 
         manifest = ["part", "seq", "path", "n_docs", "n_tokens", "bytes"]
-        for part_of in small_parts(batches, 1, min(ENCODE_BYTES, 2 * shard_tokens)):
+        for part_of in small_parts(batches, 1, min(part_bytes, 2 * shard_tokens)):
             ids, lengths = encoder.encode(part_of.column(1))
-            held.append(ids)
+            held.append(ids.astype(np.uint16) if ids.max(initial=0) < 1 << 16 else ids)
             names.append(part_of.column(0))
             counts.append(lengths)
             size += len(ids)
             if size >= shard_tokens:
                 yield close()
+                give_back()
                 held, names, counts, size, seq = [], [], [], 0, seq + 1
         if size:
             yield close()
@@ -422,7 +506,8 @@ def write_shards(
     )
     shape = "part bigint, seq bigint, path string, n_docs bigint, n_tokens bigint, bytes bigint"
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    manifest = materialize(rows.mapInArrow(run, shape), "shards")
+    with small_batches(docs.sparkSession, 10_000, part_bytes):
+        manifest = materialize(rows.mapInArrow(run, shape), "shards")
     return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
@@ -435,6 +520,7 @@ def read_documents(manifest: DataFrame, id_type: str = "bigint", id_col: str = "
     """``doc_id, start, n_tokens, ids_crc32`` of every document, decoded from the shard files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_of()
         for batch in batches:
             for path, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 shard = Shard(path)
@@ -479,9 +565,9 @@ def count_token(manifest: DataFrame, token: int) -> int:
 
 def token_digest(
     docs: DataFrame, tokenizer: str, end_id: int = 1, shard_tokens: int = SHARD_TOKENS,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", part_bytes: int = ENCODE_BYTES, room: int | None = None,
 ) -> DataFrame:
     """Encode and write all documents, read the shards back, and report each document."""
     folder = scratch_path(docs.sparkSession, "token-shards")
-    manifest = write_shards(docs, tokenizer, folder, end_id, shard_tokens, id_col, text_col)
+    manifest = write_shards(docs, tokenizer, folder, end_id, shard_tokens, id_col, text_col, part_bytes, room)
     return read_documents(manifest, docs.schema[id_col].dataType.simpleString(), id_col)

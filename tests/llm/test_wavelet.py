@@ -32,6 +32,32 @@ def test_words_encode_as_the_whole_text(plain, text):
     assert sizes.tolist() == [len(ids) - 1, 1]
 
 
+def test_little_memory_for_words_changes_no_ids(plain):
+    encoder = wavelet.WordIds(WORDS, 1, room=6)
+    texts = ["the the. cat, İx. ε\u0301é! a1.", "the İx. İx dog, dog; dog", "ΣΣ. the cat. e\u0301. É, x'S. <|endoftext|>. <|ENDOFTEXT|>."] * 4
+    for text in texts:
+        ids, _ = encoder.encode(pa.array([text], pa.string()))
+        assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 1]
+        assert len(encoder.known) < 6 + 20
+
+
+def test_letters_are_encoded_once_whatever_signs_follow(monkeypatch):
+    encoder, learned = wavelet.WordIds(WORDS, 1), []
+    learn = wavelet.WordIds.learn
+    monkeypatch.setattr(wavelet.WordIds, "learn", lambda self, units: (learned.extend(units), learn(self, units)))
+    encoder.encode(pa.array(["Word word, WORD; word. (word) été. été!"], pa.string()))
+    assert sorted(learned) == sorted([b"word", "été".encode(), b",", b";", b".", b"!", b"(word)"])
+
+
+def test_a_worker_keeps_one_model():
+    from millrace.llm import base
+
+    first = wavelet.word_ids(WORDS, 1)
+    assert wavelet.word_ids(WORDS, 1) is first
+    base.model_of()
+    assert base._MODEL == [None, None] and wavelet.word_ids(WORDS, 1) is not first
+
+
 @pytest.mark.parametrize("text", [
     "<|ENDOFTEXT|>", "<|EndOfText|>", "aB<|ENDOFTEXT|>c Word WORD", "<|STARTOFTEXT|><|endoftext|>",
     "<|endoftext|> <|ENDOFTEXT|> <|endoftext|>X", "X<|EndOfText|> x<|endoftext|>",
