@@ -124,8 +124,9 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text has its end token only; rows without an id come first, rows that share one
     follow one another by text, repeated rows are written each.  Without rows there are no shards.
+    Little text at once and few remembered words: the stages before have filled the executors' memory.
     """
-    return token_digest(docs, tokenizer_file("word_bpe_49k.json"))
+    return token_digest(docs, tokenizer_file("word_bpe_49k.json"), part_bytes=1 << 20, room=60_000)
 
 
 def shipped(stage: Stage) -> Stage:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.base import slices, small_parts, utf8
+from millrace.llm.base import give_back, model_of, slices, small_batches, small_parts, utf8
 from millrace.operators.joins import fits_broadcast, measure
 from millrace.session import materialize
 
@@ -130,12 +130,14 @@ def shingle_counts(docs: DataFrame, filters: dict[int, Bitmap], text_col: str) -
     """``key, seen`` over all documents, for the shingles that pass; added up in tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_of()
         for batch in batches:
             found = []
             for part in small_parts([batch], 0, BATCH_BYTES):
                 found += [keys for _, _, keys in _finds(utf8(part.column(0)), filters)[1]]
             keys, seen = np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(seen)], ["key", "seen"])
+        give_back()
 
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "key bigint, seen bigint")
     return counted.groupBy("key").agg(F.sum("seen").alias("seen"))
@@ -166,6 +168,13 @@ def find_items(
     each; repeated items count once; an item without an id marks words but is not counted.
     Either table may be empty.  Other columns are ignored.
     """
+    with small_batches(docs.sparkSession, 10_000):
+        return _find_items(docs, items, window, id_col, text_col, item_id_col, item_text_col)
+
+
+def _find_items(
+    docs: DataFrame, items: DataFrame, window: int, id_col: str, text_col: str, item_id_col: str, item_text_col: str
+) -> DataFrame:
     windows = materialize(item_windows(items, window, item_id_col, item_text_col), "windows")
     sizes = [r["size"] for r in windows.select("size").distinct().collect()]
     keys = windows.select("size", F.explode("keys").alias("key"))
@@ -184,6 +193,7 @@ def find_items(
     chosen = {s: Bitmap.of(prefixes.filter(F.col("size") == s), "key") for s in sizes}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_of()
         for batch in batches:
             for part in small_parts([batch], 2, BATCH_BYTES):
                 split, finds = _finds(utf8(part.column(2)), chosen)
@@ -207,6 +217,7 @@ def find_items(
                             ],
                             columns,
                         )
+        give_back()
 
     columns = ["row", "id", "n_words", "key", "place", "before", "near"]
     rows = docs.select(

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import give_back, small_batches, small_parts, split_words
+from millrace.llm.base import give_back, model_of, small_batches, small_parts, split_words
 from millrace.operators.joins import fits_broadcast, keyed_join, measure
 from millrace.session import materialize, release
 
@@ -90,6 +90,7 @@ def signatures(docs: DataFrame, size: int, n: int) -> DataFrame:
     """``id, n_shingles, set_key, bands`` of every row of ``docs(id, text)``; no key without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_of()
         for part in small_parts(batches, 1, BATCH_BYTES):
             sizes, keys, bands = [], [], []
             for items in text_sets(part.column(1), size):
@@ -115,6 +116,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``cls, items`` for the classes of ``wanted(cls, rep, set_key)``: the set as sorted bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_of()
         for part in small_parts(batches, 2, BATCH_BYTES):
             keys, same, sets = part.column(1).to_pylist(), [], []
             for i, items in enumerate(text_sets(part.column(2), size)):

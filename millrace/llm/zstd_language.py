@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import groupby
 
 import pyarrow as pa
@@ -11,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import give_back, held_out, unused
+from millrace.llm.base import give_back, held_out, model_of, unused
 
 #: Bounds of what is fitted: this many languages, sampled rows of each, this much of a row, this
 #: much in all.  A dictionary is full with fewer than all sampled rows, as rows are seldom short; a
@@ -118,7 +117,6 @@ class Classifier:
         return lang, 1 - best / second
 
 
-@lru_cache(maxsize=2)
 def classifier(dictionaries: tuple[tuple[str, bytes], ...]) -> Classifier:
     return Classifier(dict(dictionaries))
 
@@ -129,7 +127,7 @@ def language_of(text: Column, dictionaries: dict[str, bytes]) -> Column:
 
     @F.arrow_udf("lang string, margin double")
     def identify(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        decide = classifier(model)
+        decide = model_of(classifier, model)
         for texts in batches:
             found = [decide(t.as_py()) for t in texts]
             yield pa.StructArray.from_arrays(

@@ -71,3 +71,15 @@ def test_whole_table(spark):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     got = rows(queries.QUERIES["op7_decontaminate"](spark, SMALL), *COLUMNS)
     assert got == brute(docs, items) and any(r[-1] for r in got)
+
+
+def test_jobs_hold_few_bytes_at_once(spark, monkeypatch):
+    from millrace.llm import decontam
+
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, store = spark.conf.get(name), decontam.materialize
+    monkeypatch.setattr(decontam, "materialize", lambda df, *a: (seen.append(spark.conf.get(name)), store(df, *a))[1])
+    docs = documents(spark, [(1, "one two three", "en", "a"), (2, "four", "en", "a")])
+    got = find_items(docs, items_frame(spark, [("i", "two three")]))
+    assert rows(got, "doc_id", "n_hit") == [(1, 2), (2, 0)]
+    assert seen and {int(x) for x in seen} == {4 << 20} and spark.conf.get(name) == before
