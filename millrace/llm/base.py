@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -121,10 +121,13 @@ def small_batches(spark: SparkSession, rows: int = 1000, most: int = 4 << 20) ->
     both sides of a Python worker's pipe.  The session's own settings come back at the end; results are the
     same with any."""
     wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": most}
-    before = {name: spark.conf.get(name, None) for name in wanted}  # older versions have no bound in bytes
-    before = {name: value for name, value in before.items() if value is not None}
+    before = {}
+    for name in wanted:
+        with suppress(Exception):  # older versions have no bound in bytes
+            before[name] = spark.conf.get(name)  # given a default, this would pass over Spark's own
     for name, value in before.items():
-        now = int(value.lower().rstrip("b"))
+        plain = value.lower().rstrip("b")
+        now = int(plain) if plain.isdigit() else 0  # unbounded, or in other units
         spark.conf.set(name, str(min(wanted[name], now) if now > 0 else wanted[name]))
     try:
         yield
