@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager, suppress
 from dataclasses import dataclass
 from functools import lru_cache
@@ -14,8 +14,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from millrace.session import ship_package
+from millrace.session import empty_frame, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +42,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def driver_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """The driver's few rows as a frame.
+
+    Spark sends Python rows through Python workers of the executors, others than those of Arrow
+    functions; they and their daemon stay and keep their memory.  Arrow columns need none.
+    """
+    shape = StructType.fromDDL(schema)
+    if not rows:
+        return empty_frame(spark, shape)
+    columns = [pa.array(c) for c in zip(*rows, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, shape.names), shape)
+
+
 def tokenizer_file(name: str) -> str:
     """Place of a public tokenizer's file, the same on every machine."""
     import public_tokenizers

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import WORD
+from millrace.llm.base import WORD, driver_rows
 from millrace.operators.joins import keyed_join, measure
 from millrace.operators.keys import dense_ids
 from millrace.session import materialize
@@ -111,7 +111,7 @@ def draw_past_misfits(drawn: DataFrame, key_buckets: int) -> DataFrame:
     """
     spark = drawn.sparkSession
     rest = still_fit(drawn)
-    found = spark.createDataFrame([], "row bigint")
+    found = driver_rows(spark, [], "row bigint")
     while (n := rest.count()) > FINISH_ROWS:
         plan = rest.groupBy("source").agg(F.first("budget").alias("budget"))
         more = materialize(draw_prefix(rest.drop("budget"), plan, key_buckets), "mix-more")
@@ -124,7 +124,7 @@ def draw_past_misfits(drawn: DataFrame, key_buckets: int) -> DataFrame:
             if r["size"] <= gap:
                 left[r["source"]] = gap - r["size"]
                 taken.append((r["row"],))
-        found = found.unionByName(spark.createDataFrame(taken, "row bigint"))
+        found = found.unionByName(driver_rows(spark, taken, "row bigint"))
     return materialize(found, "mix-past")
 
 

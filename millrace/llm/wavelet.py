@@ -76,8 +76,12 @@ def folded(seq: np.ndarray, bit: np.ndarray, zeros: int, value: int) -> np.ndarr
     return out
 
 
-def build(ids: np.ndarray, doc_ids: pa.Array, lengths: np.ndarray) -> Iterator[bytes]:
-    """The parts of a shard file."""
+def build(ids: np.ndarray | list[np.ndarray], doc_ids: pa.Array, lengths: np.ndarray) -> Iterator[bytes]:
+    """The parts of a shard file.
+
+    Ids may come in a list of arrays that follow one another; it is emptied as they are taken, so that
+    ids and their codes are not both held whole.
+    """
     packer = zstandard.ZstdCompressor(level=1)
     blobs: list[bytes] = []
     end = 0
@@ -89,18 +93,28 @@ def build(ids: np.ndarray, doc_ids: pa.Array, lengths: np.ndarray) -> Iterator[b
         end += len(blobs[-1])
         return end - len(blobs[-1]), len(blobs[-1])
 
-    counts = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
-    for a in range(0, len(ids), STEP):
-        counts += np.bincount(ids[a : a + STEP], minlength=len(counts))
+    held = ids if isinstance(ids, list) else [ids]
+    tokens, largest = sum(map(len, held)), max((int(x.max(initial=0)) for x in held), default=0)
+    counts = np.zeros(largest + 1, np.int64)
+    for some in held:
+        for a in range(0, len(some), STEP):
+            counts += np.bincount(some[a : a + STEP], minlength=len(counts))
     alphabet = np.flatnonzero(counts)
     alphabet = alphabet[np.argsort(-counts[alphabet], kind="stable")]
     kind = np.uint16 if len(alphabet) <= 1 << 16 else np.uint32
     code = np.zeros(len(counts), kind)
     code[alphabet] = np.arange(len(alphabet))
-    seq = code[ids]
+    seq, at = np.empty(tokens, kind), 0
+    held.reverse()
+    while held:
+        some = held.pop()
+        np.take(code, some, out=seq[at : at + len(some)], mode="clip")  # else numpy holds the part twice
+        at += len(some)
     planes = []
     for shift in reversed(range(int(max(len(alphabet) - 1, 0)).bit_length())):
-        bit = (seq >> kind(shift) & kind(1)).astype(bool)
+        bit = np.empty(tokens, bool)
+        for a in range(0, tokens, STEP):
+            bit[a : a + STEP] = seq[a : a + STEP] >> kind(shift) & kind(1)
         packed = np.packbits(bit)
         cuts = range(0, len(packed), BLOCK_BYTES)
         ones = [int(np.bitwise_count(packed[c : c + BLOCK_BYTES]).sum()) for c in cuts]
@@ -115,7 +129,7 @@ def build(ids: np.ndarray, doc_ids: pa.Array, lengths: np.ndarray) -> Iterator[b
     with pa.ipc.new_stream(sink, docs.schema) as out:
         out.write_batch(docs)
     header = {
-        "tokens": len(ids),
+        "tokens": tokens,
         "alphabet": keep(alphabet.astype("<u4").tobytes()),
         "counts": keep(counts[alphabet].astype("<u8").tobytes()),
         "docs": keep(sink.getvalue().to_pybytes()),
@@ -154,15 +168,19 @@ class Shard:
         """Ids and token counts of the documents, in order."""
         return pa.ipc.open_stream(self._blob(self.docs_at)).read_next_batch()
 
-    def decode(self) -> np.ndarray:
-        """All tokens in order: the planes are folded back, last one first."""
+    def codes(self) -> np.ndarray:
+        """The places in ``alphabet`` of all tokens in order: the planes are folded back, last one first."""
         kind = np.uint16 if len(self.alphabet) <= 1 << 16 else np.uint32
         seq = np.zeros(self.tokens, kind)
         for shift, plane in enumerate(reversed(range(len(self.planes)))):
             blocks = [self._read_block(plane, b) for b in range(len(self.planes[plane]["blocks"]))]
             bit = np.unpackbits(np.concatenate(blocks), count=self.tokens).view(bool)
             seq = folded(seq, bit, self.planes[plane]["zeros"], 1 << shift)
-        return self.alphabet[seq] if self.tokens else np.zeros(0, np.uint32)
+        return seq
+
+    def decode(self) -> np.ndarray:
+        """All tokens in order."""
+        return self.alphabet[self.codes()] if self.tokens else np.zeros(0, np.uint32)
 
     def _ones(self, plane: int, place: int) -> int:
         """Ones before ``place``."""
@@ -473,9 +491,9 @@ def write_shards(
 
         def close() -> pa.RecordBatch:
             path = f"{folder}/shard-{part:07d}-{seq:05d}.wvm"
-            lengths, ids = np.concatenate(counts), np.concatenate(held)
-            held.clear()
-            data = build(ids, pa.concat_arrays(names), lengths)
+            lengths = np.concatenate(counts)
+            give_back()  # what encoding left, before the planes take theirs
+            data = build(held, pa.concat_arrays(names), lengths)
             written = put_file(path, data)
             row = [[part], [seq], [path], [len(lengths)], [int(lengths.sum())], [written]]
             return pa.RecordBatch.from_arrays([pa.array(x) for x in row], manifest)
@@ -524,18 +542,19 @@ def read_documents(manifest: DataFrame, id_type: str = "bigint", id_col: str = "
         for batch in batches:
             for path, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 shard = Shard(path)
-                docs, ids = shard.documents(), shard.decode().astype("<u4")
+                docs, codes, ids = shard.documents(), shard.codes(), shard.alphabet
                 lengths = docs.column(1).to_numpy()
                 ends = np.cumsum(lengths)
-                data = memoryview(ids.tobytes())
+                # ids of one document at a time: codes take half their room
                 crc = [
-                    zlib.crc32(data[4 * a : 4 * b])
+                    zlib.crc32(ids[codes[a:b]])
                     for a, b in zip((ends - lengths).tolist(), ends.tolist(), strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [docs.column(0), pa.array(start + ends - lengths), docs.column(1), pa.array(crc, pa.int64())],
                     ["id", "start", "n_tokens", "ids_crc32"],
                 )
+        give_back()
 
     shape = f"id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint"
     return _spread(manifest.select("path", "start")).mapInArrow(run, shape).withColumnRenamed("id", id_col)

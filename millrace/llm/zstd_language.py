@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import give_back, held_out, model_of, unused
+from millrace.llm.base import driver_rows, give_back, held_out, model_of, unused
 
 #: Bounds of what is fitted: this many languages, sampled rows of each, this much of a row, this
 #: much in all.  A dictionary is full with fewer than all sampled rows, as rows are seldom short; a
@@ -71,7 +71,8 @@ def fit_dictionaries(
     counts = given.groupBy("language").agg(F.count("*").alias("n"))
     most = counts.orderBy(F.desc("n"), "language").limit(LANGUAGES).collect()
     # hashes under a bound that some four times ``rows`` of a language will meet are ranked
-    limits = given.sparkSession.createDataFrame(
+    limits = driver_rows(
+        given.sparkSession,
         [(r["language"], min(4.0 * rows / r["n"], 1.0) * float(1 << 64) - float(1 << 63)) for r in most],
         "language string, bound double",
     )

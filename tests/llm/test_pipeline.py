@@ -55,6 +55,14 @@ def test_every_stage_against_brute_force(spark, tmp_path):
         assert df.columns == docs.columns and df.dtypes == docs.dtypes
 
 
+def test_no_rows_go_through_python_workers_of_their_own(spark, tmp_path, monkeypatch):
+    docs = stored(spark, documents(spark, [(i, f"word{i % 7} " * (i % 19 + 1), "en" if i % 2 else "de", "ab"[i % 2]) for i in range(80)]), tmp_path, "docs")
+    stages = dict(corpus_pipeline.STAGES)
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda *a: pytest.fail("Python rows"))
+    for name in ("language", "mixing"):
+        assert stages[name](spark, docs, SMALL).columns == docs.columns
+
+
 def test_odd_rows_and_clashing_columns(spark, tmp_path):
     benchmark = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog again and")], "item_id bigint, text string")
     benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
