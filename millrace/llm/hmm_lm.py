@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.base import held_out, slices, small_parts, split_words, with_ends
+from millrace.operators.joins import measure
 from millrace.session import materialize
 
 STATES = 6
@@ -30,7 +31,14 @@ HEAD_WORD_BYTES = 64
 TAIL_CLASSES = 4096
 TRAIN_WINDOW = 1024
 BATCH_BYTES = 4 << 20
+#: Tokens side by side at once: training keeps two weights of each state for each, scoring keeps none.
+TRAIN_TOKENS = 1 << 20
+SCORE_TOKENS = 1 << 22
+#: Steps after which state weights are scaled; a step makes them smaller by some 1e-12 at most.
+RESCALE = 8
 COUNTER_WORDS = 200_000
+#: Words and counts of a shuffle partition are looked up unsorted if they are no more than this.
+HASHED_BYTES = 64 << 20
 #: Share of an emission that follows the words' overall frequency.
 PRIOR_SHARE = 0.05
 END = b""  # no word is empty
@@ -64,75 +72,89 @@ class Classes(dict):
 # sequences side by side
 
 
-@dataclass(frozen=True)
-class Packed:
-    """Sequences laid out step by step, longest first: step t has the first ``live[t]`` of them."""
-
-    order: np.ndarray
-    live: np.ndarray
-    at: np.ndarray
-    slot: np.ndarray  # place in the layout of every token, in the sequences' own order
-
-    @classmethod
-    def of(cls, lengths: np.ndarray) -> Packed:
-        order = np.argsort(-lengths, kind="stable")
-        live = np.searchsorted(-lengths[order], -np.arange(int(lengths.max(initial=0))), side="left")
-        at = np.concatenate([[0], np.cumsum(live)])
-        rank = np.empty(len(lengths), np.int64)
-        rank[order] = np.arange(len(lengths))
-        step = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        return cls(order, live, at, at[step] + np.repeat(rank, lengths))
-
-
-def forward(packed: Packed, emitted: np.ndarray, model: Model, keep: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Scaled forward recursion: the scale of every token and, if kept, its state weights."""
-    scale = np.empty(len(emitted))
-    kept = np.empty_like(emitted) if keep else emitted[:0]
-    state = None
-    for t, n in enumerate(packed.live.tolist()):
-        here = slice(packed.at[t], packed.at[t] + n)
-        state = (model.start if state is None else state[:n] @ model.move) * emitted[here]
-        total = state.sum(1)
-        state /= total[:, None]
-        scale[here] = total
-        if keep:
-            kept[here] = state
-    return scale, kept
+def lanes(lengths: np.ndarray) -> tuple[np.ndarray, list[int], np.ndarray]:
+    """Sequences side by side, longest first: their order, how many of them have a step t, and the
+    places where they start, in that order."""
+    order = np.argsort(-lengths, kind="stable")
+    live = np.searchsorted(-lengths[order], -np.arange(int(lengths.max(initial=0))), side="left")
+    return order, live.tolist(), (np.cumsum(lengths) - lengths)[order]
+
+
+def ratios(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Log of the largest emission of every class, and emissions as shares of it: weights fall slowly."""
+    top = model.emit.max(1)
+    return np.log(top), model.emit / top[:, None]
 
 
 def expected_counts(
     tokens: np.ndarray, lengths: np.ndarray, model: Model
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Baum-Welch: expected starts, moves and emissions of some sequences, and their log likelihood."""
-    packed = Packed.of(lengths)
-    laid = np.empty_like(tokens)
-    laid[packed.slot] = tokens
-    emitted = model.emit[laid]
-    scale, ahead = forward(packed, emitted, model, keep=True)
-    emitted /= scale[:, None]
-    behind = np.ones_like(ahead)
-    for t in range(len(packed.live) - 2, -1, -1):
-        n, after = int(packed.live[t + 1]), packed.at[t + 1]
-        emitted[after : after + n] *= behind[after : after + n]
-        behind[packed.at[t] : packed.at[t] + n] = emitted[after : after + n] @ model.move.T
-    first = int(packed.live[0]) if len(packed.live) else 0
-    before = np.arange(first, len(tokens)) - np.repeat(packed.live[:-1], packed.live[1:])
-    moves = model.move * (ahead[before].T @ emitted[first:])
-    ahead *= behind
-    emissions = np.stack(
-        [np.bincount(laid, weights=ahead[:, k], minlength=len(model.emit)) for k in range(len(model.start))], 1
-    )
-    return ahead[:first].sum(0), moves, emissions, float(np.log(scale).sum())
+    k, (_, live, starts), (logs, ratio) = len(model.start), lanes(lengths), ratios(model)
+    at = np.concatenate([[0], np.cumsum(live, dtype=np.int64)]).tolist()
+    steps = [slice(a, a + n) for a, n in zip(at, live, strict=False)]
+    laid = np.empty(len(tokens), np.intp)  # step by step
+    for t, (n, here) in enumerate(zip(live, steps, strict=True)):
+        laid[here] = tokens[t:].take(starts[:n])
+    emitted = ratio.take(laid, axis=0)
+    ahead, last, fit = np.empty_like(emitted), np.empty(len(lengths)), 0.0
+    for t, (n, here) in enumerate(zip(live, steps, strict=True)):
+        state = ahead[here]
+        if t:
+            np.matmul(ahead[at[t - 1] : at[t - 1] + n], model.move, out=state)
+            state *= emitted[here]
+        else:
+            np.multiply(model.start, emitted[here], out=state)
+        if t % RESCALE == RESCALE - 1:
+            total = state.sum(1)
+            fit += np.log(total).sum()
+            state /= total[:, None]
+            emitted[here] /= total[:, None]
+        after = live[t + 1] if t + 1 < len(live) else 0
+        last[after:n] = state[after:].sum(1)
+    fit += np.log(last).sum() + logs.take(laid).sum()
+    back, moves, first = model.move.T.copy(), np.zeros((k, k)), live[0] if live else 0
+    behind, weighted, known = np.empty((first, k)), np.empty((first, k)), 0
+    for t in range(len(live) - 1, -1, -1):
+        n = live[t]
+        behind[known:n] = 1 / last[known:n, None]
+        known = n
+        if t:
+            np.multiply(emitted[steps[t]], behind[:n], out=weighted[:n])
+            moves += ahead[at[t - 1] : at[t - 1] + n].T @ weighted[:n]
+        ahead[steps[t]] *= behind[:n]
+        if t:
+            np.matmul(weighted[:n], back, out=behind[:n])
+    by_state = emitted.reshape(k, len(tokens))  # emissions are used up, their memory is not
+    by_state[:] = ahead.T
+    emissions = np.stack([np.bincount(laid, weights=w, minlength=len(model.emit)) for w in by_state], 1)
+    return ahead[:first].sum(0), model.move * moves, emissions, float(fit)
 
 
 def log_likelihoods(tokens: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
-    """Log probability of each whole class sequence."""
-    packed = Packed.of(lengths)
-    laid = np.empty_like(tokens)
-    laid[packed.slot] = tokens
-    scale, _ = forward(packed, model.emit[laid], model, keep=False)
-    owner = np.repeat(np.arange(len(lengths)), lengths)
-    return np.bincount(owner, weights=np.log(scale)[packed.slot], minlength=len(lengths))
+    """Log probability of each whole class sequence: the scaled forward recursion."""
+    if not len(lengths):
+        return np.zeros(0)
+    k, (order, live, starts), (logs, ratio) = len(model.start), lanes(lengths), ratios(model)
+    emitted, *turns = (np.empty((live[0], k)) for _ in range(3))
+    scale, last = np.zeros(len(lengths)), np.empty(len(lengths))
+    for t, n in enumerate(live):
+        state = turns[t % 2][:n]
+        ratio.take(tokens[t:].take(starts[:n]), axis=0, out=emitted[:n], mode="clip")
+        if t:
+            np.matmul(turns[1 - t % 2][:n], model.move, out=state)
+            state *= emitted[:n]
+        else:
+            np.multiply(model.start, emitted[:n], out=state)
+        if t % RESCALE == RESCALE - 1:
+            total = state.sum(1)
+            scale[:n] += np.log(total)
+            state /= total[:, None]
+        after = live[t + 1] if t + 1 < len(live) else 0
+        last[after:n] = state[after:].sum(1)
+    out = np.add.reduceat(logs.take(tokens), np.cumsum(lengths) - lengths)
+    out[order] += scale + np.log(last)
+    return out
 
 
 # training
@@ -170,6 +192,8 @@ def initial_model(counts: DataFrame, states: int, head_words: int, tail_classes:
 
     The driver gets the totals, the head (bounded in words and bytes) and one sum per tail class.
     """
+    if head_words + tail_classes > 1 << 16:
+        raise ValueError("class numbers have 16 bits")
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     short = counts.filter(F.octet_length("word") <= HEAD_WORD_BYTES)
     order = [(F.col("word") == F.lit(END)).desc(), F.col("c").desc(), F.col("word")]
@@ -197,40 +221,88 @@ def initial_model(counts: DataFrame, states: int, head_words: int, tail_classes:
     )
 
 
-def class_sequences(docs: DataFrame, model: Model) -> DataFrame:
-    """Class numbers of every text of ``docs(text)``, in windows of ``TRAIN_WINDOW`` tokens."""
+def coded_documents(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows(row, id, learn, text)`` with texts as what training and scoring need of them, split once.
+
+    ``ids``: the class numbers of the whole text; ``n``: how many; ``known`` and ``base``: how many are
+    words of the head, and the logs of their counts; ``within``: the logs of the masses of the other
+    words' classes; ``rare``: each of those words and how often it is there.
+    """
+    heads, tails = len(model.head), len(model.tail_mass)
+    in_head = np.repeat([1, 0], [heads, tails])
+    head_logs = np.concatenate([np.log10([c + 1.0 for _, c in model.head]), np.zeros(tails)])
+    tail_logs = np.concatenate([np.zeros(heads), np.log10(model.tail_mass)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(model)
-        for part in small_parts(batches, 0, BATCH_BYTES):
-            split, out = split_words(part.column(0)), []
-            every = with_ends(classes.of(split.distinct.to_pylist())[split.at], split.sizes, classes[END]).astype("<u2")
-            ends = np.cumsum(split.sizes + 1).tolist()
-            for start, end in zip([0, *ends], ends, strict=False):
-                out += [every[i : min(i + TRAIN_WINDOW, end)].tobytes() for i in range(start, end, TRAIN_WINDOW)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
+        for part in small_parts(batches, 3, BATCH_BYTES):
+            n, split = part.num_rows, split_words(part.column(3))
+            of_word = classes.of(split.distinct.to_pylist())
+            lengths = split.sizes + 1
+            tokens = with_ends(of_word[split.at], split.sizes, classes[END])
+            ends = np.cumsum(lengths)
+            sums = [np.add.reduceat(of_class.take(tokens), ends - lengths) for of_class in (in_head, head_logs, tail_logs)]
+            places = pa.py_buffer(np.concatenate([[0], ends * 2]).astype(np.int32))
+            ids = pa.Array.from_buffers(pa.binary(), n, [None, places, pa.py_buffer(tokens.astype("<u2"))])
+            rare = of_word[split.at] >= heads
+            types = max(len(split.distinct), 1)
+            pairs, times = np.unique(np.repeat(np.arange(n), split.sizes)[rare] * types + split.at[rare], return_counts=True)
+            words = split.distinct.take(pa.array(pairs % types)).cast(pa.binary())
+            counted = pa.StructArray.from_arrays([words, pa.array(times, pa.int64())], ["word", "n"])
+            by_row = np.searchsorted(pairs, np.arange(n + 1) * types).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0), part.column(1), part.column(2), pa.array(lengths, pa.int64()),
+                    *[pa.array(x, kind) for x, kind in zip(sums, (pa.int64(), pa.float64(), pa.float64()), strict=True)],
+                    ids, pa.ListArray.from_arrays(pa.array(by_row), counted),
+                ],
+                names,
+            )
+
+    names = ["row", "id", "learn", "n", "known", "base", "within", "ids", "rare"]
+    kind = rows.schema["id"].dataType.simpleString()
+    shape = (
+        f"row bigint, id {kind}, learn boolean, n bigint, known bigint, base double, within double, ids binary, "
+        "rare array<struct<word: binary, n: bigint>>"
+    )
+    return rows.select("row", "id", "learn", "text").mapInArrow(run, shape)
+
 
-    return docs.select("text").mapInArrow(run, "ids binary")
+def class_numbers(ids: pa.Array, most: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of texts with ``most`` tokens or little more: from, to, the class numbers and the lengths."""
+    data = ids.to_pylist()
+    for a, b in slices((len(x) // 2 for x in data), most):
+        lengths = np.array([len(x) // 2 for x in data[a:b]])
+        yield a, b, np.frombuffer(b"".join(data[a:b]), "<u2"), lengths
+
+
+def windows(lengths: np.ndarray) -> np.ndarray:
+    """Lengths of the windows of ``TRAIN_WINDOW`` tokens of texts; a text's last one has what is left."""
+    many = -(-lengths // TRAIN_WINDOW)
+    out = np.full(int(many.sum()), TRAIN_WINDOW)
+    out[np.cumsum(many) - 1] = lengths - (many - 1) * TRAIN_WINDOW
+    return out
 
 
 def train_round(sequences: DataFrame, model: Model) -> tuple[Model, float]:
-    """One round of Baum-Welch over all sequences; the new model and the old one's likelihood.
+    """One round of Baum-Welch over the windows of all ``sequences(ids)``; the new model and the old one's likelihood.
 
     Every task adds up its expected counts; they are summed by class across partitions, so that
     the driver gets one row per class, whatever the corpus.
     """
     k = len(model.start)
     names = [f"s{i}" for i in range(k)]
+    learner = replace(model, head=())  # classes are told already
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, moves, emissions, fit = np.zeros(k), np.zeros((k, k)), np.zeros((len(model.emit), k)), 0.0
+        starts, moves, emissions, fit = np.zeros(k), np.zeros((k, k)), np.zeros(learner.emit.shape), 0.0
         for batch in batches:
-            data = batch.column(0).to_pylist()
-            for a, b in slices(map(len, data), BATCH_BYTES // 4):
-                lengths = np.array([len(x) // 2 for x in data[a:b]])
-                tokens = np.frombuffer(b"".join(data[a:b]), "<u2").astype(np.int32)
-                s, m, e, f = expected_counts(tokens, lengths, model)
-                starts, moves, emissions, fit = starts + s, moves + m, emissions + e, fit + f
+            for _, _, tokens, lengths in class_numbers(batch.column(0), TRAIN_TOKENS):
+                parts = windows(lengths)
+                ends = np.cumsum([0, *parts])
+                for a, b in slices(parts.tolist(), TRAIN_TOKENS + TRAIN_TOKENS // 4):  # more than that in long texts only
+                    s, m, e, f = expected_counts(tokens[ends[a] : ends[b]], parts[a:b], learner)
+                    starts, moves, emissions, fit = starts + s, moves + m, emissions + e, fit + f
         used = np.flatnonzero(emissions.sum(1))
         rows = np.concatenate([emissions[used], moves, [starts], [np.full(k, fit)]])
         index = np.concatenate([used, -1 - np.arange(k), [-1 - k, -2 - k]])
@@ -270,10 +342,13 @@ def fit_model(
     tail_classes: int = TAIL_CLASSES, seed: int = 7,
 ) -> tuple[Model, list[float]]:
     """The model of ``docs(text)`` and the log likelihood before each round."""
-    if head_words + tail_classes > 1 << 16:
-        raise ValueError("class numbers have 16 bits")
     model = initial_model(counts, states, head_words, tail_classes, seed)
-    sequences = materialize(class_sequences(docs, model), "sequences")
+    rows = docs.select(F.lit(0).cast("bigint").alias("row"), F.lit("").alias("id"), F.lit(True).alias("learn"), "text")
+    return train(materialize(coded_documents(rows, model).select("ids"), "coded"), model, rounds)
+
+
+def train(sequences: DataFrame, model: Model, rounds: int) -> tuple[Model, list[float]]:
+    """The model after ``rounds`` over ``sequences(ids)``, and the log likelihood before each."""
     fits = []
     for _ in range(rounds):
         model, fit = train_round(sequences, model)
@@ -284,6 +359,12 @@ def fit_model(
 # scoring
 
 
+def looked_up(counts: DataFrame) -> DataFrame:
+    """``counts`` for a join without sorts, if a partition of them is measured to fit in memory."""
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return counts.hint("shuffle_hash") if measure(counts).bytes <= parts * HASHED_BYTES else counts
+
+
 def score_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, rounds: int = ROUNDS,
     head_words: int = HEAD_WORDS, tail_classes: int = TAIL_CLASSES, modulus: int = 7,
@@ -304,66 +385,39 @@ def score_documents(
     score is 0 and every word is unknown.  Other columns are ignored.
     """
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    training = given.filter(~held_out(F.col("id"), modulus)).select("text")
-    counts = materialize(word_counts(training).filter(F.col("c") > 0), "counts")
-    model, _ = fit_model(training, counts, states, rounds, head_words, tail_classes)
-    head_logs = np.log10(np.array([c + 1.0 for _, c in model.head] or [1.0]))
-    tail_logs = np.log10(model.tail_mass)
+    learn = ~held_out(F.col("id"), modulus)
+    counts = materialize(word_counts(given.filter(learn).select("text")).filter(F.col("c") > 0), "counts")
+    model = initial_model(counts, states, head_words, tail_classes, 7)
+    rows = given.select(F.monotonically_increasing_id().alias("row"), "id", learn.alias("learn"), "text")
+    coded = materialize(coded_documents(rows, model), "coded")
+    model, _ = train(coded.filter("learn").select("ids"), model, rounds)
+    scorer = replace(model, head=())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = Classes(model)
-        for part in small_parts(batches, 2, BATCH_BYTES):
-            n, split = part.num_rows, split_words(part.column(2))
-            of_word = classes.of(split.distinct.to_pylist())
-            lengths = split.sizes + 1
-            tokens = with_ends(of_word[split.at], split.sizes, classes[END])
-            owner = np.repeat(np.arange(n), lengths)
-            tail = tokens >= classes.first_tail
-            known = np.bincount(owner[~tail], minlength=n)
-            base = np.bincount(owner[~tail], weights=head_logs[tokens[~tail]], minlength=n)
-            within = np.bincount(owner[tail], weights=tail_logs[tokens[tail] - classes.first_tail], minlength=n)
-            score = log_likelihoods(tokens, lengths, model) / math.log(10) - within
-            row = part.column(0)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    row, part.column(1), pa.nulls(n, pa.binary()), pa.array(lengths, pa.int64()),
-                    pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                ],
-                names,
-            )
-            rare = of_word[split.at] >= classes.first_tail
-            types = max(len(split.distinct), 1)
-            pairs, times = np.unique(np.repeat(np.arange(n), split.sizes)[rare] * types + split.at[rare], return_counts=True)
-            m = len(pairs)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    row.take(pa.array(pairs // types)), pa.nulls(m, part.column(1).type),
-                    split.distinct.take(pa.array(pairs % types)).cast(pa.binary()), pa.array(times, pa.int64()),
-                    pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64()),
-                ],
-                names,
-            )
+        for batch in batches:
+            for a, b, tokens, lengths in class_numbers(batch.column(5), SCORE_TOKENS):
+                part = batch.slice(a, b - a)
+                score = log_likelihoods(tokens, lengths, scorer) / math.log(10) - np.asarray(part.column(6))
+                yield pa.RecordBatch.from_arrays([*part.columns[:5], pa.array(score, pa.float64())], names)
 
-    names = ["row", "id", "word", "n", "known", "base", "score"]
-    rows = given.select(F.monotonically_increasing_id().alias("row"), "id", "text")
+    names = ["row", "id", "n", "known", "base", "score"]
     kind = rows.schema["id"].dataType.simpleString()
     scored = materialize(
-        rows.mapInArrow(run, f"row bigint, id {kind}, word binary, n bigint, known bigint, base double, score double"),
+        coded.select(*names[:5], "ids", "within").mapInArrow(
+            run, f"row bigint, id {kind}, n bigint, known bigint, base double, score double"
+        ),
         "scored",
     )
     rare = (
-        scored.filter(F.col("word").isNotNull())
-        .select("row", "word", "n")
-        .join(counts, "word")
+        coded.select("row", F.inline("rare"))
+        .join(looked_up(counts), "word")
         .groupBy("row")
         .agg(F.sum("n").alias("rare"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare_log"))
     )
     size = math.log10(model.tokens + model.types + 1)
     rare_log = F.coalesce("rare_log", F.lit(0.0))
     return (
-        scored.filter(F.col("word").isNull())
-        .select("row", "id", "n", "known", "base", "score")
-        .join(rare, "row", "left")
+        scored.join(rare, "row", "left")
         .select(
             F.col("id").alias(id_col),
             held_out(F.col("id"), modulus).alias("held_out"),

@@ -7,7 +7,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import hmm_lm, queries
 from tests.llm.helpers import SMALL, documents, empty, needs_tables, odd_documents
@@ -85,6 +87,62 @@ def test_very_long_sequence_does_not_vanish():
     assert got == pytest.approx(log + math.log(state.sum()))
 
 
+def one_by_one(seq, model):
+    """Forward and backward of one sequence, scaled at every step."""
+    ahead, scales = [], []
+    for t, x in enumerate(seq):
+        state = (ahead[-1] @ model.move if t else model.start) * model.emit[x]
+        scales.append(state.sum())
+        ahead.append(state / scales[-1])
+    behind, moves, emits = np.ones(len(model.start)), np.zeros_like(model.move), np.zeros_like(model.emit)
+    for t in range(len(seq) - 1, -1, -1):
+        emits[seq[t]] += ahead[t] * behind
+        if t:
+            weighted = model.emit[seq[t]] * behind / scales[t]
+            moves += model.move * np.outer(ahead[t - 1], weighted)
+            behind = model.move @ weighted
+        else:
+            starts = ahead[0] * behind
+    return starts, moves, emits, np.log(scales).sum()
+
+
+@pytest.mark.parametrize("least", [1.0, 1e-12])
+def test_recursions_over_many_lengths(least):
+    model = toy(3, 6, 4)
+    model.emit[3:] *= least  # rare words, rare ways
+    model.move[0, 1:] *= least
+    rng = np.random.default_rng(5)
+    seqs = [rng.integers(0, 6, n) for n in (1, 7, 8, 9, 200, 16, 17, 1, 64, 8)]
+    flat, lengths = np.concatenate(seqs).astype("<u2"), np.array([len(s) for s in seqs])
+    expected = [one_by_one(s, model) for s in seqs]
+    np.testing.assert_allclose(hmm_lm.log_likelihoods(flat, lengths, model), [e[3] for e in expected])
+    for got, parts in zip(hmm_lm.expected_counts(flat, lengths, model), zip(*expected, strict=True), strict=True):
+        np.testing.assert_allclose(got, np.sum(parts, 0), rtol=1e-9, atol=1e-12)
+
+
+def test_runs_and_windows_hold_every_token():
+    texts = [np.arange(n, dtype="<u2") for n in (1, 1023, 1024, 1025, 5000, 2)]
+    runs = list(hmm_lm.class_numbers(pa.array([x.tobytes() for x in texts], pa.binary()), 2000))
+    assert [(a, b) for a, b, _, _ in runs] == [(0, 3), (3, 5), (5, 6)]
+    np.testing.assert_array_equal(np.concatenate([x for _, _, x, _ in runs]), np.concatenate(texts))
+    cut = [hmm_lm.windows(lengths).tolist() for _, _, _, lengths in runs]
+    assert cut == [[1, 1023, 1024], [1024, 1, 1024, 1024, 1024, 1024, 904], [2]]
+
+
+def test_texts_are_read_for_counts_and_once_more(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    docs = documents(spark, [(i, f"a b a c w{i} " * (i % 7 + 1), "en", "s") for i in range(40)])
+    got = hmm_lm.score_documents(docs.withColumn("text", counted("text")), rounds=2, head_words=3, tail_classes=4).collect()
+    check_base(got, [(r.doc_id, r.text) for r in docs.collect()])
+    assert read.value == sum(not held(i) for i in range(40)) + 40
+
+
 @pytest.mark.parametrize("head", [2, 1000])
 def test_odd_documents(spark, head):
     docs = odd_documents(spark)
@@ -94,6 +152,19 @@ def test_odd_documents(spark, head):
     assert hmm_lm.score_documents(empty(docs), rounds=1).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, hmm_lm.HASHED_BYTES])
+def test_words_are_hashed_only_if_they_fit(spark, monkeypatch, most):
+    monkeypatch.setattr(hmm_lm, "HASHED_BYTES", most)
+    docs = documents(spark, [(i, f"a b w{i % 9} w{i % 4} a", "en", "s") for i in range(30)])
+    counts = hmm_lm.word_counts(docs.select("text"))
+    joined = docs.select(F.lit(b"a").alias("word")).join(hmm_lm.looked_up(counts), "word")
+    assert ("shuffle_hash" in joined._jdf.queryExecution().logical().toString()) == (most > 0)
+    check_base(
+        hmm_lm.score_documents(docs, rounds=1, head_words=3, tail_classes=4).collect(),
+        [(r.doc_id, r.text) for r in docs.collect()],
+    )
+
+
 def test_nothing_to_learn_from(spark):
     out = next(i for i in range(50) if held(i))
     got = hmm_lm.score_documents(documents(spark, [(out, "some words", "en", "a")]), rounds=1).collect()
